@@ -1,57 +1,37 @@
 """Dense surrogate ids 1..n in the order of some columns, without a global sort task.
 
 ``row_number().over(Window.orderBy(...))`` moves every row into one partition.
-Instead the rows are cut into ordered ranges whose boundaries come from a bounded
-sample and are then fixed as literals (so a recomputed task puts every row in the
-same range again). Each range is numbered on its own; its offset is the number of
-rows in all earlier ranges. The ids equal the global row number exactly.
-
-Jobs: one count, one sample of the key columns, one count per range, then the
-numbering itself (one shuffle by range). Call it on a materialised table.
+Above ``rows_per_range`` rows the ids are built like ``zipWithIndex``, in
+DataFrame form:
+
+1. ``repartitionByRange`` cuts the rows into ordered ranges (Spark samples the
+   keys in the cluster), ``sortWithinPartitions`` orders each range, and
+   ``monotonically_increasing_id()`` stamps each row with (range index, position
+   in range) - the documented layout puts the partition index in the upper 31
+   bits and the position in the lower 33. The result is written once, so every
+   later step (and any retried task) sees the same ranges.
+2. Rows per range are counted (one small aggregate, one row per range) and a
+   window over those few rows gives each range its running offset.
+3. The offsets are broadcast (their size is the number of ranges, chosen here)
+   and each id is offset + position + 1, a narrow step.
+
+The ids equal the global row number exactly when ``order`` is unique per row.
 """
 
 from __future__ import annotations
 
 import math
+import uuid
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 DEFAULT_ROWS_PER_RANGE = 2_000_000
-_SAMPLES_PER_RANGE = 64
-_SEED = 17
-
-
-def _order_key(order: list[str], nulls_last: bool) -> Column:
-    """One comparable struct per row; a leading null flag per column puts nulls last."""
-    parts = []
-    for i, name in enumerate(order):
-        flag = F.col(name).isNull() if nulls_last else F.col(name).isNotNull()
-        parts += [flag.alias(f"n{i}"), F.col(name).alias(f"v{i}")]
-    return F.struct(*parts)
-
-
-def _typed_literal(value, dtype: T.DataType) -> Column:
-    if value is None:
-        return F.lit(None).cast(dtype)
-    if isinstance(dtype, T.TimestampNTZType):
-        # Through text: a wall-clock value must not pass through any time zone.
-        return F.lit(value.isoformat(sep=" ")).cast(dtype)
-    if isinstance(dtype, T.StructType):
-        return F.struct(*[_typed_literal(value[i], f.dataType).alias(f.name) for i, f in enumerate(dtype.fields)])
-    return F.lit(value).cast(dtype)
+_POSITION_BITS = 33
 
 
-def _range_of(key: Column, bounds: list[Column], lo: int = 0) -> Column:
-    """Index of the range holding ``key``: a balanced tree of comparisons, so a
-    row costs log2(#ranges) comparisons."""
-    if not bounds:
-        return F.lit(lo)
-    mid = len(bounds) // 2
-    return F.when(key < bounds[mid], _range_of(key, bounds[:mid], lo)).otherwise(
-        _range_of(key, bounds[mid + 1 :], lo + mid + 1)
-    )
+def _sort_columns(order: list[str], nulls_last: bool):
+    return [F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc_nulls_first() for c in order]
 
 
 def with_dense_id(
@@ -59,37 +39,39 @@ def with_dense_id(
     order: list[str],
     id_col: str,
     *,
+    workdir: str,
     nulls_last: bool = True,
     rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
+    rows: int | None = None,
 ) -> DataFrame:
-    """Add ``id_col`` = 1..n (long) following ``order`` ascending. ``order``
-    should be unique per row (a natural key or row key) for stable ids."""
-    sort_cols = [F.col(c).asc_nulls_last() if nulls_last else F.col(c).asc_nulls_first() for c in order]
-    n = df.count()
+    """Add ``id_col`` = 1..n (long) following ``order`` ascending.
+
+    ``workdir`` is a folder in shared storage for the ranked copy; ``rows`` is
+    the row count when the caller knows it (saves a count job).
+    """
+    sort_cols = _sort_columns(order, nulls_last)
+    n = df.count() if rows is None else rows
     ranges = max(1, math.ceil(n / rows_per_range))
     if ranges == 1:
-        # Bounded by the count check: at most rows_per_range rows in one task.
+        # Bounded by the count: at most rows_per_range rows in one task.
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
 
-    key = _order_key(order, nulls_last)
-    keyed = df.select(key.alias("k"))
-    key_type = keyed.schema["k"].dataType
-    fraction = min(1.0, ranges * _SAMPLES_PER_RANGE / n)
-    sample = [r.k for r in keyed.sample(False, fraction, _SEED).orderBy("k").collect()]
-    step = len(sample) / ranges
-    picked = []
-    for i in range(1, ranges):
-        b = sample[min(len(sample) - 1, int(i * step))]
-        if not picked or b != picked[-1]:
-            picked.append(b)
-    bounds = [_typed_literal(b, key_type) for b in picked]
-
-    tagged = df.withColumn("__range", _range_of(key, bounds))
-    counts = dict(tagged.groupBy("__range").count().collect())
-    offsets, running = [], 0
-    for r in range(len(bounds) + 1):
-        offsets.append(running)
-        running += counts.get(r, 0)
-    offset = F.element_at(F.array(*[F.lit(o).cast("long") for o in offsets]), F.col("__range") + 1)
-    numbered = F.row_number().over(Window.partitionBy("__range").orderBy(*sort_cols))
-    return tagged.withColumn(id_col, (numbered + offset).cast("long")).drop("__range")
+    spark: SparkSession = df.sparkSession
+    path = f"{workdir}/ranked-{uuid.uuid4().hex[:12]}"
+    (
+        df.repartitionByRange(ranges, *sort_cols)
+        .sortWithinPartitions(*sort_cols)
+        .withColumn("__stamp", F.monotonically_increasing_id())
+        .write.mode("overwrite")
+        .parquet(path)
+    )
+    ranked = spark.read.parquet(path).withColumn("__range", F.shiftright("__stamp", _POSITION_BITS))
+    counts = ranked.groupBy("__range").agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__range", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__offset"))
+    position = F.col("__stamp").bitwiseAND(F.lit((1 << _POSITION_BITS) - 1))
+    return (
+        ranked.join(F.broadcast(offsets), "__range")
+        .withColumn(id_col, (F.col("__offset") + position + 1).cast("long"))
+        .drop("__range", "__offset", "__stamp")
+    )

@@ -7,6 +7,9 @@ table, and later stages read just the columns they need.
 
 from __future__ import annotations
 
+import time
+from contextlib import contextmanager
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,6 +29,14 @@ from starmart.sources.schemas import (
 from starmart.sources.warehouse import Star, new_run, publish, read_star, write_table
 
 
+@contextmanager
+def _step(timings: dict | None, name: str):
+    t0 = time.perf_counter()
+    yield
+    if timings is not None:
+        timings[name] = round(time.perf_counter() - t0, 3)
+
+
 def _materialize(spark: SparkSession, df: DataFrame, path: str, partition_by=None) -> DataFrame:
     write_table(df, path, partition_by)
     return spark.read.parquet(path)
@@ -90,11 +101,14 @@ def build_star(
     dataset: str,
     rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    timings: dict | None = None,
 ) -> Star:
-    """Run the whole ETL into a new run folder and publish it; returns the star read back."""
+    """Run the whole ETL into a new run folder and publish it; returns the star
+    read back. ``timings``, when given, receives seconds per step."""
     run = new_run(spark, dataset)
     work = f"{run}/_work"
-    clean = _materialize(spark, clean_submissions(raw), f"{run}/clean")
+    with _step(timings, "clean"):
+        clean = _materialize(spark, clean_submissions(raw), f"{run}/clean")
 
     dims = {}
     for name, rows, order, id_col, cols in (
@@ -103,9 +117,11 @@ def build_star(
         ("dim_book", dim_book_rows(clean), ["title", "author_name"], "book_id", DIM_BOOK_COLUMNS),
         ("dim_publisher", dim_publisher_rows(clean), ["publisher_name"], "publisher_id", DIM_PUBLISHER_COLUMNS),
     ):
-        keys = _materialize(spark, rows, f"{work}/{name}")
-        numbered = with_dense_id(keys, order, id_col, rows_per_range=rows_per_range)
-        dims[name] = _materialize(spark, numbered.select(*cols), f"{run}/{name}")
+        with _step(timings, f"{name}_rows"):
+            keys = _materialize(spark, rows, f"{work}/{name}")
+        with _step(timings, f"{name}_ids"):
+            numbered = with_dense_id(keys, order, id_col, workdir=work, rows_per_range=rows_per_range)
+            dims[name] = _materialize(spark, numbered.select(*cols), f"{run}/{name}")
 
     facts = clean.select(
         ROW_KEY,
@@ -118,7 +134,10 @@ def build_star(
         F.col("indicador_semifinalista").alias("is_semifinalist"),
         "selection_level",
     )
-    facts = with_dense_id(facts, [ROW_KEY], "submission_id", rows_per_range=rows_per_range)
+    t_fact = time.perf_counter()
+    facts = with_dense_id(
+        facts, [ROW_KEY], "submission_id", workdir=work, rows_per_range=rows_per_range, rows=clean.count()
+    )
     lookup = dict(max_broadcast_rows=broadcast_rows)
     facts = null_safe_lookup(facts, dims["dim_time"], [("ano", "year")], ["time_id"], **lookup)
     facts = null_safe_lookup(facts, dims["dim_author"], [("nome_autor", "author_name")], ["author_id"], **lookup)
@@ -129,6 +148,8 @@ def build_star(
         facts, dims["dim_publisher"], [("nome_editora", "publisher_name")], ["publisher_id"], **lookup
     )
     write_table(facts.select(*FACT_COLUMNS), f"{run}/fact_submission", ["time_id"])
+    if timings is not None:
+        timings["fact_submission"] = round(time.perf_counter() - t_fact, 3)
 
     publish(spark, dataset, run)
     return read_star(spark, run)
