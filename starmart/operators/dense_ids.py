@@ -27,6 +27,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 DEFAULT_ROWS_PER_RANGE = 2_000_000
+# Below this many rows per range, spreading over more tasks costs more than it saves.
+MIN_ROWS_PER_RANGE = 50_000
 _POSITION_BITS = 33
 
 
@@ -51,12 +53,14 @@ def with_dense_id(
     """
     sort_cols = _sort_columns(order, nulls_last)
     n = df.count() if rows is None else rows
-    ranges = max(1, math.ceil(n / rows_per_range))
+    spark: SparkSession = df.sparkSession
+    # Enough ranges to bound each task, and to keep every core busy when large.
+    parallel = min(spark.sparkContext.defaultParallelism, n // MIN_ROWS_PER_RANGE)
+    ranges = max(1, math.ceil(n / rows_per_range), parallel)
     if ranges == 1:
         # Bounded by the count: at most rows_per_range rows in one task.
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
 
-    spark: SparkSession = df.sparkSession
     path = f"{workdir}/ranked-{uuid.uuid4().hex[:12]}"
     (
         df.repartitionByRange(ranges, *sort_cols)

@@ -4,11 +4,29 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A dimension side is broadcast only when its row count is at most this.
-DEFAULT_BROADCAST_ROWS = 2_000_000
+DEFAULT_BROADCAST_ROWS = 500_000
+
+_STORED_ROWS: dict[str, int] = {}
+
+
+def stored_rows(spark: SparkSession, path: str) -> int:
+    """Row count of a stored Parquet table (footer metadata), memoised per path.
+
+    Only for immutable inputs: the given source tables and published runs.
+    """
+    if path not in _STORED_ROWS:
+        _STORED_ROWS[path] = spark.read.parquet(path).count()
+    return _STORED_ROWS[path]
+
+
+def broadcast_if_within(side: DataFrame, rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Broadcast ``side`` when ``rows`` - a checked upper bound of its size, such
+    as the row count of the table it is derived from - is within ``max_rows``."""
+    return F.broadcast(side) if rows <= max_rows else side
 
 
 def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -27,16 +45,21 @@ def null_safe_lookup(
     on: list[tuple[str, str]],
     take: list[str],
     *,
+    dim_rows: int | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Left join ``facts`` to ``dim`` where each (fact column, dim column) pair
     matches null-safely (a null key finds the dimension's null row), adding the
-    ``take`` columns of ``dim``. The dim key must be unique, so no fact row is
+    ``take`` columns of ``dim``. ``dim_rows`` is the dimension's known row
+    count (else it is counted). The dim key must be unique, so no fact row is
     added or dropped. The null-safe condition still plans as a hash/sort-merge
     equi-join; hot keys (such as the null one) are split by AQE skew handling.
     """
     keys = [d for _, d in on]
     side = dim.select(*[F.col(d).alias(f"__k{i}") for i, d in enumerate(keys)], *take)
-    side = bounded_broadcast(side, max_broadcast_rows)
+    if dim_rows is None:
+        side = bounded_broadcast(side, max_broadcast_rows)
+    else:
+        side = broadcast_if_within(side, dim_rows, max_broadcast_rows)
     cond = reduce(lambda a, b: a & b, [facts[f].eqNullSafe(side[f"__k{i}"]) for i, (f, _) in enumerate(on)])
     return facts.join(side, cond, "left").drop(*[f"__k{i}" for i in range(len(on))])

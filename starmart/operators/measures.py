@@ -1,10 +1,10 @@
 """Funnel measures and shares of totals.
 
-Reports group the fact by a dimension attribute. The fact is first reduced by
-the dimension *id* (partial + final hash aggregate, so hot ids cost nothing),
-then the much smaller result is joined to the dimension and summed again by the
-attribute. Joining the raw fact to a dimension that grows with it would shuffle
-every fact row instead.
+Reports group the fact by dimension attributes. Small dimensions (checked row
+count) are broadcast into the fact stream. A dimension that grows with the fact
+is joined only after the fact has been reduced by the dimension *id* (partial +
+final hash aggregate, so hot ids cost nothing); joining the raw fact to it
+would shuffle every fact row instead.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.measures import pct
-from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS, bounded_broadcast
+from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS
 
 # Fact flag column per measure name; "n" is the row count.
 FLAG_OF = {"semi": "is_semifinalist", "fin": "is_finalist", "win": "is_winner"}
@@ -33,25 +33,36 @@ def fact_measures(fact: DataFrame, keys: list[str], measures=ALL_MEASURES) -> Da
 
 def measures_by(
     fact: DataFrame,
-    dims: list[tuple[DataFrame, str]],
+    dims: list[tuple[DataFrame, str, int | None]],
     group: list[Column | str],
     measures=ALL_MEASURES,
     *,
-    small_dims: tuple[int, ...] = (),
+    broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
     """Funnel measures grouped by dimension attributes.
 
-    ``dims`` lists (dimension frame, id column); each frame carries the id and the
-    attributes used in ``group`` (filters on it are pushed to its scan). Dims at
-    the positions in ``small_dims`` are broadcast after a size check.
+    ``dims`` lists (dimension frame, id column, row count of the dimension table
+    or None if unknown); each frame carries the id and the attributes used in
+    ``group`` (filters on it are pushed to its scan).
+
+    * A dimension of at most ``broadcast_rows`` rows is broadcast and joined to
+      the fact stream map-side: no shuffle beyond the final aggregate.
+    * A larger one (or one of unknown size) is joined only after the fact has
+      been reduced by its id (partial + final aggregate), so the join shuffles
+      one row per id instead of one per fact row, and hot ids cost nothing.
     """
-    ids = [id_col for _, id_col in dims]
-    partial = fact_measures(fact, ids, measures)
-    joined = partial
-    for i, (dim, id_col) in enumerate(dims):
-        side = bounded_broadcast(dim, DEFAULT_BROADCAST_ROWS) if i in small_dims else dim
-        joined = joined.join(side, id_col, "inner")
-    return joined.groupBy(*group).agg(*[F.sum(m).cast("long").alias(m) for m in measures])
+    small = [(d, i) for d, i, n in dims if n is not None and n <= broadcast_rows]
+    large = [(d, i) for d, i, n in dims if n is None or n > broadcast_rows]
+    stream = fact
+    for dim, id_col in small:
+        stream = stream.join(F.broadcast(dim), id_col, "inner")
+    if not large:
+        return fact_measures(stream, group, measures)
+    carried = [c for dim, id_col in small for c in dim.columns if c != id_col]
+    partial = fact_measures(stream, [i for _, i in large] + carried, measures)
+    for dim, id_col in large:
+        partial = partial.join(dim, id_col, "inner")
+    return partial.groupBy(*group).agg(*[F.sum(m).cast("long").alias(m) for m in measures])
 
 
 def share_of(value: str, partition: list[str], digits: int) -> Column:

@@ -24,26 +24,30 @@ from starmart.params import (
 from starmart.sources.warehouse import Star
 
 
+def _dim(star: Star, table: str, id_col: str, cols, where=None):
+    d = getattr(star, table).select(id_col, *cols)
+    return (d.filter(where) if where is not None else d), id_col, star.rows(table)
+
+
 def _time(star: Star, *cols: str):
-    return star.dim_time.select("time_id", *cols), "time_id"
+    return _dim(star, "dim_time", "time_id", cols)
 
 
 def _author(star: Star, *cols: str, where=None):
-    d = star.dim_author.select("author_id", *cols)
-    return (d.filter(where) if where is not None else d), "author_id"
+    return _dim(star, "dim_author", "author_id", cols, where)
 
 
 def _book(star: Star, *cols: str):
-    return star.dim_book.select("book_id", *cols), "book_id"
+    return _dim(star, "dim_book", "book_id", cols)
 
 
 def _publisher(star: Star, *cols: str):
-    return star.dim_publisher.select("publisher_id", *cols), "publisher_id"
+    return _dim(star, "dim_publisher", "publisher_id", cols)
 
 
 def _measures(star: Star, dims, group, names: dict[str, str], small=()) -> DataFrame:
     """Measures named in ``names`` (n/semi/fin/win -> output name), grouped."""
-    df = measures_by(star.fact_submission, dims, group, tuple(names), small_dims=small)
+    df = measures_by(star.fact_submission, dims, group, tuple(names))
     return df.withColumnsRenamed(names)
 
 

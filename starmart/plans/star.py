@@ -17,7 +17,7 @@ from starmart.functions.derive import decade, period
 from starmart.operators.clean import clean_submissions
 from starmart.operators.dedupe import keep_first, keep_latest
 from starmart.operators.dense_ids import DEFAULT_ROWS_PER_RANGE, with_dense_id
-from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS, null_safe_lookup
+from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS, null_safe_lookup, stored_rows
 from starmart.params import TimeBuckets
 from starmart.sources.schemas import (
     DIM_AUTHOR_COLUMNS,
@@ -120,7 +120,9 @@ def build_star(
         with _step(timings, f"{name}_rows"):
             keys = _materialize(spark, rows, f"{work}/{name}")
         with _step(timings, f"{name}_ids"):
-            numbered = with_dense_id(keys, order, id_col, workdir=work, rows_per_range=rows_per_range)
+            numbered = with_dense_id(
+                keys, order, id_col, workdir=work, rows_per_range=rows_per_range, rows=stored_rows(spark, f"{work}/{name}")
+            )
             dims[name] = _materialize(spark, numbered.select(*cols), f"{run}/{name}")
 
     facts = clean.select(
@@ -136,17 +138,22 @@ def build_star(
     )
     t_fact = time.perf_counter()
     facts = with_dense_id(
-        facts, [ROW_KEY], "submission_id", workdir=work, rows_per_range=rows_per_range, rows=clean.count()
-    )
-    lookup = dict(max_broadcast_rows=broadcast_rows)
-    facts = null_safe_lookup(facts, dims["dim_time"], [("ano", "year")], ["time_id"], **lookup)
-    facts = null_safe_lookup(facts, dims["dim_author"], [("nome_autor", "author_name")], ["author_id"], **lookup)
-    facts = null_safe_lookup(
-        facts, dims["dim_book"], [("titulo_livro", "title"), ("nome_autor", "author_name")], ["book_id"], **lookup
-    )
-    facts = null_safe_lookup(
-        facts, dims["dim_publisher"], [("nome_editora", "publisher_name")], ["publisher_id"], **lookup
+        facts,
+        [ROW_KEY],
+        "submission_id",
+        workdir=work,
+        rows_per_range=rows_per_range,
+        rows=stored_rows(spark, f"{run}/clean"),
     )
+
+    def lookup(facts, name, on, id_col):
+        rows = stored_rows(spark, f"{run}/{name}")
+        return null_safe_lookup(facts, dims[name], on, [id_col], dim_rows=rows, max_broadcast_rows=broadcast_rows)
+
+    facts = lookup(facts, "dim_time", [("ano", "year")], "time_id")
+    facts = lookup(facts, "dim_author", [("nome_autor", "author_name")], "author_id")
+    facts = lookup(facts, "dim_book", [("titulo_livro", "title"), ("nome_autor", "author_name")], "book_id")
+    facts = lookup(facts, "dim_publisher", [("nome_editora", "publisher_name")], "publisher_id")
     write_table(facts.select(*FACT_COLUMNS), f"{run}/fact_submission", ["time_id"])
     if timings is not None:
         timings["fact_submission"] = round(time.perf_counter() - t_fact, 3)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions.text import null_tokens_to_null
+from starmart.operators.spread import spread
 from starmart.sources.schemas import RAW_COLUMNS, RAW_SCHEMA, ROW_KEY
 
 
@@ -42,7 +43,8 @@ def read_submissions_csv(spark: SparkSession, path: str) -> DataFrame:
         if isinstance(field.dataType, T.StringType):
             c = null_tokens_to_null(c)
         cols.append(c.alias(field.name))
-    return raw.select(row_key.alias(ROW_KEY), *cols)
+    # The row key is fixed while reading; spreading afterwards keeps it.
+    return spread(raw.select(row_key.alias(ROW_KEY), *cols))
 
 
 def write_submissions_csv(df: DataFrame, path: str) -> None:

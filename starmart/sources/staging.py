@@ -11,7 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.lookup import bounded_broadcast
+from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS, broadcast_if_within, stored_rows
+from starmart.operators.spread import spread
 from starmart.sources.schemas import RAW_COLUMNS, ROW_KEY
 
 # nation has 25 rows and region 5 in every TPC-H scale; checked before broadcasting.
@@ -42,6 +43,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _rows(spark: SparkSession, sf_dir: str, name: str) -> int:
+    return stored_rows(spark, f"{sf_dir}/{name}.parquet")
+
+
 def _lookup_case(c, pairs):
     expr = None
     for k, v in pairs:
@@ -52,33 +57,48 @@ def _lookup_case(c, pairs):
 def _geo(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     """nation joined to its region: (<prefix>_nationkey, <prefix>_nation, <prefix>_region)."""
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = bounded_broadcast(_table(spark, sf_dir, "region").select("r_regionkey", "r_name"), _GEO_MAX_ROWS)
+    region = broadcast_if_within(
+        _table(spark, sf_dir, "region").select("r_regionkey", "r_name"), _rows(spark, sf_dir, "region"), _GEO_MAX_ROWS
+    )
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         F.col("n_nationkey").alias(f"{prefix}_nationkey"),
         F.col("n_name").alias(f"{prefix}_nation"),
         F.col("r_name").alias(f"{prefix}_region"),
     )
-    return bounded_broadcast(geo, _GEO_MAX_ROWS)
+    # An inner join to a unique key adds no rows: nation's count bounds it.
+    return broadcast_if_within(geo, _rows(spark, sf_dir, "nation"), _GEO_MAX_ROWS)
 
 
-def staging_submissions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw-shaped submissions (16 text columns + year) with a ``row_key`` struct."""
-    lineitem = _table(spark, sf_dir, "lineitem").select(
-        *ROW_KEY_FIELDS, "l_discount", "l_returnflag", "l_linestatus"
+def staging_submissions(spark: SparkSession, sf_dir: str, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
+    """Raw-shaped submissions (16 text columns + year) with a ``row_key`` struct.
+
+    Joins whose side has a checked row count within ``broadcast_rows`` run
+    map-side on the line stream; larger sides stay shuffle joins.
+    """
+    lineitem = spread(
+        _table(spark, sf_dir, "lineitem").select(*ROW_KEY_FIELDS, "l_discount", "l_returnflag", "l_linestatus")
+    )
+    def sized(name: str, side: DataFrame) -> DataFrame:
+        # Each side is derived from table ``name`` without adding rows.
+        return broadcast_if_within(side, _rows(spark, sf_dir, name), broadcast_rows)
+
+    orders = sized(
+        "orders", _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     )
-    orders = _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")
     # Small geography tables join the customer and supplier tables, not the line stream.
-    customer = (
+    customer = sized(
+        "customer",
         _table(spark, sf_dir, "customer")
         .select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
-        .join(_geo(spark, sf_dir, "cn"), F.col("c_nationkey") == F.col("cn_nationkey"), "inner")
+        .join(_geo(spark, sf_dir, "cn"), F.col("c_nationkey") == F.col("cn_nationkey"), "inner"),
     )
-    supplier = (
+    supplier = sized(
+        "supplier",
         _table(spark, sf_dir, "supplier")
         .select("s_suppkey", "s_name", "s_nationkey")
-        .join(_geo(spark, sf_dir, "sn"), F.col("s_nationkey") == F.col("sn_nationkey"), "inner")
+        .join(_geo(spark, sf_dir, "sn"), F.col("s_nationkey") == F.col("sn_nationkey"), "inner"),
     )
-    part = _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type")
+    part = sized("part", _table(spark, sf_dir, "part").select("p_partkey", "p_name", "p_type"))
 
     rows = (
         lineitem.join(orders, F.col("l_orderkey") == F.col("o_orderkey"), "inner")

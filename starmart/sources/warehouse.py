@@ -85,6 +85,15 @@ class Star:
     fact_submission: DataFrame
     path: str | None = None
 
+    def rows(self, name: str) -> int | None:
+        """Row count of a stored table (parquet metadata, memoised per run path);
+        None for tables not backed by a run folder."""
+        if self.path is None:
+            return None
+        from starmart.operators.lookup import stored_rows
+
+        return stored_rows(getattr(self, name).sparkSession, f"{self.path}/{name}")
+
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "path"}
 

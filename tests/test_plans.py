@@ -44,12 +44,23 @@ def test_fact_scan_reads_only_needed_columns(small_star):
     assert fact_scans == ["struct<book_id:bigint,is_winner:int,is_finalist:int,is_semifinalist:int>"], schemas
 
 
-def test_fact_preaggregated_before_dimension_join(small_star):
-    text = optimized(reports.q05(small_star))
-    # The aggregate on book_id sits below the join with dim_book.
+def test_large_dimension_joins_after_preaggregation(small_star):
+    from starmart.operators.measures import measures_by
+
+    dim = small_star.dim_book.select("book_id", "book_genre")
+    # Treated as larger than the broadcast bound: reduce the fact by book_id first.
+    text = optimized(measures_by(small_star.fact_submission, [(dim, "book_id", 10**9)], ["book_genre"], ("n",)))
     join_at = text.find("Join Inner")
     assert join_at >= 0
     assert "Aggregate [book_id" in text[join_at:]
+    assert "broadcast" not in text.lower()
+
+
+def test_small_dimension_broadcast_into_fact_stream(small_star):
+    text = plan(reports.q01(small_star))
+    assert "BroadcastHashJoin" in text
+    # One aggregation (partial + final) only: no pre-aggregation by time_id.
+    assert text.count("HashAggregate(keys=[year") == 2
 
 
 def test_dedupe_combines_before_shuffle(spark, small_star):
