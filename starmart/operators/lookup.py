@@ -6,6 +6,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 # A dimension side is broadcast only when its row count is at most this.
 DEFAULT_BROADCAST_ROWS = 500_000
@@ -39,6 +40,27 @@ def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) ->
     return F.broadcast(df) if df.count() <= max_rows else df
 
 
+# Hot keys: a key with at least this share of the sampled fact rows is resolved
+# through a broadcast of its dimension row instead of the shuffle join. At most
+# 1 / HOT_SHARE keys can qualify, which bounds what is collected and broadcast.
+HOT_SHARE = 0.002
+_HOT_SAMPLE_ROWS = 200_000
+_HOT_SEED = 29
+
+
+def hot_keys(facts: DataFrame, cols: list[str], rows: int, share: float = HOT_SHARE) -> list[tuple]:
+    """Key values holding at least ``share`` of a bounded sample of ``facts``."""
+    fraction = min(1.0, _HOT_SAMPLE_ROWS / max(rows, 1))
+    sample = facts.select(*cols).sample(False, fraction, _HOT_SEED)
+    threshold = max(2.0, share * rows * fraction)
+    counts = sample.groupBy(*cols).agg(F.count(F.lit(1)).alias("__n"))
+    return [tuple(r[c] for c in cols) for r in counts.filter(F.col("__n") >= threshold).collect()]
+
+
+def _matches(left: DataFrame, lcols: list[str], right: DataFrame, rcols: list[str]):
+    return reduce(lambda a, b: a & b, [left[l].eqNullSafe(right[r]) for l, r in zip(lcols, rcols)])
+
+
 def null_safe_lookup(
     facts: DataFrame,
     dim: DataFrame,
@@ -46,20 +68,70 @@ def null_safe_lookup(
     take: list[str],
     *,
     dim_rows: int | None = None,
+    fact_rows: int | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
+    hot_share: float = HOT_SHARE,
 ) -> DataFrame:
     """Left join ``facts`` to ``dim`` where each (fact column, dim column) pair
     matches null-safely (a null key finds the dimension's null row), adding the
-    ``take`` columns of ``dim``. ``dim_rows`` is the dimension's known row
-    count (else it is counted). The dim key must be unique, so no fact row is
-    added or dropped. The null-safe condition still plans as a hash/sort-merge
-    equi-join; hot keys (such as the null one) are split by AQE skew handling.
+    ``take`` columns of ``dim``. The dim key must be unique, so no fact row is
+    added or dropped. ``dim_rows`` / ``fact_rows`` are known row counts (else
+    they are counted).
+
+    * A dimension within ``max_broadcast_rows`` is broadcast: one map-side join.
+    * A larger one is a shuffle join, with hot keys split off first: keys that
+      hold at least ``hot_share`` of a sample are looked up through a broadcast
+      of just their dimension rows, and their fact rows enter the shuffle with a
+      spreading key that matches nothing, so no reducer receives a hot key.
     """
-    keys = [d for _, d in on]
-    side = dim.select(*[F.col(d).alias(f"__k{i}") for i, d in enumerate(keys)], *take)
-    if dim_rows is None:
-        side = bounded_broadcast(side, max_broadcast_rows)
-    else:
-        side = broadcast_if_within(side, dim_rows, max_broadcast_rows)
-    cond = reduce(lambda a, b: a & b, [facts[f].eqNullSafe(side[f"__k{i}"]) for i, (f, _) in enumerate(on)])
-    return facts.join(side, cond, "left").drop(*[f"__k{i}" for i in range(len(on))])
+    fact_keys = [f for f, _ in on]
+    side = dim.select(*[F.col(d).alias(f"__k{i}") for i, (_, d) in enumerate(on)], *take)
+    side_keys = [f"__k{i}" for i in range(len(on))]
+    n_dim = side.count() if dim_rows is None else dim_rows
+    if n_dim <= max_broadcast_rows:
+        side = F.broadcast(side)
+        return facts.join(side, _matches(facts, fact_keys, side, side_keys), "left").drop(*side_keys)
+
+    n_facts = facts.count() if fact_rows is None else fact_rows
+    hot = hot_keys(facts, fact_keys, n_facts, hot_share)
+    if not hot:
+        return facts.join(side, _matches(facts, fact_keys, side, side_keys), "left").drop(*side_keys)
+
+    spark = facts.sparkSession
+    key_schema = T.StructType([T.StructField(f"__h{i}", facts.schema[f].dataType) for i, f in enumerate(fact_keys)])
+    hot_df = spark.createDataFrame(hot, key_schema)
+    hot_side = side.join(
+        F.broadcast(hot_df), _matches(side, side_keys, hot_df, list(key_schema.fieldNames())), "left_semi"
+    ).select(
+        *[F.col(k).alias(f"__hk{i}") for i, k in enumerate(side_keys)],
+        *[F.col(c).alias(f"__hot_{c}") for c in take],
+        F.lit(True).alias("__is_hot"),
+    )
+    hot_keys_cols = [f"__hk{i}" for i in range(len(on))]
+    marked = facts.join(F.broadcast(hot_side), _matches(facts, fact_keys, hot_side, hot_keys_cols), "left")
+    is_hot = F.col("__is_hot").isNotNull()
+    # The shuffle join key is (hash of the key, key). Hot rows carry a hash of
+    # the whole row instead and a null key: they spread over all reducers, and
+    # (unless a 64-bit hash collides with the null key's) match nothing there;
+    # their id comes from the broadcast side either way.
+    routed = marked.select(
+        "*",
+        *[F.when(is_hot, F.lit(None)).otherwise(F.col(f)).alias(f"__s{i}") for i, f in enumerate(fact_keys)],
+        F.when(is_hot, F.xxhash64(*[F.col(c) for c in facts.columns]))
+        .otherwise(F.xxhash64(*[F.col(f) for f in fact_keys]))
+        .alias("__route"),
+    )
+    cold_keys = [f"__ck{i}" for i in range(len(on))]
+    cold_side = side.select(
+        *[F.col(k).alias(c) for k, c in zip(side_keys, cold_keys)],
+        *[F.col(c).alias(f"__cold_{c}") for c in take],
+        F.xxhash64(*[F.col(k) for k in side_keys]).alias("__route0"),
+    )
+    cond = (routed["__route"] == cold_side["__route0"]) & _matches(
+        routed, [f"__s{i}" for i in range(len(on))], cold_side, cold_keys
+    )
+    joined = routed.join(cold_side, cond, "left")
+    out = [F.col(c) for c in facts.columns] + [
+        F.coalesce(F.col(f"__hot_{c}"), F.col(f"__cold_{c}")).alias(c) for c in take
+    ]
+    return joined.select(*out)

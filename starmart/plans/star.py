@@ -146,9 +146,13 @@ def build_star(
         rows=stored_rows(spark, f"{run}/clean"),
     )
 
+    fact_rows = stored_rows(spark, f"{run}/clean")
+
     def lookup(facts, name, on, id_col):
         rows = stored_rows(spark, f"{run}/{name}")
-        return null_safe_lookup(facts, dims[name], on, [id_col], dim_rows=rows, max_broadcast_rows=broadcast_rows)
+        return null_safe_lookup(
+            facts, dims[name], on, [id_col], dim_rows=rows, fact_rows=fact_rows, max_broadcast_rows=broadcast_rows
+        )
 
     facts = lookup(facts, "dim_time", [("ano", "year")], "time_id")
     facts = lookup(facts, "dim_author", [("nome_autor", "author_name")], "author_id")
