@@ -45,13 +45,17 @@ def with_dense_id(
     nulls_last: bool = True,
     rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
     rows: int | None = None,
+    at_most: int | None = None,
 ) -> DataFrame:
     """Add ``id_col`` = 1..n (long) following ``order`` ascending.
 
     ``workdir`` is a folder in shared storage for the ranked copy; ``rows`` is
-    the row count when the caller knows it (saves a count job).
+    the row count when the caller knows it (saves a count job); ``at_most`` is
+    a known upper bound of it - within ``rows_per_range`` no count is needed.
     """
     sort_cols = _sort_columns(order, nulls_last)
+    if at_most is not None and at_most <= rows_per_range:
+        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
     n = df.count() if rows is None else rows
     spark: SparkSession = df.sparkSession
     # Enough ranges to bound each task, and to keep every core busy when large.

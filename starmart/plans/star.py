@@ -110,6 +110,7 @@ def build_star(
     with _step(timings, "clean"):
         clean = _materialize(spark, clean_submissions(raw), f"{run}/clean")
 
+    clean_rows = stored_rows(spark, f"{run}/clean")
     dims = {}
     for name, rows, order, id_col, cols in (
         ("dim_time", dim_time_rows(clean, buckets), ["year"], "time_id", ("time_id", "year", "decade", "period")),
@@ -117,12 +118,22 @@ def build_star(
         ("dim_book", dim_book_rows(clean), ["title", "author_name"], "book_id", DIM_BOOK_COLUMNS),
         ("dim_publisher", dim_publisher_rows(clean), ["publisher_name"], "publisher_id", DIM_PUBLISHER_COLUMNS),
     ):
-        with _step(timings, f"{name}_rows"):
-            keys = _materialize(spark, rows, f"{work}/{name}")
-        with _step(timings, f"{name}_ids"):
-            numbered = with_dense_id(
-                keys, order, id_col, workdir=work, rows_per_range=rows_per_range, rows=stored_rows(spark, f"{work}/{name}")
-            )
+        with _step(timings, name):
+            if clean_rows <= rows_per_range:
+                # No dimension has more rows than the cleaned table: one bounded
+                # numbering task, dedupe and ids in a single job.
+                numbered = with_dense_id(rows, order, id_col, workdir=work, at_most=clean_rows)
+            else:
+                # Materialise the dedupe once; counting and numbering read it.
+                keys = _materialize(spark, rows, f"{work}/{name}")
+                numbered = with_dense_id(
+                    keys,
+                    order,
+                    id_col,
+                    workdir=work,
+                    rows_per_range=rows_per_range,
+                    rows=stored_rows(spark, f"{work}/{name}"),
+                )
             dims[name] = _materialize(spark, numbered.select(*cols), f"{run}/{name}")
 
     facts = clean.select(
@@ -143,10 +154,10 @@ def build_star(
         "submission_id",
         workdir=work,
         rows_per_range=rows_per_range,
-        rows=stored_rows(spark, f"{run}/clean"),
+        rows=clean_rows,
     )
 
-    fact_rows = stored_rows(spark, f"{run}/clean")
+    fact_rows = clean_rows
 
     def lookup(facts, name, on, id_col):
         rows = stored_rows(spark, f"{run}/{name}")

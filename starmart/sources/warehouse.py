@@ -120,3 +120,11 @@ def read_star(spark: SparkSession, path: str) -> Star:
         fact_submission=spark.read.schema(_FACT_SCHEMA).parquet(f"{path}/fact_submission").select(*FACT_COLUMNS),
         path=path,
     )
+
+
+def open_star(spark: SparkSession, dataset: str) -> Star:
+    """The star of the run ``CURRENT`` points at (the last complete refresh)."""
+    run = current_run(spark, dataset)
+    if run is None:
+        raise FileNotFoundError(f"no published warehouse run for dataset {dataset!r}")
+    return read_star(spark, run)

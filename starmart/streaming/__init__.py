@@ -1,0 +1,6 @@
+"""Streaming: intentionally empty.
+
+The source application only does full batch reads and full-refresh writes; it
+has no stream, watermark, window over event time or state. Nothing here is
+built, so that no operator exists that the application does not have.
+"""

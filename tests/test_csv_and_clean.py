@@ -74,3 +74,31 @@ def test_clean_fills_and_levels(spark):
     assert rows[0].sede_editora == "Não informado"
     assert rows[0].selection_level == "Inscrito"
     assert rows[1].selection_level == "Finalista"
+
+
+def test_non_integer_year_fails_the_read(spark):
+    import pytest
+
+    folder = tempfile.mkdtemp(prefix="starmart-csv-")
+    with open(os.path.join(folder, "part.csv"), "w", encoding="utf-8") as fh:
+        fh.write(HEADER + "\n" + _line(ano="dois mil") + "\n")
+    with pytest.raises(Exception):
+        read_submissions_csv(spark, folder).collect()
+
+
+def test_cli_etl_on_csv_and_report(spark, capsys):
+    from starmart.__main__ import main
+
+    raw = raw_frame(
+        spark,
+        [{"ano": 2015 + i % 10, "nome_autor": f"A{i % 7}", "indicador_vencedor": "Sim" if i % 9 == 0 else "Não"} for i in range(40)],
+    )
+    folder = tempfile.mkdtemp(prefix="starmart-csv-")
+    write_submissions_csv(raw, folder)
+    dataset = "cli-" + os.path.basename(folder)
+    main(["etl", folder, dataset])
+    out = capsys.readouterr().out
+    assert "  fact_submission : 40" in out and "  raw             : 40" in out
+    main(["report", dataset, "q04"])
+    out = capsys.readouterr().out
+    assert "taxa_vitoria_pct" in out and "2024" in out
