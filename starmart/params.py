@@ -138,3 +138,8 @@ TESTDATA_YEARS = TimeBuckets(
         "Consolidação (2000-2001)",
     ),
 )
+
+# A dashboard selection other than the defaults on the test tables (some years,
+# some genres), registered as the *_selected view keys.
+SELECTED_YEARS = (1996, 1999)
+SELECTED_GENRES = ("PROMO", "SMALL", "STANDARD")
