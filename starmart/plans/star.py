@@ -166,8 +166,28 @@ def build_star(
         )
 
     facts = lookup(facts, "dim_time", [("ano", "year")], "time_id")
-    facts = lookup(facts, "dim_author", [("nome_autor", "author_name")], "author_id")
-    facts = lookup(facts, "dim_book", [("titulo_livro", "title"), ("nome_autor", "author_name")], "book_id")
+    # Every (title, author) book row names its author, so the author id is first
+    # attached to the book keys (a join of two dimensions), and one fact join on
+    # (title, author) then yields both ids: one fact shuffle instead of two.
+    book_rows = stored_rows(spark, f"{run}/dim_book")
+    book_keys = null_safe_lookup(
+        dims["dim_book"].select("title", "author_name", "book_id"),
+        dims["dim_author"],
+        [("author_name", "author_name")],
+        ["author_id"],
+        dim_rows=stored_rows(spark, f"{run}/dim_author"),
+        fact_rows=book_rows,
+        max_broadcast_rows=broadcast_rows,
+    )
+    facts = null_safe_lookup(
+        facts,
+        book_keys,
+        [("titulo_livro", "title"), ("nome_autor", "author_name")],
+        ["book_id", "author_id"],
+        dim_rows=book_rows,
+        fact_rows=fact_rows,
+        max_broadcast_rows=broadcast_rows,
+    )
     facts = lookup(facts, "dim_publisher", [("nome_editora", "publisher_name")], "publisher_id")
     write_table(facts.select(*FACT_COLUMNS), f"{run}/fact_submission", ["time_id"])
     if timings is not None:
