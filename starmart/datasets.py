@@ -10,6 +10,7 @@ import threading
 from pyspark.sql import SparkSession
 
 from starmart.params import TESTDATA_YEARS
+from starmart.session import application_id
 from starmart.sources.staging import staging_submissions
 from starmart.sources.warehouse import Star, read_star
 
@@ -26,7 +27,7 @@ def dataset_name(sf_dir: str) -> str:
 def testdata_star(spark: SparkSession, sf_dir: str) -> Star:
     from starmart.plans.star import build_star
 
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "star")
+    key = (application_id(spark), os.path.abspath(sf_dir), "star")
     with _lock:
         if key not in _runs:
             star = build_star(spark, staging_submissions(spark, sf_dir), TESTDATA_YEARS, dataset=dataset_name(sf_dir))
@@ -39,7 +40,7 @@ def testdata_marts(spark: SparkSession, sf_dir: str):
     from starmart.plans.marts import build_marts, read_marts
 
     star = testdata_star(spark, sf_dir)
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir), "marts")
+    key = (application_id(spark), os.path.abspath(sf_dir), "marts")
     with _lock:
         if key not in _runs:
             build_marts(spark, star)

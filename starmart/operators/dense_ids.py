@@ -26,6 +26,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from starmart.session import default_parallelism
+
 DEFAULT_ROWS_PER_RANGE = 2_000_000
 # Below this many rows per range, spreading over more tasks costs more than it saves.
 MIN_ROWS_PER_RANGE = 50_000
@@ -59,7 +61,7 @@ def with_dense_id(
     n = df.count() if rows is None else rows
     spark: SparkSession = df.sparkSession
     # Enough ranges to bound each task, and to keep every core busy when large.
-    parallel = min(spark.sparkContext.defaultParallelism, n // MIN_ROWS_PER_RANGE)
+    parallel = min(default_parallelism(spark), n // MIN_ROWS_PER_RANGE)
     ranges = max(1, math.ceil(n / rows_per_range), parallel)
     if ranges == 1:
         # Bounded by the count: at most rows_per_range rows in one task.

@@ -14,7 +14,11 @@ def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
     cleaning, the first write) would run on one core. Inputs that already have
     enough splits are returned unchanged, so at scale this adds no shuffle.
     """
-    target = partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    from starmart.session import default_parallelism
+
+    target = partitions or default_parallelism(df.sparkSession)
+    try:
+        current = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (Spark Connect): leave it to the cluster
         return df
-    return df.repartition(target)
+    return df if current >= target else df.repartition(target)

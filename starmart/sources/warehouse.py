@@ -34,9 +34,15 @@ def shared_root(spark: SparkSession) -> str:
     Only where none is configured (local runs and tests) a private folder is
     created and set; a cluster must name a shared one.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        try:
+            root = spark.sparkContext.getCheckpointDir()
+        except Exception:  # no SparkContext on this client
+            root = None
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         root = tempfile.mkdtemp(prefix="starmart-")
         spark.sparkContext.setCheckpointDir(root)
