@@ -22,6 +22,59 @@ from starmart.sources.schemas import DIM_AUTHOR_COLUMNS, DIM_BOOK_COLUMNS, DIM_P
 
 STAR_TABLES = ("dim_time", "dim_author", "dim_book", "dim_publisher", "fact_submission")
 
+# The table and column names of the source application's warehouse,
+# under which register_views(source_names=True) exposes the star, so SQL written
+# for it runs unchanged.
+SOURCE_NAMES = {
+    "dim_time": ("dim_tempo", {"time_id": "id_tempo", "year": "ano", "decade": "decada", "period": "periodo"}),
+    "dim_author": (
+        "dim_autor",
+        {
+            "author_id": "id_autor",
+            "author_name": "nome_autor",
+            "author_gender": "genero_autor",
+            "author_age_band": "faixa_etaria_autor",
+            "author_nationality": "nacionaldade_autor",
+            "author_country": "nome_pais_autor",
+            "author_country_iso2": "sigla_pais_iso2",
+        },
+    ),
+    "dim_book": (
+        "dim_livro",
+        {
+            "book_id": "id_livro",
+            "title": "titulo_livro",
+            "book_genre": "genero_livro",
+            "first_edition_country": "pais_primeira_edicao",
+            "author_name": "nome_autor",
+        },
+    ),
+    "dim_publisher": (
+        "dim_editora",
+        {
+            "publisher_id": "id_editora",
+            "publisher_name": "nome_editora",
+            "publisher_seat": "sede_editora",
+            "publisher_site": "site_editora",
+            "publication_type": "tipo_publicacao",
+        },
+    ),
+    "fact_submission": (
+        "fato_inscricao",
+        {
+            "submission_id": "id_inscricao",
+            "time_id": "id_tempo",
+            "author_id": "id_autor",
+            "book_id": "id_livro",
+            "publisher_id": "id_editora",
+            "is_winner": "indicador_vencedor",
+            "is_finalist": "indicador_finalista",
+            "is_semifinalist": "indicador_semifinalista",
+            "selection_level": "nivel_selecao",
+        },
+    ),
+}
+
 _FACT_SCHEMA = (
     "submission_id long, author_id long, book_id long, publisher_id long, "
     "is_winner int, is_finalist int, is_semifinalist int, selection_level string, time_id long"
@@ -103,10 +156,16 @@ class Star:
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "path"}
 
-    def register_views(self) -> None:
-        """Expose the tables to ``spark.sql`` under their own names (ad-hoc SQL)."""
+    def register_views(self, source_names: bool = False) -> None:
+        """Expose the tables to ``spark.sql`` (ad-hoc SQL): under their own names,
+        or with ``source_names`` under the source application's table and column
+        names (renaming is a projection; scans stay pruned and pushed down)."""
         for name, df in self.tables().items():
-            df.createOrReplaceTempView(name)
+            if source_names:
+                view, columns = SOURCE_NAMES[name]
+                df.withColumnsRenamed(columns).createOrReplaceTempView(view)
+            else:
+                df.createOrReplaceTempView(name)
 
 
 def write_star(star: Star, path: str) -> None:
