@@ -3,17 +3,26 @@
 from starmart.operators.clean import clean_submissions, string_columns
 from starmart.operators.dedupe import keep_first, keep_latest
 from starmart.operators.dense_ids import with_dense_id
-from starmart.operators.lookup import bounded_broadcast, null_safe_lookup
+from starmart.operators.lookup import (
+    bounded_broadcast,
+    broadcast_if_within,
+    hot_keys,
+    null_safe_lookup,
+    stored_rows,
+)
 from starmart.operators.measures import fact_measures, measures_by, share_of
 from starmart.operators.ordering import asc, desc, ordered, top_k
 from starmart.operators.reshape import measures_long, renamed
+from starmart.operators.spread import spread
 
 __all__ = [
     "asc",
     "bounded_broadcast",
+    "broadcast_if_within",
     "clean_submissions",
     "desc",
     "fact_measures",
+    "hot_keys",
     "keep_first",
     "keep_latest",
     "measures_by",
@@ -22,6 +31,8 @@ __all__ = [
     "ordered",
     "renamed",
     "share_of",
+    "spread",
+    "stored_rows",
     "string_columns",
     "top_k",
     "with_dense_id",

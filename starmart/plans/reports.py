@@ -45,7 +45,7 @@ def _publisher(star: Star, *cols: str):
     return _dim(star, "dim_publisher", "publisher_id", cols)
 
 
-def _measures(star: Star, dims, group, names: dict[str, str], small=()) -> DataFrame:
+def _measures(star: Star, dims, group, names: dict[str, str]) -> DataFrame:
     """Measures named in ``names`` (n/semi/fin/win -> output name), grouped."""
     df = measures_by(star.fact_submission, dims, group, tuple(names))
     return df.withColumnsRenamed(names)
@@ -68,14 +68,14 @@ def _country_known():
 
 def q01(star: Star) -> DataFrame:
     """Submissions per year."""
-    df = _measures(star, [_time(star, "year", "period")], ["year", "period"], {"n": "total_inscricoes"}, small=(0,))
+    df = _measures(star, [_time(star, "year", "period")], ["year", "period"], {"n": "total_inscricoes"})
     return ordered(df, [asc("year")], ["period"])
 
 
 def q02(star: Star) -> DataFrame:
     """Book genres per year."""
     df = _measures(
-        star, [_time(star, "year"), _book(star, "book_genre")], ["year", "book_genre"], {"n": "total"}, small=(0,)
+        star, [_time(star, "year"), _book(star, "book_genre")], ["year", "book_genre"], {"n": "total"}
     )
     return ordered(df, [asc("year"), desc("total")], ["book_genre"])
 
@@ -87,7 +87,6 @@ def q03(star: Star) -> DataFrame:
         [_time(star, "year"), _author(star, "author_gender", where=_gender_in())],
         ["year", "author_gender"],
         {"n": "total"},
-        small=(0,),
     )
     df = df.withColumn("pct", share_of("total", ["year"], 1))
     return ordered(df, [asc("year"), asc("author_gender")], [])
@@ -99,7 +98,7 @@ def q03(star: Star) -> DataFrame:
 def q04(star: Star) -> DataFrame:
     """Full funnel per year with three conversion rates."""
     names = {"n": "inscritos", "semi": "semifinalistas", "fin": "finalistas", "win": "vencedores"}
-    df = _measures(star, [_time(star, "year")], ["year"], names, small=(0,))
+    df = _measures(star, [_time(star, "year")], ["year"], names)
     df = df.select(
         "*",
         pct("semifinalistas", "inscritos", 1).alias("taxa_semi_pct"),
@@ -192,7 +191,6 @@ def q12(star: Star) -> DataFrame:
         [_time(star, "year"), _publisher(star, "publication_type")],
         ["year", "publication_type"],
         {"n": "inscricoes"},
-        small=(0,),
     )
     df = df.withColumn("pct_do_ano", share_of("inscricoes", ["year"], 1))
     return ordered(df, [asc("year"), asc("publication_type")], [])
@@ -204,13 +202,13 @@ def q12(star: Star) -> DataFrame:
 def d01(star: Star) -> DataFrame:
     """Per year: entries and funnel counts."""
     names = {"n": "total", "semi": "semifinalistas", "fin": "finalistas", "win": "vencedores"}
-    df = _measures(star, [_time(star, "year", "period")], ["year", "period"], names, small=(0,))
+    df = _measures(star, [_time(star, "year", "period")], ["year", "period"], names)
     return ordered(df, [asc("year")], ["period"])
 
 
 def d02(star: Star) -> DataFrame:
     df = _measures(
-        star, [_time(star, "year"), _book(star, "book_genre")], ["year", "book_genre"], {"n": "total"}, small=(0,)
+        star, [_time(star, "year"), _book(star, "book_genre")], ["year", "book_genre"], {"n": "total"}
     )
     return ordered(df, [asc("year")], ["book_genre"])
 
@@ -221,7 +219,6 @@ def d03(star: Star) -> DataFrame:
         [_time(star, "year"), _author(star, "author_gender", where=_gender_in())],
         ["year", "author_gender"],
         {"n": "total"},
-        small=(0,),
     )
     return ordered(df, [asc("year")], ["author_gender"])
 
@@ -271,7 +268,6 @@ def d09(star: Star) -> DataFrame:
         [_time(star, "year"), _publisher(star, "publication_type")],
         ["year", "publication_type"],
         {"n": "inscricoes"},
-        small=(0,),
     )
     return ordered(df, [asc("year")], ["publication_type"])
 

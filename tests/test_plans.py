@@ -6,7 +6,6 @@ from __future__ import annotations
 import pytest
 
 from starmart.plans import reports, views
-from starmart.plans.marts import read_marts
 from starmart.plans.star import dim_author_rows, dim_publisher_rows
 
 
@@ -72,6 +71,10 @@ def test_dedupe_combines_before_shuffle(spark, small_star):
 
 
 def test_year_filter_prunes_mart_partitions(spark, small_star):
-    marts = read_marts(spark, small_star.path)
+    from starmart.datasets import testdata_marts
+
+    from conftest import SF_SMALL
+
+    marts = testdata_marts(spark, SF_SMALL)
     text = plan(views.v02(marts, (1996, 1997)))
     assert "PushedFilters" in text and "year" in text

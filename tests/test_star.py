@@ -122,3 +122,15 @@ def test_multi_range_ids_equal_single_range(spark, small_star):
     joined = got.join(exp, [got.title.eqNullSafe(exp.title), got.author_name.eqNullSafe(exp.author_name)])
     assert joined.count() == 3969
     assert joined.filter(F.col("id") != F.col("exp")).count() == 0
+
+
+def test_refresh_publishes_last_complete_run(spark):
+    from starmart.sources.warehouse import current_run, open_star
+
+    dataset = f"test-refresh-{uuid.uuid4().hex[:6]}"
+    first = build_star(spark, raw_frame(spark, [{}]), PRIZE_YEARS, dataset=dataset)
+    assert current_run(spark, dataset) == first.path
+    second = build_star(spark, raw_frame(spark, [{}, {"nome_autor": "Beto"}]), PRIZE_YEARS, dataset=dataset)
+    assert current_run(spark, dataset) == second.path != first.path
+    assert open_star(spark, dataset).fact_submission.count() == 2
+    assert first.fact_submission.count() == 1  # the earlier run stays readable
