@@ -3,10 +3,10 @@
 Layout under the folder the session names in ``spark.checkpoint.dir``::
 
     <root>/starmart/<dataset>/runs/<run-id>/{clean,dim_time,...,fact_submission,marts/...}
-    <root>/starmart/<dataset>/CURRENT          one line: the run folder now published
+    <root>/starmart/<dataset>/PUBLISHED        append-only records: (stamp, run folder)
 
-A refresh writes a complete new run folder and switches ``CURRENT`` last, so a
-failure midway never leaves readers on a half-written mix of tables.
+A refresh writes a complete new run folder and appends its publish record last,
+so a failure midway never leaves readers on a half-written mix of tables.
 """
 
 from __future__ import annotations
@@ -17,6 +17,7 @@ import uuid
 from dataclasses import dataclass, fields
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from starmart.sources.schemas import DIM_AUTHOR_COLUMNS, DIM_BOOK_COLUMNS, DIM_PUBLISHER_COLUMNS, FACT_COLUMNS
 
@@ -119,18 +120,24 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def publish(spark: SparkSession, dataset: str, run_path: str) -> None:
-    """Point ``CURRENT`` at a completely written run folder."""
-    spark.createDataFrame([(run_path,)], "run string").coalesce(1).write.mode("overwrite").text(
-        f"{dataset_base(spark, dataset)}/CURRENT"
-    )
+    """Record a completely written run folder as the current one.
+
+    Publishing appends one small record (a nanosecond stamp and the run path);
+    a file appears only when its write commits, so readers never see a missing
+    or half-written pointer, and older records keep the history of refreshes.
+    """
+    record = spark.createDataFrame([(time.time_ns(), run_path)], "published_ns long, run string")
+    record.coalesce(1).write.mode("append").json(f"{dataset_base(spark, dataset)}/PUBLISHED")
 
 
 def current_run(spark: SparkSession, dataset: str) -> str | None:
+    """The run folder of the latest publish record, or None before the first."""
     try:
-        rows = spark.read.text(f"{dataset_base(spark, dataset)}/CURRENT").take(1)
-    except Exception:  # no published run yet
+        records = spark.read.schema("published_ns long, run string").json(f"{dataset_base(spark, dataset)}/PUBLISHED")
+        latest = records.orderBy(F.col("published_ns").desc(), F.col("run").desc()).take(1)
+    except Exception:  # nothing published yet
         return None
-    return rows[0][0] if rows else None
+    return latest[0]["run"] if latest else None
 
 
 @dataclass(frozen=True)
@@ -188,7 +195,7 @@ def read_star(spark: SparkSession, path: str) -> Star:
 
 
 def open_star(spark: SparkSession, dataset: str) -> Star:
-    """The star of the run ``CURRENT`` points at (the last complete refresh)."""
+    """The star of the latest published run (the last complete refresh)."""
     run = current_run(spark, dataset)
     if run is None:
         raise FileNotFoundError(f"no published warehouse run for dataset {dataset!r}")
