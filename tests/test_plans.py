@@ -78,3 +78,20 @@ def test_year_filter_prunes_mart_partitions(spark, small_star):
     marts = testdata_marts(spark, SF_SMALL)
     text = plan(views.v02(marts, (1996, 1997)))
     assert "PushedFilters" in text and "year" in text
+
+
+def test_year_filter_on_time_dimension_prunes_fact_partitions(small_star):
+    from pyspark.sql import functions as F
+
+    years = small_star.dim_time.filter(F.col("year").between(1996, 1997)).select("time_id", "year")
+    df = small_star.fact_submission.join(years, "time_id").groupBy("year").count()
+    text = plan(df)
+    assert "dynamicpruningexpression" in text.lower(), text
+    assert sorted(r["count"] for r in df.collect()) == sorted(
+        r["count"]
+        for r in small_star.fact_submission.join(small_star.dim_time, "time_id")
+        .filter(F.col("year").between(1996, 1997))
+        .groupBy("year")
+        .count()
+        .collect()
+    )
