@@ -11,7 +11,7 @@ Typical use::
 
 from starmart.params import PRIZE_YEARS, TESTDATA_YEARS, TimeBuckets
 from starmart.plans import reports, views
-from starmart.plans.marts import build_marts, read_marts
+from starmart.plans.marts import build_marts, live_marts, read_marts
 from starmart.plans.star import build_star
 from starmart.sources.csv import read_submissions_csv, write_submissions_csv
 from starmart.sources.warehouse import Star, open_star, read_star
@@ -23,6 +23,7 @@ __all__ = [
     "TimeBuckets",
     "build_marts",
     "build_star",
+    "live_marts",
     "open_star",
     "read_marts",
     "read_star",

@@ -95,3 +95,13 @@ def test_year_filter_on_time_dimension_prunes_fact_partitions(small_star):
         .count()
         .collect()
     )
+
+
+def test_live_view_pushes_year_filter_into_time_scan(small_star):
+    from starmart.plans.marts import live_marts
+
+    df = views.v02(live_marts(small_star), (1996, 1997))
+    text = plan(df)
+    time_scans = [line for line in text.splitlines() if "ReadSchema: struct<time_id:bigint,year:int" in line]
+    assert time_scans and all("GreaterThanOrEqual(year,1996)" in line for line in time_scans), text
+    assert sorted(r.year for r in df.collect()) == [1996, 1997]
