@@ -4,15 +4,24 @@ instead of re-aggregating the fact."""
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
+
 from pyspark.sql import DataFrame, SparkSession
 
 from starmart.plans.reports import DASHBOARD
 from starmart.sources.warehouse import Star, write_table
 
 
-def build_marts(spark: SparkSession, star: Star) -> dict[str, DataFrame]:
-    for name, report in DASHBOARD.items():
+def build_marts(spark: SparkSession, star: Star, concurrency: int = 4) -> dict[str, DataFrame]:
+    """Write d01-d10 next to the star. The ten writes are independent jobs and
+    are submitted a few at a time, so small jobs share the cluster."""
+
+    def write(item):
+        name, report = item
         write_table(report(star), f"{star.path}/marts/{name}")
+
+    with ThreadPoolExecutor(max_workers=concurrency) as pool:
+        list(pool.map(write, DASHBOARD.items()))
     return read_marts(spark, star.path)
 
 

@@ -8,6 +8,7 @@ table, and later stages read just the columns they need.
 from __future__ import annotations
 
 import time
+from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
@@ -111,13 +112,8 @@ def build_star(
         clean = _materialize(spark, clean_submissions(raw), f"{run}/clean")
 
     clean_rows = stored_rows(spark, f"{run}/clean")
-    dims = {}
-    for name, rows, order, id_col, cols in (
-        ("dim_time", dim_time_rows(clean, buckets), ["year"], "time_id", ("time_id", "year", "decade", "period")),
-        ("dim_author", dim_author_rows(clean), ["author_name"], "author_id", DIM_AUTHOR_COLUMNS),
-        ("dim_book", dim_book_rows(clean), ["title", "author_name"], "book_id", DIM_BOOK_COLUMNS),
-        ("dim_publisher", dim_publisher_rows(clean), ["publisher_name"], "publisher_id", DIM_PUBLISHER_COLUMNS),
-    ):
+
+    def build_dim(name, rows, order, id_col, cols):
         with _step(timings, name):
             if clean_rows <= rows_per_range:
                 # No dimension has more rows than the cleaned table: one bounded
@@ -134,7 +130,17 @@ def build_star(
                     rows_per_range=rows_per_range,
                     rows=stored_rows(spark, f"{work}/{name}"),
                 )
-            dims[name] = _materialize(spark, numbered.select(*cols), f"{run}/{name}")
+            return name, _materialize(spark, numbered.select(*cols), f"{run}/{name}")
+
+    # The four dimensions are independent jobs: submit them together.
+    specs = (
+        ("dim_time", dim_time_rows(clean, buckets), ["year"], "time_id", ("time_id", "year", "decade", "period")),
+        ("dim_author", dim_author_rows(clean), ["author_name"], "author_id", DIM_AUTHOR_COLUMNS),
+        ("dim_book", dim_book_rows(clean), ["title", "author_name"], "book_id", DIM_BOOK_COLUMNS),
+        ("dim_publisher", dim_publisher_rows(clean), ["publisher_name"], "publisher_id", DIM_PUBLISHER_COLUMNS),
+    )
+    with ThreadPoolExecutor(max_workers=len(specs)) as pool:
+        dims = dict(pool.map(lambda spec: build_dim(*spec), specs))
 
     facts = clean.select(
         ROW_KEY,
