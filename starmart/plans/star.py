@@ -132,16 +132,6 @@ def build_star(
                 )
             return name, _materialize(spark, numbered.select(*cols), f"{run}/{name}")
 
-    # The four dimensions are independent jobs: submit them together.
-    specs = (
-        ("dim_time", dim_time_rows(clean, buckets), ["year"], "time_id", ("time_id", "year", "decade", "period")),
-        ("dim_author", dim_author_rows(clean), ["author_name"], "author_id", DIM_AUTHOR_COLUMNS),
-        ("dim_book", dim_book_rows(clean), ["title", "author_name"], "book_id", DIM_BOOK_COLUMNS),
-        ("dim_publisher", dim_publisher_rows(clean), ["publisher_name"], "publisher_id", DIM_PUBLISHER_COLUMNS),
-    )
-    with ThreadPoolExecutor(max_workers=len(specs)) as pool:
-        dims = dict(pool.map(lambda spec: build_dim(*spec), specs))
-
     facts = clean.select(
         ROW_KEY,
         "ano",
@@ -153,16 +143,32 @@ def build_star(
         F.col("indicador_semifinalista").alias("is_semifinalist"),
         "selection_level",
     )
-    t_fact = time.perf_counter()
-    facts = with_dense_id(
-        facts,
-        [ROW_KEY],
-        "submission_id",
-        workdir=work,
-        rows_per_range=rows_per_range,
-        rows=clean_rows,
+
+    def rank_facts():
+        # Submission ids depend only on the cleaned rows, not on the dimensions.
+        with _step(timings, "fact_ids"):
+            return with_dense_id(
+                facts,
+                [ROW_KEY],
+                "submission_id",
+                workdir=work,
+                rows_per_range=rows_per_range,
+                rows=clean_rows,
+            )
+
+    # The four dimensions and the fact ids are independent jobs: submit them together.
+    specs = (
+        ("dim_time", dim_time_rows(clean, buckets), ["year"], "time_id", ("time_id", "year", "decade", "period")),
+        ("dim_author", dim_author_rows(clean), ["author_name"], "author_id", DIM_AUTHOR_COLUMNS),
+        ("dim_book", dim_book_rows(clean), ["title", "author_name"], "book_id", DIM_BOOK_COLUMNS),
+        ("dim_publisher", dim_publisher_rows(clean), ["publisher_name"], "publisher_id", DIM_PUBLISHER_COLUMNS),
     )
+    with ThreadPoolExecutor(max_workers=len(specs) + 1) as pool:
+        ranked = pool.submit(rank_facts)
+        dims = dict(pool.map(lambda spec: build_dim(*spec), specs))
+        facts = ranked.result()
 
+    t_fact = time.perf_counter()
     fact_rows = clean_rows
 
     def lookup(facts, name, on, id_col):
