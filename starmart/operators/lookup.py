@@ -118,7 +118,7 @@ def null_safe_lookup(
         "*",
         *[F.when(is_hot, F.lit(None)).otherwise(F.col(f)).alias(f"__s{i}") for i, f in enumerate(fact_keys)],
         F.when(is_hot, F.xxhash64(*[F.col(c) for c in facts.columns]))
-        .otherwise(F.xxhash64(*[F.col(f) for f in fact_keys]))
+        .otherwise(F.xxhash64(*[F.col(f).cast(side.schema[k].dataType) for f, k in zip(fact_keys, side_keys)]))
         .alias("__route"),
     )
     cold_keys = [f"__ck{i}" for i in range(len(on))]

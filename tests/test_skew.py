@@ -76,3 +76,14 @@ def test_star_with_all_shuffle_lookups_matches_default(spark, small_star):
     b = forced.fact_submission.select(*cols)
     assert a.count() == b.count() == 6000
     assert a.exceptAll(b).count() == 0
+
+
+def test_shuffle_lookup_with_differing_key_types(spark):
+    # Key 7 holds half the rows (hot); keys 0..49 are cold and go through the shuffle.
+    data = [(i, 7 if i % 2 else (i // 2) % 50) for i in range(400)]
+    facts = spark.createDataFrame(data, "rid long, k int")
+    dim = spark.createDataFrame([(k, k * 10) for k in range(50)], "key long, val long")
+    assert hot_keys(facts, ["k"], 400, share=0.1) == [(7,)]
+    out = null_safe_lookup(facts, dim, [("k", "key")], ["val"], max_broadcast_rows=0, hot_share=0.1)
+    got = {r.rid: r.val for r in out.collect()}
+    assert got == {rid: k * 10 for rid, k in data}
