@@ -120,3 +120,21 @@ def test_display_formats(spark):
     rows = df.select(thousands_dot("v"), printf("%d 🏆", "v")).collect()
     assert [r[0] for r in rows] == ["16.799", "0", "1.234.567"]
     assert [r[1] for r in rows] == ["16799 🏆", "0 🏆", "1234567 🏆"]
+
+
+def test_strip_property_against_python(spark):
+    from hypothesis import HealthCheck, given, settings
+    from hypothesis import strategies as st
+
+    from starmart.functions.text import STRIP_CHARS
+
+    alphabet = st.sampled_from(list(STRIP_CHARS) + list("ab ção​\x00\x1b\x7f­"))
+    texts = st.lists(st.text(alphabet=alphabet, max_size=12), min_size=1, max_size=40)
+
+    @settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+    @given(texts)
+    def check(values):
+        got = [r[0] for r in one_col(spark, values).select(unicode_strip("v")).collect()]
+        assert got == [v.strip() for v in values]
+
+    check()
