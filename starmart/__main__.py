@@ -11,7 +11,6 @@ from __future__ import annotations
 import argparse
 
 from pyspark.sql import SparkSession
-from pyspark.sql import functions as F
 
 from starmart.params import PRIZE_YEARS
 from starmart.plans.etl import level_counts, row_counts

@@ -6,7 +6,6 @@ from decimal import Decimal
 from fractions import Fraction
 
 import pytest
-from pyspark.sql import functions as F
 
 from starmart.functions import (
     age_band_rank,
