@@ -11,10 +11,13 @@ from starmart.operators.spread import spread
 from starmart.sources.schemas import RAW_COLUMNS, RAW_SCHEMA, ROW_KEY
 
 
-def read_submissions_csv(spark: SparkSession, path: str) -> DataFrame:
+def read_submissions_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """Read the raw submissions file(s) with the explicit 16-column schema.
 
     * Quoted cells may hold newlines and doubled quotes (``multiLine``, ``escape``).
+      A multi-line file cannot be split, so it is read by one task: at scale give
+      many files, or pass ``multiline=False`` for files without line breaks inside
+      cells, which Spark then splits by block.
     * A non-integer year fails the read (``FAILFAST``) instead of becoming null.
     * Missing-value tokens (``NA``, ``null``, empty cell, ...) become null on every
       text column, before any stripping.
@@ -24,7 +27,7 @@ def read_submissions_csv(spark: SparkSession, path: str) -> DataFrame:
         spark.read.schema(RAW_SCHEMA)
         .option("header", True)
         .option("encoding", "UTF-8")
-        .option("multiLine", True)
+        .option("multiLine", multiline)
         .option("quote", '"')
         .option("escape", '"')
         .option("mode", "FAILFAST")

@@ -102,3 +102,12 @@ def test_cli_etl_on_csv_and_report(spark, capsys):
     main(["report", dataset, "q04"])
     out = capsys.readouterr().out
     assert "taxa_vitoria_pct" in out and "2024" in out
+
+
+def test_single_line_mode_reads_the_same_rows(spark):
+    raw = raw_frame(spark, [{"nome_autor": f"  A{i} ", "indicador_vencedor": "SIM" if i % 3 else None} for i in range(30)])
+    folder = tempfile.mkdtemp(prefix="starmart-csv-")
+    write_submissions_csv(raw, folder)
+    a = clean_submissions(read_submissions_csv(spark, folder)).drop("row_key")
+    b = clean_submissions(read_submissions_csv(spark, folder, multiline=False)).drop("row_key")
+    assert a.count() == 30 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
