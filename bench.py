@@ -34,10 +34,15 @@ def main() -> None:
 
     spark = local_session(cpus, shuffle_partitions=cpus, app="starmart-bench")
     times: dict[str, float] = {}
+    errors: dict[str, str] = {}
 
     def timed(name, fn):
         t0 = time.perf_counter()
-        out = fn()
+        try:
+            out = fn()
+        except Exception as exc:  # keep measuring the other steps; report the failure
+            errors[name] = f"{type(exc).__name__}: {str(exc)[:200]}"
+            return None
         times[name] = round(time.perf_counter() - t0, 3)
         return out
 
@@ -53,26 +58,27 @@ def main() -> None:
 
     dataset = dataset_name(sf_dir) + "-bench"
     star = timed("etl_build", lambda: build_star(spark, staging_submissions(spark, sf_dir), TESTDATA_YEARS, dataset=dataset))
-    for key, report in {**REPORTS, **DASHBOARD}.items():
-        timed(key, lambda: report(star).collect())
-    marts = timed("marts_build", lambda: build_marts(spark, star))
-    for key, view in VIEWS.items():
-        timed(key, lambda: view(marts).collect())
-    timed("etl_row_counts", lambda: row_counts(spark, star).collect())
+    if star is not None:
+        for key, report in {**REPORTS, **DASHBOARD}.items():
+            timed(key, lambda: report(star).collect())
+        marts = timed("marts_build", lambda: build_marts(spark, star))
+        if marts is not None:
+            for key, view in VIEWS.items():
+                timed(key, lambda: view(marts).collect())
+        timed("etl_row_counts", lambda: row_counts(spark, star).collect())
     timed("etl_csv_roundtrip", lambda: csv_roundtrip(spark, staging_submissions(spark, sf_dir), dataset).count())
 
     sf = re.search(r"sf([0-9.]+)", sf_dir)
-    print(
-        json.dumps(
-            {
-                "metric": "total_sec",
-                "value": round(sum(times.values()), 3),
-                "unit": "sec",
-                "queries": times,
-                "sf": float(sf.group(1)) if sf else sf_dir,
-            }
-        )
-    )
+    result = {
+        "metric": "total_sec",
+        "value": round(sum(times.values()), 3),
+        "unit": "sec",
+        "queries": times,
+        "sf": float(sf.group(1)) if sf else sf_dir,
+    }
+    if errors:
+        result["errors"] = errors
+    print(json.dumps(result))
     spark.stop()
 
 
