@@ -201,7 +201,13 @@ def build_star(
         max_broadcast_rows=broadcast_rows,
     )
     facts = lookup(facts, "dim_publisher", [("nome_editora", "publisher_name")], "publisher_id")
-    write_table(facts.select(*FACT_COLUMNS), f"{run}/fact_submission", ["time_id"])
+    fact_out = facts.select(*FACT_COLUMNS)
+    if fact_rows > rows_per_range and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
+        # Large fact: without this every write task would open one file per year.
+        # AQE's rebalance gives advisory-sized tasks that each hold one time_id
+        # (hot years are split), for one shuffle of the narrow fact rows.
+        fact_out = fact_out.hint("rebalance", "time_id")
+    write_table(fact_out, f"{run}/fact_submission", ["time_id"])
     if timings is not None:
         timings["fact_submission"] = round(time.perf_counter() - t_fact, 3)
 
