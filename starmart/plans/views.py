@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.functions.derive import age_band_rank
@@ -125,9 +125,7 @@ def v11(marts: Marts) -> DataFrame:
 
 
 def _whole_order(col: str):
-    # Distinct filter options of a stored mart: a handful of rows.
-    from pyspark.sql import Window
-
+    # Over the distinct filter options of a stored mart: a handful of rows.
     return Window.orderBy(F.col(col).asc_nulls_last())
 
 
