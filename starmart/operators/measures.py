@@ -20,11 +20,18 @@ FLAG_OF = {"semi": "is_semifinalist", "fin": "is_finalist", "win": "is_winner"}
 ALL_MEASURES = ("n", "semi", "fin", "win")
 
 
-def fact_measures(fact: DataFrame, keys: list[str], measures=ALL_MEASURES) -> DataFrame:
-    """Per ``keys``: n = row count, semi/fin/win = sums of the 0/1 flags (long)."""
+def fact_measures(fact: DataFrame, keys: list, measures=ALL_MEASURES) -> DataFrame:
+    """Per ``keys``: n = row count, semi/fin/win = sums of the 0/1 flags (long).
+
+    Input that is itself such an aggregate (it carries an ``n`` column) is
+    re-aggregated: its measures are summed.
+    """
+    preaggregated = "n" in fact.columns
     aggs = []
     for m in measures:
-        if m == "n":
+        if preaggregated:
+            aggs.append(F.sum(m).cast("long").alias(m))
+        elif m == "n":
             aggs.append(F.count(F.lit(1)).alias("n"))
         else:
             aggs.append(F.sum(FLAG_OF[m]).cast("long").alias(m))

@@ -115,3 +115,11 @@ def test_awarded_table_names(marts):
     assert df.columns == ["Editora", "Sede", "Inscrições", "Finalistas", "Vitórias", "Vitórias_texto"]
     r = df.first()
     assert r["Vitórias_texto"] == f"{r['Vitórias']} 🏆"
+
+
+def test_stored_marts_equal_reports_on_the_fact(small_star, marts):
+    for name, report in reports.DASHBOARD.items():
+        live = report(small_star)
+        stored = marts[name].select(*live.columns)
+        assert live.count() == stored.count(), name
+        assert live.exceptAll(stored).count() == 0, name
