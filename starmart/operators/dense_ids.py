@@ -1,8 +1,9 @@
 """Dense surrogate ids 1..n in the order of some columns, without a global sort task.
 
-``row_number().over(Window.orderBy(...))`` moves every row into one partition.
-Above ``rows_per_range`` rows the ids are built like ``zipWithIndex``, in
-DataFrame form:
+``row_number().over(Window.orderBy(...))`` moves every row into one partition;
+it is used only while the row count is within ``rows_per_range``. Above that
+(or when there are enough rows to keep every core busy) the ids are built like
+``zipWithIndex``, in DataFrame form:
 
 1. ``repartitionByRange`` cuts the rows into ordered ranges (Spark samples the
    keys in the cluster), ``sortWithinPartitions`` orders each range, and
