@@ -94,6 +94,23 @@ def dim_publisher_rows(clean: DataFrame) -> DataFrame:
     )
 
 
+FOREIGN_KEYS = ("time_id", "author_id", "book_id", "publisher_id")
+
+
+def check_fact(fact: DataFrame, expected_rows: int) -> None:
+    """Raise unless the fact has one row per cleaned row and every foreign key is
+    set (one aggregate over the key columns)."""
+    agg = fact.agg(
+        F.count(F.lit(1)).alias("rows"),
+        *[F.sum(F.col(k).isNull().cast("long")).alias(k) for k in FOREIGN_KEYS],
+    ).first()
+    problems = [f"{k}: {agg[k]} null" for k in FOREIGN_KEYS if agg[k]]
+    if agg["rows"] != expected_rows:
+        problems.append(f"{agg['rows']} fact rows for {expected_rows} submissions")
+    if problems:
+        raise RuntimeError("fact check failed, run not published: " + "; ".join(problems))
+
+
 def build_star(
     spark: SparkSession,
     raw: DataFrame,
@@ -104,8 +121,9 @@ def build_star(
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     timings: dict | None = None,
 ) -> Star:
-    """Run the whole ETL into a new run folder and publish it; returns the star
-    read back. ``timings``, when given, receives seconds per step."""
+    """Run the whole ETL into a new run folder, check the fact and publish the
+    run; returns the star read back. ``timings``, when given, receives seconds
+    per step."""
     run = new_run(spark, dataset)
     work = f"{run}/_work"
     with _step(timings, "clean"):
@@ -211,8 +229,10 @@ def build_star(
     if timings is not None:
         timings["fact_submission"] = round(time.perf_counter() - t_fact, 3)
 
+    star = read_star(spark, run)
+    check_fact(star.fact_submission, fact_rows)
     publish(spark, dataset, run)
-    return read_star(spark, run)
+    return star
 
 
 def read_clean(spark: SparkSession, star: Star) -> DataFrame:

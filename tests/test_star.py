@@ -159,3 +159,14 @@ def test_large_scale_path_gives_identical_star(spark, small_star):
         year = f.split("time_id=")[1].split("/")[0]
         per_year[year] = per_year.get(year, 0) + 1
     assert per_year and max(per_year.values()) <= 2, per_year
+
+
+def test_fact_check_rejects_missing_keys_and_rows(spark):
+    from starmart.plans.star import check_fact
+
+    good = spark.createDataFrame([(1, 1, 1, 1), (2, 1, 2, 1)], "time_id long, author_id long, book_id long, publisher_id long")
+    check_fact(good, 2)
+    with pytest.raises(RuntimeError, match="book_id: 1 null"):
+        check_fact(spark.createDataFrame([(1, 1, None, 1)], good.schema), 1)
+    with pytest.raises(RuntimeError, match="2 fact rows for 3"):
+        check_fact(good, 3)
