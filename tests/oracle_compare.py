@@ -47,17 +47,36 @@ def _rows(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(type(x)), x if x is not None else 0) for x in t))
 
 
+# Spark simple type name -> DuckDB type name, for the schema check.
+_TYPE_NAMES = {
+    "int": "INTEGER",
+    "bigint": "BIGINT",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "boolean": "BOOLEAN",
+    "smallint": "SMALLINT",
+    "tinyint": "TINYINT",
+    "float": "FLOAT",
+    "date": "DATE",
+}
+
+
 def compare(spark, con, key, query, sql, sf_dir):
     t0 = time.time()
     sdf = query(spark, sf_dir)
     s_cols = sdf.columns
     s_rows = _rows(s_cols, [tuple(r) for r in sdf.collect()])
     t1 = time.time()
+    d_types = {r[0]: r[1] for r in con.execute(f"DESCRIBE {sql}").fetchall()}
     rel = con.execute(sql)
     d_cols = [d[0] for d in rel.description]
     d_rows = _rows(d_cols, rel.fetchall())
     t2 = time.time()
     problems = []
+    s_types = {f.name: _TYPE_NAMES.get(f.dataType.simpleString(), f.dataType.simpleString()) for f in sdf.schema.fields}
+    type_diff = {c: (s_types[c], d_types.get(c)) for c in s_types if c in d_types and s_types[c] != d_types[c]}
+    if type_diff:
+        problems.append(f"types {type_diff}")
     if sorted(s_cols) != sorted(d_cols):
         problems.append(f"columns spark={sorted(s_cols)} oracle={sorted(d_cols)}")
     if len(s_rows) != len(d_rows):
