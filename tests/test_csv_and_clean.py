@@ -111,3 +111,22 @@ def test_single_line_mode_reads_the_same_rows(spark):
     a = clean_submissions(read_submissions_csv(spark, folder)).drop("row_key")
     b = clean_submissions(read_submissions_csv(spark, folder, multiline=False)).drop("row_key")
     assert a.count() == 30 and a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_first_raw_row_follows_file_order(spark):
+    import uuid
+
+    from starmart.params import PRIZE_YEARS
+    from starmart.plans.star import build_star
+
+    folder = tempfile.mkdtemp(prefix="starmart-csv-")
+    # The first file is the smaller one, so Spark schedules it last; the row key
+    # (file, split start, position) still puts its rows first.
+    with open(os.path.join(folder, "part-00000.csv"), "w", encoding="utf-8") as fh:
+        fh.write(HEADER + "\n" + _line(nome_editora="Editora P", sede_editora="primeira") + "\n")
+    with open(os.path.join(folder, "part-00001.csv"), "w", encoding="utf-8") as fh:
+        rows = [_line(nome_editora="Editora P", sede_editora="segunda", titulo_livro=f"T{i}") for i in range(200)]
+        fh.write(HEADER + "\n" + "\n".join(rows) + "\n")
+    star = build_star(spark, read_submissions_csv(spark, folder), PRIZE_YEARS, dataset=f"test-order-{uuid.uuid4().hex[:6]}")
+    seats = {r.publisher_name: r.publisher_seat for r in star.dim_publisher.collect()}
+    assert seats == {"Editora P": "primeira"}
