@@ -105,3 +105,16 @@ def test_live_view_pushes_year_filter_into_time_scan(small_star):
     time_scans = [line for line in text.splitlines() if "ReadSchema: struct<time_id:bigint,year:int" in line]
     assert time_scans and all("GreaterThanOrEqual(year,1996)" in line for line in time_scans), text
     assert sorted(r.year for r in df.collect()) == [1996, 1997]
+
+
+def test_ranged_ids_never_number_rows_in_one_partition(spark, small_star):
+    from starmart.operators.dense_ids import with_dense_id
+    from starmart.sources.warehouse import shared_root
+
+    clean = spark.read.parquet(f"{small_star.path}/clean").select("row_key", "nome_autor")
+    ids = with_dense_id(clean, ["row_key"], "submission_id", workdir=f"{shared_root(spark)}/test-plan-ids", rows_per_range=1000)
+    text = plan(ids)
+    assert "row_number" not in text  # no numbering window over the rows
+    assert "BroadcastHashJoin" in text  # offsets, one row per range, joined map-side
+    windows = [line for line in text.splitlines() if "Window [" in line]
+    assert len(windows) == 1 and "__range" in windows[0]  # the running offsets over per-range counts
