@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import mixing, packing, pii, quality, toxicity
+from starmart.llm import jaccard_join, mixing, packing, pii, quality, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -16,6 +16,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": lambda s, d: packing.pack_documents(_table(s, d, "documents")),
+        "op2_jaccard_join": lambda s, d: jaccard_join.similar_groups(_table(s, d, "documents")),
         "op7_toxicity": lambda s, d: toxicity.toxicity(_table(s, d, "documents"), _table(s, d, "labels")),
         "op8_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
         "op9_pii": lambda s, d: pii.pii(_table(s, d, "documents")),
