@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import jaccard_join, mixing, packing, pii, quality, toxicity
+from starmart.llm import grid_join, jaccard_join, mixing, packing, pii, quality, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,6 +17,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": lambda s, d: packing.pack_documents(_table(s, d, "documents")),
         "op2_jaccard_join": lambda s, d: jaccard_join.similar_groups(_table(s, d, "documents")),
+        "op4_top_inner_products": lambda s, d: topk.top_inner_products(_table(s, d, "embeddings")),
+        "op6_grid_join": lambda s, d: grid_join.near_vectors(_table(s, d, "embeddings")),
         "op7_toxicity": lambda s, d: toxicity.toxicity(_table(s, d, "documents"), _table(s, d, "labels")),
         "op8_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
         "op9_pii": lambda s, d: pii.pii(_table(s, d, "documents")),
@@ -25,4 +27,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op8_mixing": mixing.MIX_SQL}
+    return {
+        "op4_top_inner_products": topk.TOP_SQL,
+        "op6_grid_join": grid_join.NEAR_SQL,
+        "op8_mixing": mixing.MIX_SQL,
+    }
