@@ -93,6 +93,19 @@ def _sums(values: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarra
     return total[ends] - total[starts]
 
 
+def multiply_up(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """At least ``n`` powers of the multiplier and of its inverse."""
+    _Powers.grow(n)
+    return _Powers.up, _Powers.down
+
+
+def words_of_block(data: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts, ends and hashes (A-Z as a-z) of the words of a block."""
+    starts, ends = _segments(data)
+    up, down = multiply_up(len(data) + 1)
+    return starts, ends, mix(_sums(LOWER[data] * up[: len(data)], starts, ends) * down[starts])
+
+
 def _block_words(data: np.ndarray, lower: bool, shapes: bool):
     starts, ends = _segments(data)
     n = len(data)
@@ -110,7 +123,7 @@ def _block_words(data: np.ndarray, lower: bool, shapes: bool):
     return starts, words, mix(shape * _Powers.down[first])
 
 
-def _blocks(text: bytes) -> Iterator[bytes]:
+def blocks(text: bytes) -> Iterator[bytes]:
     """A text in blocks of about BLOCK bytes, cut at white space."""
     at, n = 0, len(text)
     while n - at > BLOCK:
@@ -147,7 +160,7 @@ def word_hashes(
             if group:
                 yield from flush()
                 group, held = [], 0
-            parts = [_block_words(np.frombuffer(b, dtype=np.uint8), lower, shapes) for b in _blocks(text)]
+            parts = [_block_words(np.frombuffer(b, dtype=np.uint8), lower, shapes) for b in blocks(text)]
             yield np.concatenate([p[1] for p in parts]), np.concatenate([p[2] for p in parts]) if shapes else None
             continue
         group.append(text)

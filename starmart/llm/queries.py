@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import grid_join, jaccard_join, mixing, packing, pii, quality, topk, toxicity
+from starmart.llm import grid_join, jaccard_join, mixing, packing, pii, quality, sentence_dedup, tool_calls, topk, toxicity
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -17,7 +17,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_best_fit_packing": lambda s, d: packing.pack_documents(_table(s, d, "documents")),
         "op2_jaccard_join": lambda s, d: jaccard_join.similar_groups(_table(s, d, "documents")),
+        "op3_sentence_spans": lambda s, d: sentence_dedup.repeated_report(_table(s, d, "documents")),
         "op4_top_inner_products": lambda s, d: topk.top_inner_products(_table(s, d, "embeddings")),
+        "op5_tool_calls": lambda s, d: tool_calls.format_conversations(_table(s, d, "conversations")),
         "op6_grid_join": lambda s, d: grid_join.near_vectors(_table(s, d, "embeddings")),
         "op7_toxicity": lambda s, d: toxicity.toxicity(_table(s, d, "documents"), _table(s, d, "labels")),
         "op8_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
@@ -28,7 +30,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op3_sentence_spans": sentence_dedup.SPANS_SQL,
         "op4_top_inner_products": topk.TOP_SQL,
+        "op5_tool_calls": tool_calls.CALLS_SQL,
         "op6_grid_join": grid_join.NEAR_SQL,
         "op8_mixing": mixing.MIX_SQL,
     }
