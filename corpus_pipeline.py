@@ -7,13 +7,28 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import mixing, packing
+from starmart.llm import jaccard_join, mixing, packing, pii, toxicity
 from starmart.llm.common import shared_folder
 
 #: No SQL can say the learned stages; tests hold each against a brute-force version.
 ORACLE_SQL = None
 
 
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity grammar lets pass."""
+    return toxicity.drop_toxic(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of similar ones, the one with the least id."""
+    return jaccard_join.drop_near_duplicates(docs)
+
+
+def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii.redact_documents(docs)
+
+
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as the mix takes them."""
     return mixing.mix(docs)
@@ -25,6 +40,9 @@ def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("personal_data", redact),
     ("mixing", mix_sources),
     ("packing", pack),
 ]
