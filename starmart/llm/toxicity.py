@@ -38,6 +38,8 @@ from starmart.llm.quality import training_rows
 
 #: Most labelled documents that weights and curve are learned from.
 TRAIN_DOCS = 8000
+#: Parts of the sample; each gets its features from the lexicon of the others.
+FOLDS = 5
 #: Most terms the learned lexicon may hold.
 MOST_TERMS = 4000
 THRESHOLD = 0.7
@@ -144,33 +146,36 @@ class Scorer:
                         return True
         return False
 
-    def clause(self, clause: str) -> float:
-        state, total = 0, 0.0
+    def clause(self, clause: str) -> tuple[float, int]:
+        """What the grammar puts out for a clause, and the insults in it."""
+        state, total, insults = 0, 0.0, 0
         for token in _TOKEN.findall(clause):
             weight = self.weight(token)
             symbol = INSULT if weight else _SYMBOL.get(token, OTHER)
             state, factor, amount = GRAMMAR[state, symbol]
             total += weight * factor + amount
-        return total
+            insults += symbol == INSULT
+        return total, insults
 
-    def features(self, text: str) -> tuple[float, float, float]:
-        """Logarithms of the total, of the total per 100 words, and of the heaviest clause."""
+    def features(self, text: str) -> tuple[float, ...]:
+        """Logarithms of the total, of the total per 100 words, of the heaviest clause
+        and of the number of insults."""
         text = text.lower()
         runs = text.split()
         # Without an insult or a threat verb no clause puts anything out.
         if not self.look_up(runs):
-            return 0.0, 0.0, 0.0
+            return 0.0, 0.0, 0.0, 0.0
         scores = [self.clause(c) for c in _CLAUSE.split(text)]
-        total = sum(scores)
-        return math.log1p(total), math.log1p(100 * total / (len(runs) + 20)), math.log1p(max(scores))
+        total, most, n = sum(x for x, _ in scores), max(x for x, _ in scores), sum(n for _, n in scores)
+        return math.log1p(total), math.log1p(100 * total / (len(runs) + 20)), math.log1p(most), math.log1p(n)
 
 
 @dataclass(frozen=True)
 class Model:
     lexicon: dict[str, float]
-    curve: tuple[float, ...] = (-4.0, 0.8, 0.8, 0.8)
+    curve: tuple[float, ...] = (-4.0, 0.8, 0.8, 0.8, 0.0)
 
-    def probability(self, features: tuple[float, float, float]) -> float:
+    def probability(self, features: tuple[float, ...]) -> float:
         z = self.curve[0] + sum(c * f for c, f in zip(self.curve[1:], features, strict=True))
         return 1 / (1 + math.exp(-max(-35.0, min(35.0, z))))
 
@@ -210,48 +215,52 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_DOCS) -> Model:
-    """Learn the lexicon and the curve. The curve is fit on features that each half
-    of the sample gets from the other half's lexicon."""
+    """Learn the lexicon and the curve. The curve is fit on features that each fold
+    of the sample gets from the lexicon of the other folds."""
     stages = Stages(docs.sparkSession, "toxicity")
     sample = training_rows(docs, labels, label, most).select(
-        F.pmod(F.xxhash64(F.lit("half"), "doc_id"), F.lit(2)).cast("int").alias("half"),
+        F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold"),
         (F.col("good") > 0).alias("toxic"),
         F.coalesce("text", F.lit("")).alias("text"),
+        "doc_id",
     )
-    sample = stages.write(sample.repartition("text"), "sample")
+    sample = stages.write(sample.repartition("doc_id"), "sample").drop("doc_id")
+    columns = [f"{c}{k}" for k in range(FOLDS) for c in "pn"]
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        found = [Counter() for _ in range(4)]
+        found = [Counter() for _ in columns]
         for batch in batches:
             for row in batch.to_pylist():
-                found[2 * row["half"] + (not row["toxic"])].update(terms(row["text"]))
+                found[2 * row["fold"] + (not row["toxic"])].update(terms(row["text"]))
         every = sorted(set().union(*found))
-        yield pa.record_batch(
-            [pa.array(every, pa.string())] + [pa.array([c[t] for t in every], pa.int64()) for c in found], ["term", "p0", "n0", "p1", "n1"]
-        )
+        yield pa.record_batch([pa.array(every, pa.string())] + [pa.array([c[t] for t in every], pa.int64()) for c in found], ["term", *columns])
 
-    counted = sample.mapInArrow(count, "term string, p0 long, n0 long, p1 long, n1 long")
-    counted = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in ("p0", "n0", "p1", "n1")])
+    counted = sample.mapInArrow(count, ", ".join(["term string", *(f"{c} long" for c in columns)]))
+    counted = counted.groupBy("term").agg(*[F.sum(c).alias(c) for c in columns])
+    toxic, clean = (sum(F.col(f"{c}{k}") for k in range(FOLDS)) for c in "pn")
     # Bounded: the terms of the most toxic documents, by surplus of toxic ones.
-    counted = counted.where("p0 + p1 >= 3 AND (p0 + p1) * 1.0 > 0.2 * (n0 + n1)")
-    top = counted.orderBy((F.col("p0") + F.col("p1") - 0.2 * (F.col("n0") + F.col("n1"))).desc(), "term").limit(5 * MOST_TERMS).collect()
-    size = {(r["half"], r["toxic"]): r["n"] for r in sample.groupBy("half", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
-    toxic, clean = [[size.get((h, t), 0) for h in (0, 1)] for t in (True, False)]
-    if not sum(toxic) or not sum(clean):
+    surplus = toxic - 0.2 * clean
+    top = counted.where((toxic >= 3) & (surplus > 0)).orderBy(surplus.desc(), "term").limit(5 * MOST_TERMS).collect()
+    size = {(r["fold"], r["toxic"]): r["n"] for r in sample.groupBy("fold", "toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
+
+    def lexicon(folds: list[int]) -> dict[str, float]:
+        n = [sum(size.get((k, t), 0) for k in folds) for t in (True, False)]
+        return weights([(r["term"], *(sum(r[f"{c}{k}"] for k in folds) for c in "pn")) for r in top], *n)
+
+    if not all(any(size.get((k, t)) for k in range(FOLDS)) for t in (True, False)):
         return Model({})
-    half = [weights([(r["term"], r[f"p{h}"], r[f"n{h}"]) for r in top], toxic[h], clean[h]) for h in (0, 1)]
-    lexicon = weights([(r["term"], r["p0"] + r["p1"], r["n0"] + r["n1"]) for r in top], sum(toxic), sum(clean))
+    others = [lexicon([k for k in range(FOLDS) if k != fold]) for fold in range(FOLDS)]
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorers = [Scorer(half[1]), Scorer(half[0])]
+        scorers = [Scorer(words) for words in others]
         for batch in batches:
             rows = batch.to_pylist()
-            found = [scorers[r["half"]].features(r["text"]) for r in rows]
-            yield pa.record_batch([batch.column("toxic")] + [pa.array([f[i] for f in found], pa.float64()) for i in range(3)], ["toxic", "a", "b", "c"])
+            found = [scorers[r["fold"]].features(r["text"]) for r in rows]
+            yield pa.record_batch([batch.column("toxic"), *(pa.array([f[i] for f in found], pa.float64()) for i in range(4))], ["toxic", *"abcd"])
 
-    rows = sorted(tuple(r) for r in sample.mapInArrow(features, "toxic boolean, a double, b double, c double").collect())
+    rows = sorted(tuple(r) for r in sample.mapInArrow(features, "toxic boolean, a double, b double, c double, d double").collect())
     stages.drop(sample)
-    return Model(lexicon, logistic(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float)))
+    return Model(lexicon(list(range(FOLDS))), logistic(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float)))
 
 
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
