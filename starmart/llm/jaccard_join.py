@@ -274,4 +274,4 @@ def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
     """One document of each group, the one with the least id; rows with a null id stay."""
     groups = similar_groups(docs, **options)
     gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")

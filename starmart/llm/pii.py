@@ -401,12 +401,10 @@ def _texts(batch: pa.RecordBatch, field: str = "text") -> Iterator[tuple[pa.Reco
 def fit_pii(docs: DataFrame, most: int = TRAIN_DOCS, windows: int = TRAIN_WINDOWS) -> Tagger | None:
     """Train the network on windows that the base patterns label, from the documents
     with the least hash among those with a digit or an at sign."""
-    sample = (
-        docs.select(F.xxhash64("text").alias("h"), "text")
-        .where(F.col("text").rlike("[0-9@]"))
-        .orderBy("h", "text")
-        .limit(most)
-    )
+    seen = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), "text")
+    # The hashes alone are ordered; texts are only read up to the last of them, each text once.
+    upto = seen.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    sample = seen.where(F.col("h") <= F.lit(upto)).groupBy("h").agg(F.min("text").alias("text")).select("text")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
