@@ -58,10 +58,10 @@ def _unit(x: np.ndarray) -> np.ndarray:
 
 def principal_axes(vectors: DataFrame, dim: int, most: int = SAMPLE) -> np.ndarray:
     """The axes of the largest variance first, from at most ``most`` vectors."""
-    rows = vectors.orderBy(F.xxhash64("vector"), "node").limit(most).select("vector").collect()
-    unit = _unit(np.array([r["vector"] for r in rows], dtype=np.float64).reshape(-1, dim))
-    _, _, axes = np.linalg.svd(unit - unit.mean(axis=0), full_matrices=True)
-    return axes
+    rows = vectors.orderBy(F.xxhash64("vector"), "node").limit(most).select("vector").toArrow()
+    unit = _unit(_matrix(rows["vector"].combine_chunks().flatten(), dim))
+    unit = unit - unit.mean(axis=0)
+    return np.linalg.eigh(unit.T @ unit)[1][:, ::-1].T
 
 
 def _order_cells(axes: np.ndarray, epsilon: float):

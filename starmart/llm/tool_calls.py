@@ -143,10 +143,11 @@ def calls_in_turns(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     after a user's is that call's result. Neighbours are found by joins on the
     message's number in the whole order, so a long conversation is no single task."""
     stages = Stages(messages.sparkSession, "turns")
-    some = messages.select("conv_id", "turn", "role", "text").where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull())
+    some = messages.where(F.col("conv_id").isNotNull() & F.col("turn").isNotNull() & F.col("role").isin("user", "assistant"))
+    some = stages.write(some.groupBy("conv_id", "turn", "role").agg(F.min("text").alias("text")), "messages")
     name = F.concat_ws(":", F.col("conv_id").cast("string"), F.col("turn").cast("string"))
-    order = [F.col(c) for c in ("conv_id", "turn", "role", "text")]
-    ranked = with_rank(stages, some.where(F.col("role").isin("user", "assistant")), order, "place")
+    order = [F.col(c) for c in ("conv_id", "turn", "role")]
+    ranked = with_rank(stages, some, order, "place")
     earlier = ranked.where("role = 'user'").select("conv_id", (F.col("place") + 1).alias("place"), name.alias("call_id"))
     results = ranked.where("role = 'assistant'").join(earlier, ["conv_id", "place"]).select("conv_id", "call_id", "turn", F.col("text").alias("content"))
 
@@ -154,7 +155,7 @@ def calls_in_turns(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     before = asked.select("conv_id", (F.col("place") + 1).alias("place"), name.alias("after"))
     arguments = F.to_json(F.struct(F.col("text").alias("prompt"), "turn"))
     calls = asked.join(before, ["conv_id", "place"], "left").select(
-        "conv_id", name.alias("call_id"), F.when(F.col("after") != name, F.col("after")).alias("after"), "turn", F.lit("reply").alias("name"), arguments.alias("arguments")
+        "conv_id", name.alias("call_id"), "after", "turn", F.lit("reply").alias("name"), arguments.alias("arguments")
     )
     return calls, results
 

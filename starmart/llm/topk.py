@@ -45,10 +45,11 @@ def _integers(vector: str) -> Column:
 
 
 def _axes(candidates: DataFrame, dim: int) -> np.ndarray:
-    """Right singular vectors of a bounded sample, the largest singular value first."""
-    rows = candidates.orderBy(F.xxhash64("vector"), "id").limit(SAMPLE).select("vector").collect()
-    _, _, axes = np.linalg.svd(np.array([r["vector"] for r in rows]).reshape(-1, dim), full_matrices=True)
-    return axes
+    """Right singular vectors of a bounded sample, the largest singular value first
+    (the eigenvectors of its Gram matrix)."""
+    rows = candidates.orderBy(F.xxhash64("vector"), "id").limit(SAMPLE).select("vector").toArrow()
+    x = rows["vector"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, dim)
+    return np.linalg.eigh(x.T @ x)[1][:, ::-1].T
 
 
 class _Part:
