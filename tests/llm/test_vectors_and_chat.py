@@ -1,0 +1,150 @@
+"""Vector operators against brute force, tool calls against a plain version."""
+
+from __future__ import annotations
+
+import json
+
+import numpy as np
+import pytest
+from conftest import SF_SMALL
+from oracle_compare import compare, duck_connection
+from pyspark.sql import functions as F
+
+from starmart.llm import grid_join, tool_calls, topk
+from starmart.llm.queries import oracle_sql, queries
+
+SCHEMA = "vec_id long, embedding array<float>, label int, node string, place string"
+
+
+@pytest.fixture(scope="module")
+def vectors(spark):
+    r = np.random.RandomState(1)
+    centres = r.randn(6, 24)
+    x = np.concatenate([c + 0.18 * r.randn(40, 24) for c in centres] + [r.randn(60, 24)]).astype(np.float32)
+    rows = [(i, v.tolist(), 0, "n", None) for i, v in enumerate(x)]
+    rows += [(1000 + i, rows[7][1], None, None, "p") for i in range(25)]  # copies
+    rows += [(1100, None, 1, "", ""), (1120, [], 1, "", ""), (1140, [0.0] * 24, 1, "", ""), (1160, [float("nan")] + [1.0] * 23, 1, "", "")]
+    rows += [(1180, [float("inf")] * 24, 1, "", ""), (1200, [None] + [1.0] * 23, 1, "", ""), (1220, [1.0, 2.0], 1, "", ""), (1240, [2.0, 4.0], 1, "", "")]
+    rows += [(None, rows[3][1], 1, "", ""), (5, rows[5][1], 0, "", ""), (1260, [-0.0, 0.0] + rows[9][1][2:], 0, "", ""), (1261, [0.0, -0.0] + rows[9][1][2:], 0, "", "")]
+    return spark.createDataFrame(rows, SCHEMA).repartition(5)
+
+
+def usable(v):
+    return bool(v) and all(c is not None and np.isfinite(c) for c in v)
+
+
+def test_grid_join_matches_all_pairs(vectors, monkeypatch):
+    rows = [(r["vec_id"], r["embedding"]) for r in vectors.collect()]
+    fine = [(i, np.array(v, dtype=np.float64)) for i, v in rows if i is not None and usable(v) and any(v)]
+    links, group = {}, {i: i for i, _ in rows if i is not None}
+
+    def find(i):
+        while group[i] != i:
+            i = group[i]
+        return i
+
+    for a, (i, x) in enumerate(fine):
+        n = 0
+        for b, (j, y) in enumerate(fine):
+            if a != b and len(x) == len(y) and x @ y / (np.sqrt(x @ x) * np.sqrt(y @ y)) >= 0.95:
+                n += 1
+                group[max(find(i), find(j))] = min(find(i), find(j))
+        links[i] = n
+    expected = sorted((i, links.get(i, 0) if i is not None else 0, find(i) if i is not None else None) for i, _ in rows if i is not None)
+    assert len({c for _, n, c in expected if n}) > 3
+    for small, interval in ((grid_join.SMALL, 4096), (16, 50)):
+        monkeypatch.setattr(grid_join, "SMALL", small)
+        got = grid_join.near_vectors(vectors, interval=interval).collect()
+        assert sorted((r["vec_id"], r["n_links"], r["component_id"]) for r in got if r["vec_id"] is not None) == expected
+        assert all(r["kept"] == (r["component_id"] == r["vec_id"]) for r in got if r["vec_id"] is not None)
+        assert len(got) == len(rows)
+
+
+def test_top_inner_products_match_brute_force(vectors, monkeypatch):
+    rows = [(r["vec_id"], np.floor(64 * np.array(r["embedding"], dtype=np.float64)).astype(int)) for r in vectors.collect() if r["vec_id"] is not None and usable(r["embedding"])]
+    expected = []
+    for q in sorted({i for i, _ in rows if i % 20 == 0}):
+        x = next(v for i, v in rows if i == q)
+        scores = sorted((-int(x @ y), i) for i, y in rows if i != q and len(y) == len(x))[:20]
+        expected += [(q, k + 1, i, -s) for k, (s, i) in enumerate(scores)]
+    for block, stretch, asked in ((4096, 4, 2048), (32, 2, 5)):
+        monkeypatch.setattr(topk, "BLOCK", block)
+        monkeypatch.setattr(topk, "STRETCH", stretch)
+        monkeypatch.setattr(topk, "QUERIES", asked)
+        got = topk.top_inner_products(vectors).collect()
+        assert sorted((r["query_id"], r["rank"], r["vec_id"], r["score"]) for r in got) == expected
+
+
+def test_empty_vectors(vectors):
+    none = vectors.where("false")
+    assert grid_join.near_vectors(none).count() == 0 and topk.top_inner_products(none).count() == 0
+
+
+# ---- tool calls
+
+
+def message(calls):
+    return json.dumps({"tool_calls": calls})
+
+
+def test_written_calls_are_linked_ordered_and_checked(spark):
+    call = lambda i, name="find", after=None, **a: {"id": i, "name": name, "arguments": a, "after": after}
+    rows = [
+        (1, 0, "assistant", message([call("c", after="b", q="z", n=3), call("b", after="a", q="y"), call("a", q="é\"", n=1)])),
+        (1, 1, "tool", json.dumps({"tool_call_id": "a", "content": "A"})),
+        (1, 2, "tool", json.dumps({"tool_call_id": "c", "content": "C"})),
+        (2, 0, "assistant", message([call("x", after="y", q="1"), call("y", after="x", q="2"), call("t", "none"), call("m", n=1), call("w", q=1), call("e", q="a", z=1, extra=2), call("l", after="gone", q="b")])),
+        (2, 1, "assistant", message([call("l", after="gone", q="later")])),
+        (3, 0, "assistant", "no json"),
+        (4, None, None, None),
+        (None, 1, "assistant", message([call("a", q="1")])),
+        (5, 0, "tool", json.dumps({"tool_call_id": "lost", "content": "?"})),
+    ]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    schemas = {"find": {"q": ("string", True), "n": ("integer", False)}}
+    got = {(r["conv_id"], r["call_id"]): r for r in tool_calls.link_calls(*tool_calls.calls_in_messages(df), schemas).collect()}
+    assert [got[1, c]["depth"] for c in "abc"] == [0, 1, 2] == [got[1, c]["position"] for c in "abc"]
+    assert [got[1, c]["status"] for c in "abc"] == ["ok", "no result", "ok"]
+    assert got[1, "a"]["line"] == '{"arguments":{"n":1,"q":"é\\""},"id":"a","name":"find","result":"A","status":"ok"}'
+    expected = {"x": "calls in a circle", "y": "calls in a circle", "t": "unknown tool", "m": "missing q", "w": "q is no string", "e": "unexpected extra, z", "l": "unknown call before"}
+    assert {c: got[2, c]["status"] for c in expected} == expected
+    assert sorted(r["position"] for (conv, _), r in got.items() if conv == 2) == list(range(7))
+    assert len(got) == 10
+
+
+def test_turns_edge_cases(spark):
+    rows = [(1, 0, "user", "hi", "x"), (1, 1, "assistant", None, "x"), (1, 2, "user", None, "x"), (1, 2, "user", None, "x"), (2, 0, "system", "s", None)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rank string")
+    got = {r["call_id"]: r for r in tool_calls.format_conversations(df).collect()}
+    assert set(got) == {"1:0", "1:2"} and [got[c]["depth"] for c in ("1:0", "1:2")] == [0, 1]
+    assert got["1:0"]["status"] == "ok" and got["1:2"]["status"] == "missing prompt"
+    assert tool_calls.format_conversations(df.where("false")).count() == 0
+
+
+def test_no_python_in_native_plans(spark):
+    from starmart.llm import mixing
+
+    for df in (tool_calls.format_conversations(spark.read.parquet(f"{SF_SMALL}/conversations.parquet")), mixing.mix_report(spark.read.parquet(f"{SF_SMALL}/documents.parquet"))):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Pandas" not in plan and "Arrow" not in plan
+
+
+# ---- registered queries
+
+
+@pytest.mark.parametrize("key", sorted(oracle_sql()))
+def test_query_matches_sql(spark, key):
+    problems, *_ = compare(spark, duck_connection(SF_SMALL), key, queries()[key], oracle_sql()[key], SF_SMALL)
+    assert not problems, problems
+
+
+def test_pipeline_stages(spark):
+    import corpus_pipeline
+
+    assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_duplicates", "personal_data", "mixing", "packing"]
+    out = corpus_pipeline.run(spark, SF_SMALL)
+    assert out.count() > 100 and F.col("bin_id") is not None and "bin_size" in out.columns
+
+
+def test_every_operator_has_a_query():
+    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 11))
