@@ -11,11 +11,12 @@ from pyspark.sql import SparkSession
 
 from starmart.params import TESTDATA_YEARS
 from starmart.session import application_id
-from starmart.sources.staging import staging_submissions
+from starmart.operators.lookup import stored_version
+from starmart.sources.staging import SOURCE_TABLES, staging_submissions
 from starmart.sources.warehouse import Star, read_star
 
 _lock = threading.Lock()
-_runs: dict[tuple[str, str, str], str] = {}
+_runs: dict[tuple, str] = {}
 
 
 def dataset_name(sf_dir: str) -> str:
@@ -24,10 +25,15 @@ def dataset_name(sf_dir: str) -> str:
     return f"{os.path.basename(path.rstrip('/')) or 'data'}-{digest}"
 
 
+def _version(spark: SparkSession, sf_dir: str) -> tuple:
+    """Changes when a table that the warehouse is built from changes."""
+    return tuple(stored_version(spark, f"{sf_dir}/{t}.parquet") for t in SOURCE_TABLES)
+
+
 def testdata_star(spark: SparkSession, sf_dir: str) -> Star:
     from starmart.plans.star import build_star
 
-    key = (application_id(spark), os.path.abspath(sf_dir), "star")
+    key = (application_id(spark), os.path.abspath(sf_dir), _version(spark, sf_dir), "star")
     with _lock:
         if key not in _runs:
             star = build_star(spark, staging_submissions(spark, sf_dir), TESTDATA_YEARS, dataset=dataset_name(sf_dir))
@@ -40,7 +46,7 @@ def testdata_marts(spark: SparkSession, sf_dir: str):
     from starmart.plans.marts import build_marts, read_marts
 
     star = testdata_star(spark, sf_dir)
-    key = (application_id(spark), os.path.abspath(sf_dir), "marts")
+    key = (application_id(spark), star.path, "marts")
     with _lock:
         if key not in _runs:
             build_marts(spark, star)

@@ -2,11 +2,10 @@
 
 from starmart.functions.derive import age_band_rank, decade, period, publication_type, selection_level
 from starmart.functions.measures import pct, printf, thousands_dot
-from starmart.functions.text import STRIP_CHARS, STRIP_PATTERN, flag_to_int, null_tokens_to_null, unicode_strip
+from starmart.functions.text import STRIP_CHARS, flag_to_int, null_tokens_to_null, unicode_strip
 
 __all__ = [
     "STRIP_CHARS",
-    "STRIP_PATTERN",
     "age_band_rank",
     "decade",
     "flag_to_int",

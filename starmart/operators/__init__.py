@@ -4,20 +4,19 @@ from starmart.operators.clean import clean_submissions, string_columns
 from starmart.operators.dedupe import keep_first, keep_latest
 from starmart.operators.dense_ids import with_dense_id
 from starmart.operators.lookup import (
-    bounded_broadcast,
     broadcast_if_within,
     hot_keys,
     null_safe_lookup,
+    stored_bytes,
     stored_rows,
 )
 from starmart.operators.measures import fact_measures, measures_by, share_of
 from starmart.operators.ordering import asc, desc, ordered, top_k
 from starmart.operators.reshape import measures_long, renamed
-from starmart.operators.spread import spread
+from starmart.operators.spread import scan_splits, spread
 
 __all__ = [
     "asc",
-    "bounded_broadcast",
     "broadcast_if_within",
     "clean_submissions",
     "desc",
@@ -30,8 +29,10 @@ __all__ = [
     "null_safe_lookup",
     "ordered",
     "renamed",
+    "scan_splits",
     "share_of",
     "spread",
+    "stored_bytes",
     "stored_rows",
     "string_columns",
     "top_k",

@@ -25,5 +25,7 @@ def keep_first(df: DataFrame, keys: list[str], order: list[Column], values: list
 
 
 def keep_latest(df: DataFrame, keys: list[str], year: str, row_key: str, values: list[str]) -> DataFrame:
-    """One row per key from its most recent year; ties go to the first raw row."""
-    return keep_first(df, keys, [-F.col(year), F.col(row_key)], values)
+    """One row per key from its most recent year; a missing year is older than any,
+    and ties go to the first raw row."""
+    missing = F.col(year).isNull()
+    return keep_first(df, keys, [missing, F.coalesce(-F.col(year), F.lit(0)), F.col(row_key)], values)

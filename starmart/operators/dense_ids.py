@@ -1,9 +1,8 @@
 """Dense surrogate ids 1..n in the order of some columns, without a global sort task.
 
 ``row_number().over(Window.orderBy(...))`` moves every row into one partition;
-it is used only while the row count is within ``rows_per_range``. Above that
-(or when there are enough rows to keep every core busy) the ids are built like
-``zipWithIndex``, in DataFrame form:
+it is used only while one range would do: up to ``MIN_ROWS_PER_RANGE`` rows, or
+one core. Above that the ids are built like ``zipWithIndex``, in DataFrame form:
 
 1. ``repartitionByRange`` cuts the rows into ordered ranges (Spark samples the
    keys in the cluster), ``sortWithinPartitions`` orders each range, and
@@ -32,6 +31,9 @@ from starmart.session import default_parallelism
 DEFAULT_ROWS_PER_RANGE = 2_000_000
 # Below this many rows per range, spreading over more tasks costs more than it saves.
 MIN_ROWS_PER_RANGE = 50_000
+# Beyond this many ranges they grow instead (each is an external sort), so that the
+# boundaries and offsets stay few however large the table is.
+MAX_RANGES = 10_000
 _POSITION_BITS = 33
 
 
@@ -54,18 +56,18 @@ def with_dense_id(
 
     ``workdir`` is a folder in shared storage for the ranked copy; ``rows`` is
     the row count when the caller knows it (saves a count job); ``at_most`` is
-    a known upper bound of it - within ``rows_per_range`` no count is needed.
+    a known upper bound of it - where one range would do, no count is needed.
     """
     sort_cols = _sort_columns(order, nulls_last)
-    if at_most is not None and at_most <= rows_per_range:
+    if at_most is not None and at_most <= min(rows_per_range, MIN_ROWS_PER_RANGE):
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
     n = df.count() if rows is None else rows
     spark: SparkSession = df.sparkSession
     # Enough ranges to bound each task, and to keep every core busy when large.
     parallel = min(default_parallelism(spark), n // MIN_ROWS_PER_RANGE)
-    ranges = max(1, math.ceil(n / rows_per_range), parallel)
+    ranges = max(1, min(math.ceil(n / rows_per_range), MAX_RANGES), parallel)
     if ranges == 1:
-        # Bounded by the count: at most rows_per_range rows in one task.
+        # One range: few rows, or a single core.
         return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
 
     path = f"{workdir}/ranked-{uuid.uuid4().hex[:12]}"

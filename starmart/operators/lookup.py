@@ -2,42 +2,62 @@
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-# A dimension side is broadcast only when its row count is at most this.
+# A side is broadcast only when both its row count and its estimated size are
+# within these bounds.
 DEFAULT_BROADCAST_ROWS = 500_000
+BROADCAST_BYTES = 64 << 20
+_WIDTH_SAMPLE_ROWS = 2_000
 
-_STORED_ROWS: dict[str, int] = {}
+_STORED: dict[tuple, int] = {}
+
+
+def _memoised(spark: SparkSession, path: str, what: str, compute) -> int:
+    """``compute()``, kept as long as the table at ``path`` stays as it is."""
+    key = (path, stored_version(spark, path), what)
+    if key not in _STORED:
+        _STORED[key] = compute()
+    return _STORED[key]
+
+
+def stored_version(spark: SparkSession, path: str) -> tuple:
+    """Length, file count and modification time of a stored table."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    summary = fs.getContentSummary(where)
+    return summary.getLength(), summary.getFileCount(), fs.getFileStatus(where).getModificationTime()
 
 
 def stored_rows(spark: SparkSession, path: str) -> int:
-    """Row count of a stored Parquet table (footer metadata), memoised per path.
+    """Row count of a stored Parquet table (footer metadata), memoised."""
+    return _memoised(spark, path, "rows", lambda: spark.read.parquet(path).count())
 
-    Only for immutable inputs: the given source tables and published runs.
-    """
-    if path not in _STORED_ROWS:
-        _STORED_ROWS[path] = spark.read.parquet(path).count()
-    return _STORED_ROWS[path]
 
+def stored_bytes(spark: SparkSession, path: str) -> int:
+    """Estimated size in memory of a stored Parquet table: its rows times the mean
+    width of a bounded sample."""
 
-def broadcast_if_within(side: DataFrame, rows: int, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``side`` when ``rows`` - a checked upper bound of its size, such
-    as the row count of the table it is derived from - is within ``max_rows``."""
-    return F.broadcast(side) if rows <= max_rows else side
+    def estimate() -> int:
+        df = spark.read.parquet(path)
+        width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns)
+        mean = df.limit(_WIDTH_SAMPLE_ROWS).agg(F.avg(width)).first()[0]
+        return math.ceil((mean or 0) * stored_rows(spark, path))
 
+    return _memoised(spark, path, "bytes", estimate)
 
-def bounded_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast only after counting the side; beyond the bound the join
-    stays a shuffle join (AQE may still pick a broadcast from runtime sizes).
 
-    Call it on materialised or tiny inputs: the count is a job of its own (a
-    metadata read for a parquet table).
-    """
-    return F.broadcast(df) if df.count() <= max_rows else df
+def broadcast_if_within(
+    side: DataFrame, rows: int, size: int, max_rows: int = DEFAULT_BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES
+) -> DataFrame:
+    """Broadcast ``side`` when ``rows`` and ``size`` - checked bounds of it, such as
+    those of the table it is derived from - are within both limits."""
+    return F.broadcast(side) if rows <= max_rows and size <= max_bytes else side
 
 
 # Hot keys: a key with at least this share of the sampled fact rows is resolved
@@ -68,17 +88,22 @@ def null_safe_lookup(
     take: list[str],
     *,
     dim_rows: int | None = None,
+    dim_bytes: int | None = None,
     fact_rows: int | None = None,
     max_broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     hot_share: float = HOT_SHARE,
+    hot: list[tuple] | None = None,
 ) -> DataFrame:
     """Left join ``facts`` to ``dim`` where each (fact column, dim column) pair
     matches null-safely (a null key finds the dimension's null row), adding the
     ``take`` columns of ``dim``. The dim key must be unique, so no fact row is
     added or dropped. ``dim_rows`` / ``fact_rows`` are known row counts (else
-    they are counted).
+    they are counted), ``dim_bytes`` the dimension's size where it is known, and
+    ``hot`` the hot keys where they were sampled before (from a stored table, so
+    that sampling runs no join again).
 
-    * A dimension within ``max_broadcast_rows`` is broadcast: one map-side join.
+    * A dimension within ``max_broadcast_rows`` and BROADCAST_BYTES is broadcast:
+      one map-side join.
     * A larger one is a shuffle join, with hot keys split off first: keys that
       hold at least ``hot_share`` of a sample are looked up through a broadcast
       of just their dimension rows, and their fact rows enter the shuffle with a
@@ -88,12 +113,12 @@ def null_safe_lookup(
     side = dim.select(*[F.col(d).alias(f"__k{i}") for i, (_, d) in enumerate(on)], *take)
     side_keys = [f"__k{i}" for i in range(len(on))]
     n_dim = side.count() if dim_rows is None else dim_rows
-    if n_dim <= max_broadcast_rows:
+    if n_dim <= max_broadcast_rows and (dim_bytes or 0) <= BROADCAST_BYTES:
         side = F.broadcast(side)
         return facts.join(side, _matches(facts, fact_keys, side, side_keys), "left").drop(*side_keys)
 
-    n_facts = facts.count() if fact_rows is None else fact_rows
-    hot = hot_keys(facts, fact_keys, n_facts, hot_share)
+    if hot is None:
+        hot = hot_keys(facts, fact_keys, facts.count() if fact_rows is None else fact_rows, hot_share)
     if not hot:
         return facts.join(side, _matches(facts, fact_keys, side, side_keys), "left").drop(*side_keys)
 

@@ -49,7 +49,7 @@ def measures_by(
     """Funnel measures grouped by dimension attributes.
 
     ``dims`` lists (dimension frame, id column, row count of the dimension table
-    or None if unknown); each frame carries the id and the attributes used in
+    or None if unknown or too wide to broadcast); each frame carries the id and the attributes used in
     ``group`` (filters on it are pushed to its scan).
 
     * A dimension of at most ``broadcast_rows`` rows is broadcast and joined to

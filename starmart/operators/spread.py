@@ -3,22 +3,24 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
-def spread(df: DataFrame, partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` over at least ``partitions`` tasks (default: the
-    session's default parallelism) when its scan yields fewer.
+def spread(df: DataFrame, splits: int, partitions: int | None = None) -> DataFrame:
+    """Round-robin ``df`` over ``partitions`` tasks (default: the session's default
+    parallelism) when its input has less than half as many ``splits``.
 
     A single large row group or an unsplittable multi-line CSV file is read by
     one task; without this every later narrow step (joins to broadcast sides,
-    cleaning, the first write) would run on one core. Inputs that already have
-    enough splits are returned unchanged, so at scale this adds no shuffle.
+    cleaning, the first write) would run on one core. The shuffle is only worth
+    it for a multiple of tasks, so at scale there is none.
     """
     from starmart.session import default_parallelism
 
     target = partitions or default_parallelism(df.sparkSession)
-    try:
-        current = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (Spark Connect): leave it to the cluster
-        return df
-    return df if current >= target else df.repartition(target)
+    return df.repartition(target) if 2 * splits <= target else df
+
+
+def scan_splits(df: DataFrame) -> int:
+    """Splits of a Parquet scan that hold rows (reads footers only)."""
+    return df.select(F.spark_partition_id().alias("split")).distinct().count()

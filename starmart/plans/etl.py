@@ -3,16 +3,20 @@ counts, star tables and a full-refresh warehouse round trip."""
 
 from __future__ import annotations
 
+import dataclasses
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.operators.clean import clean_submissions
+from starmart.operators.dense_ids import with_dense_id
 from starmart.operators.ordering import desc, ordered
+from starmart.plans.reports import q07
+from starmart.plans.star import dim_author_rows
 from starmart.sources.csv import read_submissions_csv, write_submissions_csv
-from starmart.sources.schemas import RAW_COLUMNS, ROW_KEY
+from starmart.sources.schemas import DIM_AUTHOR_COLUMNS, RAW_COLUMNS, ROW_KEY
 from starmart.sources.warehouse import STAR_TABLES, Star, dataset_base, read_star, write_star
 
 CLEAN_COLUMNS = (*RAW_COLUMNS, "selection_level", "publication_type")
@@ -31,31 +35,90 @@ def clean_rows(spark: SparkSession, star: Star) -> DataFrame:
     return spark.read.parquet(f"{star.path}/clean").select(*CLEAN_COLUMNS)
 
 
+def _csv_folder(spark: SparkSession, dataset: str) -> str:
+    return f"{dataset_base(spark, dataset)}/csv/{uuid.uuid4().hex}"
+
+
 def csv_roundtrip(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
     """Write raw rows as CSV into the shared folder, read them back through the
     CSV source (null tokens, multi-line cells) and clean them."""
-    path = f"{dataset_base(spark, dataset)}/csv/{uuid.uuid4().hex}"
+    path = _csv_folder(spark, dataset)
     write_submissions_csv(raw, path)
     return clean_submissions(read_submissions_csv(spark, path)).select(*CLEAN_COLUMNS)
 
 
+def csv_reordered(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
+    """The same with the columns in another order and one column more: cells are
+    bound by header name."""
+    path = _csv_folder(spark, dataset)
+    order = [*reversed(RAW_COLUMNS[:9]), "extra", *RAW_COLUMNS[9:]]
+    write_submissions_csv(raw.withColumn("extra", F.lit("x")), path, order)
+    return clean_submissions(read_submissions_csv(spark, path)).select(*CLEAN_COLUMNS)
+
+
+def edge_cells(raw: DataFrame) -> DataFrame:
+    """Plant hard cells by row key: missing-value tokens (padded, and in the year),
+    wide white space, blank and empty cells, quotes, line breaks, an unknown band."""
+    kind = F.col(f"{ROW_KEY}.l_orderkey") % 11
+
+    def plant(name: str, *cases) -> Column:
+        out = F.when(F.lit(False), F.lit(None).cast("string"))
+        for k, value in cases:
+            out = out.when(kind == k, value)
+        return out.otherwise(F.col(name).cast("string")).alias(name)
+
+    cells = {
+        "ano": plant("ano", (5, F.lit("N/A"))),
+        "titulo_livro": plant(
+            "titulo_livro", (0, F.lit("NA")), (4, F.concat(F.lit('say "'), F.col("titulo_livro"), F.lit('"\nsecond')))
+        ),
+        "nome_autor": plant(
+            "nome_autor", (1, F.lit(" NA ")), (2, F.when(F.col("nome_autor").isNull(), F.lit("\xa0\u2003")).otherwise(F.concat(F.lit("\xa0"), F.col("nome_autor"), F.lit("\u2003"))))
+        ),
+        "genero_autor": plant("genero_autor", (3, F.lit("  \xa0")), (6, F.lit(""))),
+        "faixa_etaria_autor": plant("faixa_etaria_autor", (7, F.lit("sem idade"))),
+        "nome_editora": plant("nome_editora", (8, F.lit("null"))),
+    }
+    return raw.select(ROW_KEY, *[cells.get(c, F.col(c)) for c in RAW_COLUMNS])
+
+
+def csv_edge(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
+    """Rows with hard cells through the CSV source and the cleaning."""
+    return csv_roundtrip(spark, edge_cells(raw), dataset)
+
+
+def author_missing_year(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
+    """The author dimension where some rows lack the year: they are older than any
+    other row of their author."""
+    gone = (F.col(f"{ROW_KEY}.l_orderkey") % 5 == 0) | (F.col(f"{ROW_KEY}.l_partkey") % 7 == 0)
+    clean = clean_submissions(raw.withColumn("ano", F.when(~gone, F.col("ano"))))
+    work = f"{dataset_base(spark, dataset)}/work/{uuid.uuid4().hex}"
+    return with_dense_id(dim_author_rows(clean), ["author_name"], "author_id", workdir=work).select(*DIM_AUTHOR_COLUMNS)
+
+
+def no_winner(star: Star) -> DataFrame:
+    """The gender profile (q07) of the rows that did not win: shares of nothing are null."""
+    losers = star.fact_submission.where("is_winner = 0")
+    return q07(dataclasses.replace(star, fact_submission=losers))
+
+
 def level_counts(clean: DataFrame) -> DataFrame:
     """Frequency of each selection level, most frequent first."""
     return ordered(clean.groupBy("selection_level").agg(F.count(F.lit(1)).alias("count")), [desc("count")], ["selection_level"])
 
 
 def row_counts(spark: SparkSession, star: Star) -> DataFrame:
-    """Run report: raw rows and the row count of the five star tables."""
-    tables = {"raw": spark.read.parquet(f"{star.path}/clean").select(ROW_KEY), **star.tables()}
-    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in tables.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """Run report: the raw rows that the load read, and the row count of the five star tables."""
+    parts = [df.agg(F.count(F.lit(1)).alias("row_count")).select(F.lit(name).alias("table_name"), "row_count") for name, df in star.tables().items()]
+    return reduce(DataFrame.unionByName, parts, spark.read.parquet(f"{star.path}/input"))
 
 
 def warehouse_roundtrip(spark: SparkSession, star: Star, dataset: str) -> DataFrame:
-    """Overwrite a warehouse location twice with the star, read it back and
-    audit it through SQL: the second write must fully replace the first."""
+    """Write a warehouse location with half of the star, then with all of it, read it
+    back and audit it through SQL: nothing of the first write may remain."""
     path = f"{dataset_base(spark, dataset)}/roundtrip/{uuid.uuid4().hex}"
-    write_star(star, path)
+    half = {name: df.where(F.col(_ID_OF[name]) % 2 == 0) for name, df in star.tables().items()}
+    write_star(Star(**half), path)
     write_star(star, path)
     back = read_star(spark, path)
     prefix = f"wh_{uuid.uuid4().hex[:8]}_"

@@ -26,7 +26,7 @@ from starmart.sources.warehouse import Star
 
 def _dim(star: Star, table: str, id_col: str, cols, where=None):
     d = getattr(star, table).select(id_col, *cols)
-    return (d.filter(where) if where is not None else d), id_col, star.rows(table)
+    return (d.filter(where) if where is not None else d), id_col, star.broadcast_rows(table)
 
 
 def _time(star: Star, *cols: str):

@@ -11,14 +11,21 @@ import time
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starmart.functions.derive import decade, period
 from starmart.operators.clean import clean_submissions
 from starmart.operators.dedupe import keep_first, keep_latest
-from starmart.operators.dense_ids import DEFAULT_ROWS_PER_RANGE, with_dense_id
-from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS, null_safe_lookup, stored_rows
+from starmart.operators.dense_ids import DEFAULT_ROWS_PER_RANGE, MIN_ROWS_PER_RANGE, with_dense_id
+from starmart.operators.lookup import (
+    BROADCAST_BYTES,
+    DEFAULT_BROADCAST_ROWS,
+    hot_keys,
+    null_safe_lookup,
+    stored_bytes,
+    stored_rows,
+)
 from starmart.params import TimeBuckets
 from starmart.sources.schemas import (
     DIM_AUTHOR_COLUMNS,
@@ -27,7 +34,7 @@ from starmart.sources.schemas import (
     FACT_COLUMNS,
     ROW_KEY,
 )
-from starmart.sources.warehouse import Star, new_run, publish, read_star, write_table
+from starmart.sources.warehouse import Star, drop_folder, new_run, publish, read_star, write_table
 
 
 @contextmanager
@@ -117,26 +124,33 @@ def build_star(
     buckets: TimeBuckets,
     *,
     dataset: str,
+    root: str | None = None,
     rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
     timings: dict | None = None,
+    publish_run: bool = True,
 ) -> Star:
-    """Run the whole ETL into a new run folder, check the fact and publish the
-    run; returns the star read back. ``timings``, when given, receives seconds
-    per step."""
-    run = new_run(spark, dataset)
+    """Run the whole ETL into a new run folder under ``root`` (default: the shared
+    folder), check the fact and publish the run; returns the star read back. With
+    ``publish_run=False`` the caller publishes, for example once the marts exist.
+    ``timings``, when given, receives seconds per step."""
+    run = new_run(spark, dataset, root)
     work = f"{run}/_work"
     with _step(timings, "clean"):
-        clean = _materialize(spark, clean_submissions(raw), f"{run}/clean")
+        read = Observation("raw")
+        observed = raw.observe(read, F.count(F.lit(1)).alias("rows"))
+        clean = _materialize(spark, clean_submissions(observed), f"{run}/clean")
+        raw_rows = read.get["rows"]
+        write_table(spark.createDataFrame([("raw", raw_rows)], "table_name string, row_count long"), f"{run}/input")
 
     clean_rows = stored_rows(spark, f"{run}/clean")
 
     def build_dim(name, rows, order, id_col, cols):
         with _step(timings, name):
-            if clean_rows <= rows_per_range:
-                # No dimension has more rows than the cleaned table: one bounded
+            if clean_rows <= min(rows_per_range, MIN_ROWS_PER_RANGE):
+                # No dimension has more rows than the cleaned table: one small
                 # numbering task, dedupe and ids in a single job.
-                numbered = with_dense_id(rows, order, id_col, workdir=work, at_most=clean_rows)
+                numbered = with_dense_id(rows, order, id_col, workdir=work, at_most=clean_rows, rows_per_range=rows_per_range)
             else:
                 # Materialise the dedupe once; counting and numbering read it.
                 keys = _materialize(spark, rows, f"{work}/{name}")
@@ -150,6 +164,48 @@ def build_star(
                 )
             return name, _materialize(spark, numbered.select(*cols), f"{run}/{name}")
 
+    # The four dimensions are independent jobs: submit them together.
+    specs = (
+        ("dim_time", dim_time_rows(clean, buckets), ["year"], "time_id", ("time_id", "year", "decade", "period")),
+        ("dim_author", dim_author_rows(clean), ["author_name"], "author_id", DIM_AUTHOR_COLUMNS),
+        ("dim_book", dim_book_rows(clean), ["title", "author_name"], "book_id", DIM_BOOK_COLUMNS),
+        ("dim_publisher", dim_publisher_rows(clean), ["publisher_name"], "publisher_id", DIM_PUBLISHER_COLUMNS),
+    )
+    with ThreadPoolExecutor(max_workers=len(specs)) as pool:
+        dims = dict(pool.map(lambda spec: build_dim(*spec), specs))
+
+    t_fact = time.perf_counter()
+    keyed = fact_keys(
+        spark, clean, dims, run=run, clean_rows=clean_rows, broadcast_rows=broadcast_rows
+    )
+    # Only ids, flags, level and row key are ranked; the texts stay behind.
+    narrow = _materialize(spark, keyed, f"{work}/fact_keys")
+    facts = with_dense_id(
+        narrow, [ROW_KEY], "submission_id", workdir=work, rows_per_range=rows_per_range, rows=clean_rows
+    )
+    fact_out = facts.select(*FACT_COLUMNS)
+    if clean_rows > min(rows_per_range, MIN_ROWS_PER_RANGE):
+        # Without this every write task would open one file per year. AQE's
+        # rebalance gives advisory-sized tasks that each hold one time_id (hot
+        # years are split), for one shuffle of the narrow fact rows.
+        fact_out = fact_out.hint("rebalance", "time_id")
+    write_table(fact_out, f"{run}/fact_submission", ["time_id"])
+    if timings is not None:
+        timings["fact_submission"] = round(time.perf_counter() - t_fact, 3)
+
+    star = read_star(spark, run)
+    check_fact(star.fact_submission, raw_rows)
+    drop_folder(spark, work)
+    if publish_run:
+        publish(spark, dataset, run, root)
+    return star
+
+
+def fact_keys(spark: SparkSession, clean: DataFrame, dims: dict, *, run: str, clean_rows: int, broadcast_rows: int) -> DataFrame:
+    """The four dimension ids, flags, level and row key of every cleaned row.
+
+    Hot keys are sampled from the stored cleaned table, once per key, so sampling
+    never runs a join."""
     facts = clean.select(
         ROW_KEY,
         "ano",
@@ -162,77 +218,42 @@ def build_star(
         "selection_level",
     )
 
-    def rank_facts():
-        # Submission ids depend only on the cleaned rows, not on the dimensions.
-        with _step(timings, "fact_ids"):
-            return with_dense_id(
-                facts,
-                [ROW_KEY],
-                "submission_id",
-                workdir=work,
-                rows_per_range=rows_per_range,
-                rows=clean_rows,
-            )
-
-    # The four dimensions and the fact ids are independent jobs: submit them together.
-    specs = (
-        ("dim_time", dim_time_rows(clean, buckets), ["year"], "time_id", ("time_id", "year", "decade", "period")),
-        ("dim_author", dim_author_rows(clean), ["author_name"], "author_id", DIM_AUTHOR_COLUMNS),
-        ("dim_book", dim_book_rows(clean), ["title", "author_name"], "book_id", DIM_BOOK_COLUMNS),
-        ("dim_publisher", dim_publisher_rows(clean), ["publisher_name"], "publisher_id", DIM_PUBLISHER_COLUMNS),
-    )
-    with ThreadPoolExecutor(max_workers=len(specs) + 1) as pool:
-        ranked = pool.submit(rank_facts)
-        dims = dict(pool.map(lambda spec: build_dim(*spec), specs))
-        facts = ranked.result()
-
-    t_fact = time.perf_counter()
-    fact_rows = clean_rows
+    def sizes(name: str) -> dict:
+        return {"dim_rows": stored_rows(spark, f"{run}/{name}"), "dim_bytes": stored_bytes(spark, f"{run}/{name}")}
 
-    def lookup(facts, name, on, id_col):
-        rows = stored_rows(spark, f"{run}/{name}")
-        return null_safe_lookup(
-            facts, dims[name], on, [id_col], dim_rows=rows, fact_rows=fact_rows, max_broadcast_rows=broadcast_rows
-        )
+    def lookup(rows, source, n_rows, name, dim, on, take):
+        bounds = sizes(name)
+        fits = bounds["dim_rows"] <= broadcast_rows and bounds["dim_bytes"] <= BROADCAST_BYTES
+        hot = [] if fits else hot_keys(source, [k for k, _ in on], n_rows)
+        return null_safe_lookup(rows, dim, on, take, max_broadcast_rows=broadcast_rows, hot=hot, **bounds)
 
-    facts = lookup(facts, "dim_time", [("ano", "year")], "time_id")
     # Every (title, author) book row names its author, so the author id is first
     # attached to the book keys (a join of two dimensions), and one fact join on
     # (title, author) then yields both ids: one fact shuffle instead of two.
-    book_rows = stored_rows(spark, f"{run}/dim_book")
-    book_keys = null_safe_lookup(
-        dims["dim_book"].select("title", "author_name", "book_id"),
+    books = dims["dim_book"]
+    book_keys = lookup(
+        books.select("title", "author_name", "book_id"),
+        books,
+        stored_rows(spark, f"{run}/dim_book"),
+        "dim_author",
         dims["dim_author"],
         [("author_name", "author_name")],
         ["author_id"],
-        dim_rows=stored_rows(spark, f"{run}/dim_author"),
-        fact_rows=book_rows,
-        max_broadcast_rows=broadcast_rows,
     )
-    facts = null_safe_lookup(
+    facts = lookup(facts, clean, clean_rows, "dim_time", dims["dim_time"], [("ano", "year")], ["time_id"])
+    facts = lookup(
         facts,
+        clean,
+        clean_rows,
+        "dim_book",
         book_keys,
         [("titulo_livro", "title"), ("nome_autor", "author_name")],
         ["book_id", "author_id"],
-        dim_rows=book_rows,
-        fact_rows=fact_rows,
-        max_broadcast_rows=broadcast_rows,
     )
-    facts = lookup(facts, "dim_publisher", [("nome_editora", "publisher_name")], "publisher_id")
-    fact_out = facts.select(*FACT_COLUMNS)
-    if fact_rows > rows_per_range and spark.conf.get("spark.sql.adaptive.enabled", "true") == "true":
-        # Large fact: without this every write task would open one file per year.
-        # AQE's rebalance gives advisory-sized tasks that each hold one time_id
-        # (hot years are split), for one shuffle of the narrow fact rows.
-        fact_out = fact_out.hint("rebalance", "time_id")
-    write_table(fact_out, f"{run}/fact_submission", ["time_id"])
-    if timings is not None:
-        timings["fact_submission"] = round(time.perf_counter() - t_fact, 3)
-
-    star = read_star(spark, run)
-    check_fact(star.fact_submission, fact_rows)
-    publish(spark, dataset, run)
-    return star
+    facts = lookup(
+        facts, clean, clean_rows, "dim_publisher", dims["dim_publisher"], [("nome_editora", "publisher_name")], ["publisher_id"]
+    )
+    return facts.select(ROW_KEY, *[c for c in FACT_COLUMNS if c != "submission_id"])
 
 
 def read_clean(spark: SparkSession, star: Star) -> DataFrame:

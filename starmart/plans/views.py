@@ -68,8 +68,12 @@ def v03(marts: Marts, years: tuple[int, int] | None = None, genres: Sequence[str
 
 def v04(marts: Marts, genres: Sequence[str] | None = None) -> DataFrame:
     """Funnel by genre in long form: one row per genre and stage."""
-    d = _in_genres(marts["d04"], genres)
-    return measures_long(d, ["book_genre"], FUNNEL_STAGES, "stage", "works")
+    d = _in_genres(marts["d04"], genres).withColumn("size", F.col("inscritos"))
+    long = measures_long(d, ["book_genre", "size"], FUNNEL_STAGES, "stage", "works")
+    # Stage by stage, within a stage in the mart's order (most entries first).
+    stages = F.array(*[F.lit(label) for _, label in FUNNEL_STAGES])
+    long = long.orderBy(F.array_position(stages, F.col("stage")), desc("size"), asc("book_genre"))
+    return long.select("book_genre", "stage", "works")
 
 
 def v05(marts: Marts, years: tuple[int, int] | None = None) -> DataFrame:
@@ -86,8 +90,8 @@ def v06(marts: Marts, k: int = TOP_COUNTRIES_SHOWN) -> DataFrame:
 def v07(marts: Marts) -> DataFrame:
     """Age bands in natural order; an unknown band loses its label and sorts last."""
     d = marts["d07"].withColumn("__rank", age_band_rank("faixa"))
-    d = d.withColumn("faixa", F.when(F.col("__rank").isNull(), F.lit(None).cast("string")).otherwise(F.col("faixa")))
-    return d.orderBy(F.col("__rank").asc_nulls_last()).select("faixa", "inscritos", "vencedores")
+    d = d.orderBy(F.col("__rank").asc_nulls_last(), desc("inscritos"), asc("faixa"))
+    return d.select(F.when(F.col("__rank").isNotNull(), F.col("faixa")).alias("faixa"), "inscritos", "vencedores")
 
 
 def v08(marts: Marts, k: int = TOP_PUBLISHERS_SHOWN) -> DataFrame:
@@ -103,7 +107,8 @@ def v09(marts: Marts, years: tuple[int, int] | None = None) -> DataFrame:
 
 def v10(marts: Marts) -> DataFrame:
     """Awarded publishers with display names and the trophy label."""
-    d = marts["d10"].withColumn("Vitórias_texto", printf(TROPHY_FORMAT, "vitorias"))
+    d = ordered(marts["d10"], [desc("vitorias")], ["publisher_name", "publisher_seat"])
+    d = d.withColumn("Vitórias_texto", printf(TROPHY_FORMAT, "vitorias"))
     return renamed(d, AWARDED_TABLE_NAMES)
 
 

@@ -9,19 +9,12 @@ from pyspark.sql import SparkSession
 
 
 def default_parallelism(spark: SparkSession) -> int:
-    """Task slots of the cluster (falls back to the shuffle partition count where
-    the session has no SparkContext, as with Spark Connect)."""
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:
-        return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
+    """Task slots of the cluster."""
+    return int(spark.sparkContext.defaultParallelism)
 
 
 def application_id(spark: SparkSession) -> str:
-    try:
-        return spark.sparkContext.applicationId
-    except Exception:
-        return spark.conf.get("spark.app.id", None) or str(id(spark))
+    return spark.sparkContext.applicationId
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "starmart") -> SparkSession:

@@ -2,58 +2,71 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions.text import null_tokens_to_null
 from starmart.operators.spread import spread
-from starmart.sources.schemas import RAW_COLUMNS, RAW_SCHEMA, ROW_KEY
+from starmart.sources.schemas import RAW_COLUMNS, ROW_KEY
+
+
+def _options(reader, multiline: bool):
+    return (
+        reader.option("header", True)
+        .option("encoding", "UTF-8")
+        .option("multiLine", multiline)
+        .option("quote", '"')
+        .option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False)
+        .option("ignoreTrailingWhiteSpace", False)
+    )
+
+
+def _year(text) -> Column:
+    """A year cell as int; text that is no integer fails the read."""
+    year = text.try_cast("int")
+    wrong = F.concat(F.lit("not a year: "), text)
+    return F.when(text.isNull() | year.isNotNull(), year).otherwise(F.raise_error(wrong).cast("int"))
 
 
 def read_submissions_csv(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """Read the raw submissions file(s) with the explicit 16-column schema.
+    """Read the raw submissions file(s), columns bound by header name.
 
+    * The columns may stand in any order, and further columns are ignored; a
+      missing one is an error. Every file must have the first one's header.
     * Quoted cells may hold newlines and doubled quotes (``multiLine``, ``escape``).
       A multi-line file cannot be split, so it is read by one task: at scale give
       many files, or pass ``multiline=False`` for files without line breaks inside
       cells, which Spark then splits by block.
-    * A non-integer year fails the read (``FAILFAST``) instead of becoming null.
-    * Missing-value tokens (``NA``, ``null``, empty cell, ...) become null on every
-      text column, before any stripping.
+    * Missing-value tokens (``NA``, ``null``, empty cell, ...) become null in every
+      column, the year included, before any stripping. Any other year that is no
+      integer fails the read, and so does a row with fewer or more cells than the
+      header (``FAILFAST``).
     * ``row_key`` keeps the source order: file, split start, position in split.
     """
-    raw = (
-        spark.read.schema(RAW_SCHEMA)
-        .option("header", True)
-        .option("encoding", "UTF-8")
-        .option("multiLine", multiline)
-        .option("quote", '"')
-        .option("escape", '"')
-        .option("mode", "FAILFAST")
-        .option("ignoreLeadingWhiteSpace", False)
-        .option("ignoreTrailingWhiteSpace", False)
-        .csv(path)
-    )
+    names = _options(spark.read, multiline).option("inferSchema", False).csv(path).columns
+    if missing := sorted(set(RAW_COLUMNS) - set(names)):
+        raise ValueError(f"{path}: the header lacks {', '.join(missing)}")
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    reader = _options(spark.read.schema(schema), multiline).option("mode", "FAILFAST")
+    raw = reader.option("enforceSchema", False).option("columnPruning", False).csv(path)
     row_key = F.struct(
         F.col("_metadata.file_path").alias("file_path"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("position"),
     )
-    cols = []
-    for field in RAW_SCHEMA.fields:
-        c = F.col(field.name)
-        if isinstance(field.dataType, T.StringType):
-            c = null_tokens_to_null(c)
-        cols.append(c.alias(field.name))
-    # The row key is fixed while reading; spreading afterwards keeps it.
-    return spread(raw.select(row_key.alias(ROW_KEY), *cols))
+    cells = {c: null_tokens_to_null(F.col(c)) for c in RAW_COLUMNS}
+    cells["ano"] = _year(cells["ano"])
+    rows = raw.select(row_key.alias(ROW_KEY), *[cells[c].alias(c) for c in RAW_COLUMNS])
+    # A multi-line file is one split. The row key is fixed while reading; spreading keeps it.
+    return spread(rows, splits=len(raw.inputFiles())) if multiline else rows
 
 
-def write_submissions_csv(df: DataFrame, path: str) -> None:
-    """Write the 16 raw columns as CSV with header; padding is kept verbatim."""
+def write_submissions_csv(df: DataFrame, path: str, columns=RAW_COLUMNS) -> None:
+    """Write the raw columns (or ``columns``) as CSV with header; padding is kept verbatim."""
     (
-        df.select(*RAW_COLUMNS)
+        df.select(*columns)
         .write.mode("overwrite")
         .option("header", True)
         .option("encoding", "UTF-8")

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
-# Raw CSV columns keep the names of the source file (they are the file contract).
+# The raw columns keep the names of the source file (they are the file
+# contract). Files are bound by these names, in any order.
 RAW_COLUMNS = (
     "ano",
     "titulo_livro",
@@ -49,7 +50,6 @@ def fill_values():
 # Hidden column that carries the source row order (first raw row wins in dedupes).
 ROW_KEY = "row_key"
 
-DIM_TIME_SCHEMA = "time_id long, year int, decade string, period string"
 DIM_AUTHOR_COLUMNS = (
     "author_id",
     "author_name",

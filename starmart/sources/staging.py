@@ -11,8 +11,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS, broadcast_if_within, stored_rows
-from starmart.operators.spread import spread
+from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS, broadcast_if_within, stored_bytes, stored_rows
+from starmart.operators.spread import scan_splits, spread
 from starmart.sources.schemas import RAW_COLUMNS, ROW_KEY
 
 # nation has 25 rows and region 5 in every TPC-H scale; checked before broadcasting.
@@ -36,6 +36,7 @@ _FLAG_MIN_DISCOUNT = (
     ("indicador_finalista", 0.075),
     ("indicador_vencedor", 0.095),
 )
+SOURCE_TABLES = ("lineitem", "orders", "customer", "part", "supplier", "nation", "region")
 ROW_KEY_FIELDS = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice", "l_shipdate")
 
 
@@ -43,8 +44,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _rows(spark: SparkSession, sf_dir: str, name: str) -> int:
-    return stored_rows(spark, f"{sf_dir}/{name}.parquet")
+def _sized(spark: SparkSession, sf_dir: str, name: str, side: DataFrame, max_rows: int) -> DataFrame:
+    """Broadcast a side derived from table ``name`` without adding rows, if that table is small."""
+    path = f"{sf_dir}/{name}.parquet"
+    return broadcast_if_within(side, stored_rows(spark, path), stored_bytes(spark, path), max_rows)
 
 
 def _lookup_case(c, pairs):
@@ -57,16 +60,14 @@ def _lookup_case(c, pairs):
 def _geo(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     """nation joined to its region: (<prefix>_nationkey, <prefix>_nation, <prefix>_region)."""
     nation = _table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
-    region = broadcast_if_within(
-        _table(spark, sf_dir, "region").select("r_regionkey", "r_name"), _rows(spark, sf_dir, "region"), _GEO_MAX_ROWS
-    )
+    region = _sized(spark, sf_dir, "region", _table(spark, sf_dir, "region").select("r_regionkey", "r_name"), _GEO_MAX_ROWS)
     geo = nation.join(region, nation.n_regionkey == region.r_regionkey, "inner").select(
         F.col("n_nationkey").alias(f"{prefix}_nationkey"),
         F.col("n_name").alias(f"{prefix}_nation"),
         F.col("r_name").alias(f"{prefix}_region"),
     )
     # An inner join to a unique key adds no rows: nation's count bounds it.
-    return broadcast_if_within(geo, _rows(spark, sf_dir, "nation"), _GEO_MAX_ROWS)
+    return _sized(spark, sf_dir, "nation", geo, _GEO_MAX_ROWS)
 
 
 def staging_submissions(spark: SparkSession, sf_dir: str, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
@@ -75,12 +76,11 @@ def staging_submissions(spark: SparkSession, sf_dir: str, broadcast_rows: int =
     Joins whose side has a checked row count within ``broadcast_rows`` run
     map-side on the line stream; larger sides stay shuffle joins.
     """
-    lineitem = spread(
-        _table(spark, sf_dir, "lineitem").select(*ROW_KEY_FIELDS, "l_discount", "l_returnflag", "l_linestatus")
-    )
+    lineitem = _table(spark, sf_dir, "lineitem").select(*ROW_KEY_FIELDS, "l_discount", "l_returnflag", "l_linestatus")
+    lineitem = spread(lineitem, scan_splits(lineitem))
+
     def sized(name: str, side: DataFrame) -> DataFrame:
-        # Each side is derived from table ``name`` without adding rows.
-        return broadcast_if_within(side, _rows(spark, sf_dir, name), broadcast_rows)
+        return _sized(spark, sf_dir, name, side, broadcast_rows)
 
     orders = sized(
         "orders", _table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority")

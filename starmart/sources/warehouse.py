@@ -1,8 +1,8 @@
 """Warehouse storage: star tables as Parquet in a shared folder, full-refresh writes.
 
-Layout under the folder the session names in ``spark.checkpoint.dir``::
+Layout under the root the caller names, or the session's ``spark.checkpoint.dir``::
 
-    <root>/starmart/<dataset>/runs/<run-id>/{clean,dim_time,...,fact_submission,marts/...}
+    <root>/starmart/<dataset>/runs/<run-id>/{input,clean,dim_time,...,fact_submission,marts/...}
     <root>/starmart/<dataset>/PUBLISHED        append-only records: (stamp, run folder)
 
 A refresh writes a complete new run folder and appends its publish record last,
@@ -16,6 +16,7 @@ import time
 import uuid
 from dataclasses import dataclass, fields
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -85,31 +86,44 @@ _FACT_SCHEMA = (
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for materialised tables: the session's checkpoint dir.
 
-    Only where none is configured (local runs and tests) a private folder is
-    created and set; a cluster must name a shared one.
+    Only a single-machine session (``local`` or ``local[n]``) may leave it unset;
+    a private folder is then made and set for the application. Other processes
+    cannot find it: to reopen a warehouse later, name its root.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        try:
-            root = spark.sparkContext.getCheckpointDir()
-        except Exception:  # no SparkContext on this client
-            root = None
-    if not root:
-        master = spark.conf.get("spark.master", "")
-        if not master.startswith("local"):
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
             raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-        root = tempfile.mkdtemp(prefix="starmart-")
-        spark.sparkContext.setCheckpointDir(root)
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="starmart-"))
+        root = spark.sparkContext.getCheckpointDir()
     return root.rstrip("/")
 
 
-def dataset_base(spark: SparkSession, dataset: str) -> str:
-    return f"{shared_root(spark)}/starmart/{dataset}"
+def dataset_base(spark: SparkSession, dataset: str, root: str | None = None) -> str:
+    return f"{(root or shared_root(spark)).rstrip('/')}/starmart/{dataset}"
 
 
-def new_run(spark: SparkSession, dataset: str) -> str:
+def new_run(spark: SparkSession, dataset: str, root: str | None = None) -> str:
     stamp = time.strftime("%Y%m%dT%H%M%S", time.gmtime())
-    return f"{dataset_base(spark, dataset)}/runs/{stamp}-{uuid.uuid4().hex[:8]}"
+    return f"{dataset_base(spark, dataset, root)}/runs/{stamp}-{uuid.uuid4().hex[:8]}"
+
+
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder that this warehouse wrote (runs and what is below them)."""
+    if "/starmart/" not in path:
+        raise ValueError(f"not a warehouse folder: {path}")
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def drop_old_runs(spark: SparkSession, dataset: str, keep: int = 2, root: str | None = None) -> list[str]:
+    """Delete all but the ``keep`` last published runs; returns what went. Runs are
+    never dropped otherwise: readers may still be on an older one."""
+    old = [r["run"] for r in _published(spark, dataset, root)][max(keep, 1) :]
+    for run in old:
+        drop_folder(spark, run)
+    return old
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
@@ -119,7 +133,7 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def publish(spark: SparkSession, dataset: str, run_path: str) -> None:
+def publish(spark: SparkSession, dataset: str, run_path: str, root: str | None = None) -> None:
     """Record a completely written run folder as the current one.
 
     Publishing appends one small record (a nanosecond stamp and the run path);
@@ -127,17 +141,24 @@ def publish(spark: SparkSession, dataset: str, run_path: str) -> None:
     or half-written pointer, and older records keep the history of refreshes.
     """
     record = spark.createDataFrame([(time.time_ns(), run_path)], "published_ns long, run string")
-    record.coalesce(1).write.mode("append").json(f"{dataset_base(spark, dataset)}/PUBLISHED")
+    record.coalesce(1).write.mode("append").json(f"{dataset_base(spark, dataset, root)}/PUBLISHED")
 
 
-def current_run(spark: SparkSession, dataset: str) -> str | None:
-    """The run folder of the latest publish record, or None before the first."""
+def _published(spark: SparkSession, dataset: str, root: str | None = None) -> list:
+    """The publish records, the latest first; none before the first refresh."""
     try:
-        records = spark.read.schema("published_ns long, run string").json(f"{dataset_base(spark, dataset)}/PUBLISHED")
-        latest = records.orderBy(F.col("published_ns").desc(), F.col("run").desc()).take(1)
-    except Exception:  # nothing published yet
-        return None
-    return latest[0]["run"] if latest else None
+        records = spark.read.schema("published_ns long, run string").json(f"{dataset_base(spark, dataset, root)}/PUBLISHED")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    return records.orderBy(F.col("published_ns").desc(), F.col("run").desc()).collect()
+
+
+def current_run(spark: SparkSession, dataset: str, root: str | None = None) -> str | None:
+    """The run folder of the latest publish record, or None before the first."""
+    records = _published(spark, dataset, root)
+    return records[0]["run"] if records else None
 
 
 @dataclass(frozen=True)
@@ -151,14 +172,15 @@ class Star:
     fact_submission: DataFrame
     path: str | None = None
 
-    def rows(self, name: str) -> int | None:
-        """Row count of a stored table (parquet metadata, memoised per run path);
-        None for tables not backed by a run folder."""
+    def broadcast_rows(self, name: str) -> int | None:
+        """Row count of a stored table whose estimated size may be broadcast; None
+        for a larger one, or one that no run folder holds."""
         if self.path is None:
             return None
-        from starmart.operators.lookup import stored_rows
+        from starmart.operators.lookup import BROADCAST_BYTES, stored_bytes, stored_rows
 
-        return stored_rows(getattr(self, name).sparkSession, f"{self.path}/{name}")
+        spark, path = getattr(self, name).sparkSession, f"{self.path}/{name}"
+        return stored_rows(spark, path) if stored_bytes(spark, path) <= BROADCAST_BYTES else None
 
     def tables(self) -> dict[str, DataFrame]:
         return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "path"}
@@ -194,9 +216,9 @@ def read_star(spark: SparkSession, path: str) -> Star:
     )
 
 
-def open_star(spark: SparkSession, dataset: str) -> Star:
+def open_star(spark: SparkSession, dataset: str, root: str | None = None) -> Star:
     """The star of the latest published run (the last complete refresh)."""
-    run = current_run(spark, dataset)
+    run = current_run(spark, dataset, root)
     if run is None:
-        raise FileNotFoundError(f"no published warehouse run for dataset {dataset!r}")
+        raise FileNotFoundError(f"no published warehouse run for dataset {dataset!r} under {dataset_base(spark, dataset, root)}")
     return read_star(spark, run)

@@ -3,8 +3,12 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
 import tempfile
 
+import pytest
+
 from starmart.operators.clean import clean_submissions
 from starmart.sources.csv import read_submissions_csv, write_submissions_csv
 from starmart.sources.schemas import RAW_COLUMNS
@@ -77,8 +81,6 @@ def test_clean_fills_and_levels(spark):
 
 
 def test_non_integer_year_fails_the_read(spark):
-    import pytest
-
     folder = tempfile.mkdtemp(prefix="starmart-csv-")
     with open(os.path.join(folder, "part.csv"), "w", encoding="utf-8") as fh:
         fh.write(HEADER + "\n" + _line(ano="dois mil") + "\n")
@@ -86,22 +88,68 @@ def test_non_integer_year_fails_the_read(spark):
         read_submissions_csv(spark, folder).collect()
 
 
-def test_cli_etl_on_csv_and_report(spark, capsys):
-    from starmart.__main__ import main
+def _write(folder, name, header, *lines):
+    with open(os.path.join(folder, name), "w", encoding="utf-8") as fh:
+        fh.write("\n".join([",".join(header), *lines]) + "\n")
+
+
+def test_columns_are_bound_by_header(spark, tmp_path):
+    order = ["extra", *reversed(RAW_COLUMNS)]
+    cells = {c: c.upper() for c in RAW_COLUMNS} | {"ano": "2017", "extra": "?"}
+    _write(tmp_path, "part.csv", order, ",".join(cells[c] for c in order))
+    row = read_submissions_csv(spark, str(tmp_path)).first()
+    assert row["ano"] == 2017 and all(row[c] == c.upper() for c in RAW_COLUMNS if c != "ano")
+
+
+def test_missing_column_is_an_error(spark, tmp_path):
+    _write(tmp_path, "part.csv", RAW_COLUMNS[:-1], ",".join("1" for _ in RAW_COLUMNS[:-1]))
+    with pytest.raises(ValueError, match="indicador_vencedor"):
+        read_submissions_csv(spark, str(tmp_path))
+
+
+def test_mixed_headers_are_an_error(spark, tmp_path):
+    _write(tmp_path, "part-0.csv", RAW_COLUMNS, _line())
+    swapped = ["ano", "nome_autor", "genero_livro", "pais_primeira_edicao", "titulo_livro", *RAW_COLUMNS[5:]]
+    _write(tmp_path, "part-1.csv", swapped, _line())
+    with pytest.raises(Exception):
+        read_submissions_csv(spark, str(tmp_path)).collect()
+
 
+def test_missing_years_are_null_and_other_text_fails(spark, tmp_path):
+    _write(tmp_path, "part.csv", RAW_COLUMNS, _line(ano="NA"), _line(ano=""), _line(ano="2019"))
+    assert [r["ano"] for r in read_submissions_csv(spark, str(tmp_path)).orderBy("row_key").collect()] == [None, None, 2019]
+
+
+def test_keep_latest_takes_a_known_year_over_a_missing_one(spark):
+    from starmart.plans.star import dim_author_rows
+
+    rows = [{"ano": None, "genero_autor": "a"}, {"ano": 2020, "genero_autor": "b"}, {"nome_autor": "N", "ano": None, "genero_autor": "c"}, {"nome_autor": "N", "ano": None, "genero_autor": "d"}]
+    picked = {r["author_name"]: r["author_gender"] for r in dim_author_rows(clean_submissions(raw_frame(spark, rows))).collect()}
+    assert picked == {"Autora": "b", "N": "c"}
+
+
+def test_cli_loads_and_reports_in_two_processes(spark, tmp_path):
     raw = raw_frame(
         spark,
         [{"ano": 2015 + i % 10, "nome_autor": f"A{i % 7}", "indicador_vencedor": "Sim" if i % 9 == 0 else "Não"} for i in range(40)],
     )
-    folder = tempfile.mkdtemp(prefix="starmart-csv-")
-    write_submissions_csv(raw, folder)
-    dataset = "cli-" + os.path.basename(folder)
-    main(["etl", folder, dataset])
-    out = capsys.readouterr().out
+    write_submissions_csv(raw, str(tmp_path / "csv"))
+
+    def run(*arguments):
+        env = os.environ | {"PYSPARK_SUBMIT_ARGS": "--master local[2] --conf spark.ui.enabled=false pyspark-shell"}
+        command = [sys.executable, "-m", "starmart", *arguments]
+        root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+        return subprocess.run(command, cwd=root, env=env, capture_output=True, text=True, timeout=300)
+
+    assert "name the warehouse root" in run("report", "prize", "q04").stderr
+    root = ("--root", str(tmp_path / "warehouse"))
+    out = run("etl", str(tmp_path / "csv"), "prize", *root).stdout
     assert "  fact_submission : 40" in out and "  raw             : 40" in out
-    main(["report", dataset, "q04"])
-    out = capsys.readouterr().out
-    assert "taxa_vitoria_pct" in out and "2024" in out
+    out = run("report", "prize", "v02", *root, "--years", "2016", "2018").stdout
+    assert "2017" in out and "2015" not in out
+    assert run("report", "prize", "q04", *root, "--out", str(tmp_path / "q04")).returncode == 0
+    assert spark.read.parquet(str(tmp_path / "q04")).count() == 10
+    assert not list((tmp_path / "warehouse").glob("**/_work"))
 
 
 def test_single_line_mode_reads_the_same_rows(spark):

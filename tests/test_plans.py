@@ -55,6 +55,56 @@ def test_large_dimension_joins_after_preaggregation(small_star):
     assert "broadcast" not in text.lower()
 
 
+def test_wide_dimension_stays_a_shuffle_join(spark, small_star, tmp_path):
+    """Few but very wide rows are over the byte bound: no forced broadcast."""
+    import dataclasses
+
+    from pyspark.sql import functions as F
+
+    from starmart.operators.lookup import BROADCAST_BYTES, null_safe_lookup, stored_bytes
+    from starmart.sources.warehouse import write_table
+
+    wide = small_star.dim_author.withColumn("author_gender", F.repeat(F.lit("x"), F.lit(BROADCAST_BYTES // 100)))
+    path = f"{small_star.path}/../wide-{tmp_path.name}"
+    write_table(wide, f"{path}/dim_author")
+    stored = spark.read.parquet(f"{path}/dim_author")
+    assert stored_bytes(spark, f"{path}/dim_author") > BROADCAST_BYTES
+    star = dataclasses.replace(small_star, dim_author=stored, path=path)
+    assert star.broadcast_rows("dim_author") is None
+    assert "Broadcast" not in plan(reports.q07(star)).split("Scan parquet")[0] or "strategy=broadcast" not in optimized(reports.q07(star))
+    lookup = null_safe_lookup(
+        small_star.fact_submission.select("author_id"),
+        stored,
+        [("author_id", "author_id")],
+        ["author_gender"],
+        dim_rows=148,
+        dim_bytes=stored_bytes(spark, f"{path}/dim_author"),
+        hot=[],
+    )
+    assert "strategy=broadcast" not in optimized(lookup)
+
+
+def test_ranked_fact_carries_no_text_and_sampling_runs_no_join(spark, small_star, monkeypatch):
+    from starmart.operators import lookup
+    from starmart.plans import star as star_plan
+    from starmart.plans.star import build_star
+    from starmart.params import TESTDATA_YEARS
+    from starmart.sources.staging import staging_submissions
+
+    from conftest import SF_SMALL
+
+    sampled, ranked = [], []
+    monkeypatch.setattr(star_plan, "hot_keys", lambda df, cols, rows: sampled.append(optimized(df)) or lookup.hot_keys(df, cols, rows))
+    plain = star_plan.with_dense_id
+    monkeypatch.setattr(star_plan, "with_dense_id", lambda df, *a, **k: ranked.append((a[1], df.schema)) or plain(df, *a, **k))
+    raw = staging_submissions(spark, SF_SMALL)
+    build_star(spark, raw, TESTDATA_YEARS, dataset="test-narrow", broadcast_rows=0, rows_per_range=900)
+    assert len(sampled) == 4 and not any("Join" in p for p in sampled)
+    fact = dict(ranked)["submission_id"]
+    texts = [f.name for f in fact.fields if f.dataType.simpleString() == "string"]
+    assert texts == ["selection_level"]
+
+
 def test_small_dimension_broadcast_into_fact_stream(small_star):
     text = plan(reports.q01(small_star))
     assert "BroadcastHashJoin" in text

@@ -136,6 +136,39 @@ def test_refresh_publishes_last_complete_run(spark):
     assert first.fact_submission.count() == 1  # the earlier run stays readable
 
 
+def test_old_runs_are_dropped_on_request_only(spark):
+    from starmart.sources.warehouse import current_run, drop_old_runs
+
+    dataset = f"test-old-{uuid.uuid4().hex[:6]}"
+    runs = [build_star(spark, raw_frame(spark, [{}]), PRIZE_YEARS, dataset=dataset).path for _ in range(3)]
+    assert drop_old_runs(spark, dataset, keep=2) == runs[:1]
+    assert current_run(spark, dataset) == runs[2]
+    assert spark.read.parquet(f"{runs[1]}/fact_submission").count() == 1
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(f"{runs[0]}/fact_submission")
+
+
+def test_view_order_does_not_hang_on_the_stored_files(spark, small_star):
+    from starmart.datasets import testdata_marts
+    from starmart.plans import views
+
+    from conftest import SF_SMALL
+
+    marts = testdata_marts(spark, SF_SMALL)
+    shuffled = {name: df.repartition(5) for name, df in marts.items()}
+    unknown = spark.createDataFrame([("x", 1, 0), ("y", 3, 0), ("z", 3, 0), ("de 20 a 30 anos", 2, 0)], "faixa string, inscritos long, vencedores long")
+    shuffled["d07"] = unknown.repartition(3)
+    long = [(r["stage"], -r["works"], r["book_genre"]) for r in views.v04(shuffled).collect()]
+    stages = [s for i, (s, _, _) in enumerate(long) if not i or long[i - 1][0] != s]
+    assert stages == ["Inscritos", "Semifinalistas", "Finalistas", "Vencedores"]
+    first = [x for x in long if x[0] == "Inscritos"]
+    assert first == sorted(first)
+    assert [g for s, _, g in long if s == "Vencedores"] == [g for _, _, g in first]
+    assert [r["inscritos"] for r in views.v07(shuffled).collect()] == [2, 3, 3, 1]
+    won = [(-r["Vitórias"], r["Editora"]) for r in views.v10(shuffled).collect()]
+    assert won == sorted(won)
+
+
 def test_large_scale_path_gives_identical_star(spark, small_star):
     """rows_per_range far below the data size takes every at-scale branch:
     materialised dedupes, multi-range ids for dimensions and fact, rebalanced
