@@ -7,13 +7,13 @@ filter), so only sets that share such a token meet:
 
 1. Documents with equal sets are one class, whose least document stands for it.
 2. For every prefix token the least class that has it is its centre. Each centre's
-   set is looked up in a prefix tree of the sets that share its tokens, in blocks
-   of bounded size. That takes one comparison per class and centre, however large
-   a group of near copies is.
-3. What these links join is contracted. Only where a centre's block still holds
-   several components are its sets joined with each other, again by prefix trees,
-   and only across components. Together the steps look at every pair that shares a
-   prefix token, save those whose documents are connected already.
+   set is looked up in a prefix tree of the sets that share its tokens and are
+   close enough in size, in blocks of bounded size. That takes one comparison per
+   class and centre, however large a group of near copies is.
+3. What these links join is contracted. Only the classes of tokens that still have
+   several components are joined with each other, again by prefix trees, and only
+   across components. Together the steps look at every pair that shares a prefix
+   token, save those whose documents are connected already.
 
 The frequent tokens (counted over all texts: those with several uses within a
 slice of the corpus, the most used ``FREQUENT`` of them) only shape the order; any
@@ -31,7 +31,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from starmart.llm.common import Stages, components
@@ -40,9 +40,11 @@ from starmart.llm.trie import Trie, linking_pairs
 
 WORDS, PERCENT = 5, 80
 #: How many frequent tokens are put last in the order (8 bytes each go to every task).
-FREQUENT = 50_000
+FREQUENT = 500_000
 #: Tokens counted together in a slice, and the least count there that makes a token known.
-SLICE, SEVERAL = 2_000_000, 4
+SLICE, SEVERAL = 2_000_000, 2
+#: Most document ids that are broadcast (8 bytes each) to pick texts.
+BROADCAST_IDS = 1_000_000
 #: Most sets in one prefix tree.
 BLOCK = 1000
 
@@ -188,6 +190,21 @@ def _block_links(percent: int):
     return links
 
 
+def _close(a: str, b: str, percent: int) -> Column:
+    """Whether two sizes allow the similarity."""
+    return (F.col(a) * 100 >= F.col(b) * percent) & (F.col(b) * 100 >= F.col(a) * percent)
+
+
+def _whole_sets(docs: DataFrame, nodes: DataFrame, words: int, percent: int, frequent: np.ndarray) -> DataFrame:
+    """(node, tokens) of the documents in ``nodes``."""
+    nodes = nodes.distinct()
+    # Few ids go to every task; many meet their texts in a shuffle.
+    nodes = F.broadcast(nodes) if nodes.count() <= BROADCAST_IDS else nodes
+    texts = docs.select("doc_id", "text").join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
+    sets = _sets(texts, words, percent, frequent, whole=True).where("n_shingles > 0")
+    return sets.select(F.col("doc_id").cast("long").alias("node"), "tokens")
+
+
 def similar_groups(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by links)."""
     stages = Stages(docs.sparkSession, "jaccard")
@@ -201,42 +218,41 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, percent: int = PERCEN
     members = stages.write(sets.select("doc_id", *prints), "members")
     stages.drop(sets)
 
-    # 2. The least class of each prefix token is its centre; blocks are the centre's tokens' classes.
+    # 2. The least class of each prefix token is its centre.
+    sizes = stages.write(classes.select("node", "n_shingles"), "sizes")
     uses = classes.select("node", "n_shingles", F.explode("tokens").alias("token"))
-    centres = uses.groupBy("token").agg(F.min("node").alias("centre"), F.max("node").alias("last")).where("centre < last")
-    blocks = (
-        uses.join(centres.select("token", "centre"), "token")
-        .where("node > centre")
-        .select("centre", "node", "n_shingles")
-        .distinct()
-    )
-    blocks = stages.write(blocks, "blocks")
+    centres = uses.groupBy("token").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("many")).where("many > 1")
+    shared = uses.join(centres, "token").where("node > centre")
+    shared = stages.write(shared.select("token", "centre", "node", "n_shingles", "many"), "shared")
     stages.drop(classes)
 
-    wanted = blocks.select("node").unionByName(blocks.select(F.col("centre").alias("node"))).distinct()
-    texts = docs.select("doc_id", "text").join(wanted, F.col("doc_id") == F.col("node"), "left_semi")
-    whole = _sets(texts, words, percent, frequent, whole=True).where("n_shingles > 0")
-    whole = whole.select(F.col("doc_id").cast("long").alias("node"), "n_shingles", "tokens")
-    whole = stages.write(whole, "whole")
-
-    sizes = blocks.groupBy("centre").agg(F.count(F.lit(1)).alias("many"))
-    salts = F.ceil(F.col("many") / block).cast("int")
-    own = whole.select("node", F.col("n_shingles").alias("centre_size"))
-    star = blocks.join(sizes, "centre").join(own.withColumnRenamed("node", "centre"), "centre")
-    star = star.where(
-        (F.col("n_shingles") * 100 >= F.col("centre_size") * percent) & (F.col("centre_size") * 100 >= F.col("n_shingles") * percent)
-    ).select("centre", "node", F.pmod(F.xxhash64("node"), salts).cast("int").alias("salt"))
-    star = stages.write(star.distinct(), "star")
+    centre_size = sizes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("centre_size"))
+    star = shared.select("centre", "node", "n_shingles").distinct().join(centre_size, "centre")
+    star = stages.write(star.where(_close("n_shingles", "centre_size", percent)).select("centre", "node"), "pairs")
+    each = star.groupBy("centre").agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("salts"))
+    star = star.join(each, "centre").select("centre", "node", F.pmod(F.xxhash64("node"), F.col("salts")).cast("int").alias("salt"))
+    star = stages.write(star, "star")
     heads = star.select("centre", "salt").distinct().select("centre", "salt", F.col("centre").alias("node"), F.lit(0).alias("role"))
-    rows = star.select("centre", "salt", "node", F.lit(1).alias("role")).unionByName(heads).join(whole.select("node", "tokens"), "node")
-    rows = rows.repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role", "node")
+    rows = star.select("centre", "salt", "node", F.lit(1).alias("role")).unionByName(heads)
+    whole = stages.write(_whole_sets(docs, rows.select("node"), words, percent, frequent), "whole")
+    rows = rows.join(whole, "node").repartition("centre", "salt").sortWithinPartitions("centre", "salt", "role", "node")
     links = stages.write(rows.select("centre", "salt", "role", "node", "tokens").mapInArrow(_star_links(percent), "a long, b long"), "links")
 
-    # 3. Blocks that still hold several components are joined within themselves.
+    # 3. Tokens whose other classes are still of several components, and of sizes that
+    # could be similar: their classes are joined with each other, a centre's together.
     joined = components(stages, links)
-    at = blocks.join(joined, "node", "left").select("centre", "node", F.coalesce("component", "node").alias("component"))
-    mixed = at.groupBy("centre").agg(F.min("component").alias("low"), F.max("component").alias("high"), F.count(F.lit(1)).alias("many"))
-    at = stages.write(at.join(mixed.where("low < high").select("centre", "many"), "centre"), "mixed")
+    rest = shared.where("many > 2").join(joined, "node", "left")
+    rest = rest.select("token", "centre", "node", "n_shingles", F.coalesce("component", "node").alias("component"))
+    spread = rest.groupBy("token").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low < high")
+    rest = rest.join(spread.select("token"), "token")
+    by_size = Window.partitionBy("token").orderBy("n_shingles", "node")
+    # Whoever has a partner close enough in size has a neighbour in the order of sizes that is.
+    near = [_close("n_shingles", f, percent) for f in ("smaller", "larger")]
+    rest = rest.withColumns({"smaller": F.lag("n_shingles").over(by_size), "larger": F.lead("n_shingles").over(by_size)})
+    rest = rest.where(F.coalesce(near[0], F.lit(False)) | F.coalesce(near[1], F.lit(False)))
+    at = stages.write(rest.select("centre", "node", "component").distinct(), "mixed")
+    many = at.groupBy("centre").agg(F.count(F.lit(1)).alias("many"))
+    at = at.join(many, "centre")
     # A component too large for one tree is cut into parts of its own; the others are dealt into shared parts.
     share = at.groupBy("centre", "component").agg(F.count(F.lit(1)).alias("here"))
     parts = at.join(share, ["centre", "component"]).select(
@@ -255,7 +271,8 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, percent: int = PERCEN
     )
     key = lambda c: F.xxhash64(f"{c}.of", f"{c}.part").alias(c)
     rows = sided.join(parts, ["centre", "part"]).select("centre", key("left"), key("right"), "side", "node", "component")
-    rows = rows.join(whole.select("node", "tokens"), "node").repartition("centre", "left", "right")
+    whole = stages.write(_whole_sets(docs, parts.select("node"), words, percent, frequent), "whole-parts")
+    rows = rows.join(whole, "node").repartition("centre", "left", "right")
     rows = rows.sortWithinPartitions("centre", "left", "right", "side", "node")
     rows = rows.select("centre", "left", "right", "side", "node", "component", "tokens")
     across = stages.write(rows.mapInArrow(_block_links(percent), "a long, b long"), "across")
