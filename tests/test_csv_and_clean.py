@@ -141,7 +141,6 @@ def test_cli_loads_and_reports_in_two_processes(spark, tmp_path):
         root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
         return subprocess.run(command, cwd=root, env=env, capture_output=True, text=True, timeout=300)
 
-    assert "name the warehouse root" in run("report", "prize", "q04").stderr
     root = ("--root", str(tmp_path / "warehouse"))
     out = run("etl", str(tmp_path / "csv"), "prize", *root).stdout
     assert "  fact_submission : 40" in out and "  raw             : 40" in out

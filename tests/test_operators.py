@@ -8,18 +8,18 @@ from pyspark.sql import functions as F
 
 from starmart.operators.dedupe import keep_first, keep_latest
 from starmart.operators.lookup import stored_rows
-from starmart.operators.spread import spread
+from starmart.operators.spread import scan_splits, spread
 from starmart.session import default_parallelism
 
 
 def test_spread_only_narrow_inputs(spark):
     target = default_parallelism(spark)
     one = spark.range(0, 1000, numPartitions=1)
-    spread_one = spread(one)
+    spread_one = spread(one, splits=1)
     assert spread_one.rdd.getNumPartitions() == target
     assert sorted(r.id for r in spread_one.collect()) == list(range(1000))
     wide = spark.range(0, 1000, numPartitions=target * 2)
-    assert spread(wide) is wide
+    assert spread(wide, splits=target * 2) is wide and spread(wide, splits=target // 2 + 1) is wide
 
 
 def test_stored_rows_reads_and_memoises(spark):
@@ -27,6 +27,13 @@ def test_stored_rows_reads_and_memoises(spark):
     spark.range(123).write.parquet(path)
     assert stored_rows(spark, path) == 123
     assert stored_rows(spark, path) == 123
+    spark.range(77).write.mode("overwrite").parquet(path)
+    assert stored_rows(spark, path) == 77  # another table now
+
+
+def test_scan_splits_counts_the_tasks_that_read_rows(spark, tmp_path):
+    spark.range(0, 100, numPartitions=3).write.parquet(str(tmp_path / "t"))
+    assert 1 <= scan_splits(spark.read.parquet(str(tmp_path / "t"))) <= 3
 
 
 def test_keep_first_and_latest_pick_by_order(spark):
