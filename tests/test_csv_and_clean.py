@@ -145,7 +145,7 @@ def test_cli_loads_and_reports_in_two_processes(spark, tmp_path):
     out = run("etl", str(tmp_path / "csv"), "prize", *root).stdout
     assert "  fact_submission : 40" in out and "  raw             : 40" in out
     out = run("report", "prize", "v02", *root, "--years", "2016", "2018").stdout
-    assert "2017" in out and "2015" not in out
+    assert "|2017|" in out and "|2015|" not in out
     assert run("report", "prize", "q04", *root, "--out", str(tmp_path / "q04")).returncode == 0
     assert spark.read.parquet(str(tmp_path / "q04")).count() == 10
     assert not list((tmp_path / "warehouse").glob("**/_work"))
