@@ -2,11 +2,12 @@
 
 Each text becomes the set of its distinct word shingles, as 64-bit tokens in one
 global order: tokens that stand out as frequent last, otherwise by hash. Two sets
-of the needed similarity share a token among the first fifth of each (the prefix
-filter), so only sets that share such a token meet:
+of the needed similarity share tokens among the first few of each, a fifth of the
+set and one more for each that they must share (the prefix filter). So only sets
+meet that share such a token, and only those that share enough of them with others:
 
 1. Documents with equal sets are one class, whose least document stands for it.
-2. For every prefix token the least class that has it is its centre. Each centre's
+2. For every prefix token the least class left that has it is its centre. Each centre's
    set is looked up in a prefix tree of the sets that share its tokens and are
    close enough in size, in blocks of bounded size. That takes one comparison per
    class and centre, however large a group of near copies is.
@@ -45,6 +46,9 @@ FREQUENT = 500_000
 SLICE, SEVERAL = 2_000_000, 2
 #: Most document ids that are broadcast (8 bytes each) to pick texts.
 BROADCAST_IDS = 1_000_000
+#: The prefix is longer by one token for so many of a set. Similar sets then share as
+#: many more tokens, which rules out documents that share only a passage with others.
+LONGER = 10
 #: Most sets in one prefix tree.
 BLOCK = 1000
 
@@ -121,7 +125,7 @@ def _sets(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, whole
                 sizes.append(n)
                 a.append(int(np.bitwise_xor.reduce(_spread(ordered, 0x9E3779B97F4A7C15))) if n else 0)
                 b.append(int(_spread(ordered, 0xC2B2AE3D27D4EB4F).sum(dtype=np.int64)) if n else 0)
-                tokens.append(ordered if whole else ordered[: n - -(-percent * n // 100) + 1] if n else ordered)
+                tokens.append(ordered if whole else ordered[: n - -(-percent * n // 100) + n // LONGER + 1])
             yield pa.record_batch(
                 [batch.column("doc_id"), pa.array(sizes, pa.int64()), pa.array(a, pa.int64()), pa.array(b, pa.int64()), _lists(tokens)],
                 ["doc_id", "n_shingles", "print_a", "print_b", "tokens"],
@@ -218,13 +222,20 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, percent: int = PERCEN
     members = stages.write(sets.select("doc_id", *prints), "members")
     stages.drop(sets)
 
-    # 2. The least class of each prefix token is its centre.
+    # 2. Tokens that several classes have, of the classes that share enough of them with others.
     sizes = stages.write(classes.select("node", "n_shingles"), "sizes")
     uses = classes.select("node", "n_shingles", F.explode("tokens").alias("token"))
-    centres = uses.groupBy("token").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("many")).where("many > 1")
-    shared = uses.join(centres, "token").where("node > centre")
-    shared = stages.write(shared.select("token", "centre", "node", "n_shingles", "many"), "shared")
+    several = uses.groupBy("token").agg(F.count(F.lit(1)).alias("many")).where("many > 1").select("token")
+    shared = stages.write(uses.join(several, "token"), "shared-tokens")
     stages.drop(classes)
+    # The least a set shares with the smallest set that can be similar to it.
+    least = F.floor(F.ceil(F.col("n_shingles") * percent / 100) / LONGER) + 1
+    enough = shared.groupBy("node", "n_shingles").agg(F.count(F.lit(1)).alias("common")).where(F.col("common") >= least)
+    shared = stages.write(shared.join(enough.select("node"), "node"), "shared")
+    # The least class of a token is its centre.
+    centres = shared.groupBy("token").agg(F.min("node").alias("centre"), F.count(F.lit(1)).alias("many")).where("many > 1")
+    shared = shared.join(centres, "token").where("node > centre")
+    shared = stages.write(shared.select("token", "centre", "node", "n_shingles", "many"), "centred")
 
     centre_size = sizes.select(F.col("node").alias("centre"), F.col("n_shingles").alias("centre_size"))
     star = shared.select("centre", "node", "n_shingles").distinct().join(centre_size, "centre")
