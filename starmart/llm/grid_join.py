@@ -87,13 +87,25 @@ class _Side:
         self.links = np.zeros(len(node), dtype=np.int64)
 
 
+class _Forest:
+    """Which vectors of a block are tied already: union-find, with each vector's group at hand."""
+
+    def __init__(self, n: int):
+        self.groups = Groups(list(range(n)))
+        self.of = np.arange(n)
+
+    def settle(self) -> None:
+        ids, inverse = np.unique(self.of, return_inverse=True)
+        self.of = np.array([self.groups.find(int(g)) for g in ids], dtype=np.int64)[inverse]
+
+
 def _apart(a: _Side, i: slice, b: _Side, j: slice, epsilon: float) -> bool:
     x, y = a.at[i], b.at[j]
     gap = np.maximum(0, np.maximum(x.min(0) - y.max(0), y.min(0) - x.max(0)))
     return float((gap * gap).sum()) > epsilon * epsilon * (1 + 1e-9)
 
 
-def _join(a: _Side, i: slice, b: _Side, j: slice, cosine: float, forest: Groups, edges: list, base: int) -> None:
+def _join(a: _Side, i: slice, b: _Side, j: slice, cosine: float, forest: _Forest, edges: list, base: int) -> None:
     """Count the links between two stretches and keep a spanning forest of them."""
     epsilon = math.sqrt(2 - 2 * cosine)
     same = a is b
@@ -118,10 +130,16 @@ def _join(a: _Side, i: slice, b: _Side, j: slice, cosine: float, forest: Groups,
         p, q = p[linked], q[linked]
         np.add.at(a.links, p, b.copies[q])
         np.add.at(b.links, q, a.copies[p])
-        for x, y in zip(p.tolist(), q.tolist(), strict=True):
-            if forest.find(x) != forest.find(y + base):
-                forest.join(x, y + base)
-                edges.append((int(a.node[x]), int(b.node[y])))
+        # Groups that these links tie, each pair of groups once: dense blocks add few edges.
+        x, y = forest.of[p], forest.of[q + base]
+        apart = np.flatnonzero(x != y)
+        if len(apart):
+            pairs, first = np.unique(np.stack([x[apart], y[apart]], axis=1), axis=0, return_index=True)
+            for (g, h), k in zip(pairs.tolist(), apart[first].tolist(), strict=True):
+                if forest.groups.find(g) != forest.groups.find(h):
+                    forest.groups.join(g, h)
+                    edges.append((int(a.node[p[k]]), int(b.node[q[k]])))
+            forest.settle()
 
 
 def _interval_join(axes: np.ndarray, cosine: float):
@@ -142,7 +160,7 @@ def _interval_join(axes: np.ndarray, cosine: float):
                     side[1] = side[0]
                 a, b = side
                 base = 0 if a is b else len(a.node)
-                forest, edges = Groups(list(range(len(a.node) + (base and len(b.node))))), []
+                forest, edges = _Forest(len(a.node) + (base and len(b.node))), []
                 _join(a, slice(0, len(a.node)), b, slice(0, len(b.node)), cosine, forest, edges, base)
                 counts = [(int(n), int(c)) for s in ([a] if a is b else side) for n, c in zip(s.node, s.links, strict=True) if c]
                 yield pa.record_batch(
