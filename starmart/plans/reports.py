@@ -1,8 +1,10 @@
 """The analytical reports over the star: q01-q12 (ad-hoc SQL set) and d01-d10
 (dashboard aggregates). Each takes a ``Star`` and returns an ordered DataFrame.
 
-Measure names follow the source reports; dimension attributes keep the star's
-column names unless a report renames them.
+Fixed values: the output names of measures and renamed attributes
+(``inscritos``, ``taxa_semi_pct``, ``pais_autor``, ...) are those of the source
+reports and must stay as they are; dimension attributes otherwise keep the star's
+column names.
 """
 
 from __future__ import annotations
