@@ -98,33 +98,32 @@ def components(stages: Stages, edges: DataFrame, max_rounds: int = 60) -> DataFr
     Alternates large-star and small-star steps (Kiveris et al., 2014): each
     points the neighbours of a node at the smallest of them, as grouped minima
     and a join, until the edges are stars. Edges stay in the cluster; the driver
-    sees a count and a checksum per round."""
+    sees two flags per round."""
+
     def step(e: DataFrame, large: bool) -> DataFrame:
-        # e: (u, v); both directions for large-star, u > v for small-star.
         low = e.groupBy("u").agg(F.min("v").alias("m")).withColumn("m", F.least("u", "m"))
-        out = e.join(low, "u").select(F.col("v"), F.col("m"))
+        out = e.join(low, "u").select("v", "m")
         if large:
-            out = out.where(F.col("v") > F.col("m"))
+            out = out.where("v > m")
         else:
-            out = out.unionByName(low.select(F.col("u").alias("v"), "m")).where(F.col("v") != F.col("m"))
+            out = out.unionByName(low.select(F.col("u").alias("v"), "m")).where("v <> m")
         return out.select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
 
+    def are_stars(e: DataFrame) -> bool:
+        # Every node hangs on one other, and none that others hang on.
+        ends = e.select(F.col("u").alias("node"), F.lit(1).alias("hangs"), F.lit(0).alias("holds")).unionByName(
+            e.select(F.col("v").alias("node"), F.lit(0).alias("hangs"), F.lit(1).alias("holds"))
+        )
+        each = ends.groupBy("node").agg(F.sum("hangs").alias("hangs"), F.max("holds").alias("holds"))
+        return not each.where("hangs > 1 OR (hangs = 1 AND holds = 1)").agg(F.count(F.lit(1))).first()[0]
+
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v").distinct()
     e = stages.write(e, "edges")
-    last = None
     for _ in range(max_rounds):
+        if are_stars(e):
+            stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+            return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
         both = e.unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        e2 = step(both, True)
-        # large-star: keep u > v
-        e2 = e2.where(F.col("u") > F.col("v"))
-        nxt = stages.write(step(e2, False), "stars")
-        state = tuple(nxt.agg(F.count(F.lit(1)), F.coalesce(F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")), F.lit(0))).first())
-        stages.drop(e)
-        e = nxt
-        if state == last:
-            break
-        last = state
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    stars = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
-    return stars.unionByName(stars.select(F.col("component").alias("node"), "component").distinct())
+        done, e = e, stages.write(step(step(both, True), False), "stars")
+        stages.drop(done)
+    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

@@ -70,6 +70,13 @@ def _ordered(words: np.ndarray, n: int, frequent: np.ndarray) -> np.ndarray:
     return tokens.view(np.int64)
 
 
+def _slices(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """Batches of fewer rows, so that few sets are held at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
+
+
 def _texts(batch: pa.RecordBatch) -> Iterator[bytes | None]:
     for value in batch.column("text").cast(pa.binary()):
         yield value.as_py()
@@ -117,7 +124,7 @@ def _sets(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, whole
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last = shared.value
-        for batch in batches:
+        for batch in _slices(batches):
             sizes, a, b, tokens = [], [], [], []
             for found, _ in word_hashes(_texts(batch), lower=True):
                 ordered = _ordered(found, words, last)
