@@ -88,8 +88,8 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
-def frequent_tokens(docs: DataFrame, words: int = WORDS, most: int = FREQUENT) -> np.ndarray:
-    """The ``most`` most used tokens of those used several times in a slice."""
+def frequent_tokens(stages: Stages, docs: DataFrame, words: int = WORDS, most: int = FREQUENT) -> np.ndarray:
+    """The most used tokens of those used several times in a slice, ``most`` at most."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[np.ndarray] = []
@@ -112,9 +112,20 @@ def frequent_tokens(docs: DataFrame, words: int = WORDS, most: int = FREQUENT) -
         if size:
             yield several()
 
-    counted = docs.select("text").mapInArrow(count, "token long, uses long")
-    top = counted.groupBy("token").agg(F.sum("uses").alias("uses")).orderBy(F.col("uses").desc(), "token").limit(most)
-    return np.sort(np.array([r["token"] for r in top.select("token").collect()], dtype=np.uint64))
+    counted = docs.select("text").mapInArrow(count, "token long, uses long").groupBy("token").agg(F.sum("uses").alias("uses"))
+    counted = stages.write(counted, "frequent")
+    # The least number of uses that at most ``most`` tokens reach; only those come to the driver, 8 bytes each.
+    left, least = most, None
+    for row in counted.groupBy("uses").agg(F.count(F.lit(1)).alias("n")).orderBy(F.col("uses").desc()).toLocalIterator():
+        left -= row["n"]
+        if left < 0:
+            break
+        least = row["uses"]
+    if least is None:
+        return np.zeros(0, dtype=np.uint64)
+    tokens = counted.where(F.col("uses") >= least).select("token").toArrow()["token"].to_numpy()
+    stages.drop(counted)
+    return np.sort(tokens.astype(np.uint64))
 
 
 def _sets(docs: DataFrame, words: int, percent: int, frequent: np.ndarray, whole: bool) -> DataFrame:
@@ -219,7 +230,7 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, words: int, percent: int, fre
 def similar_groups(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by links)."""
     stages = Stages(docs.sparkSession, "jaccard")
-    frequent = frequent_tokens(docs, words)
+    frequent = frequent_tokens(stages, docs, words)
     sets = stages.write(_sets(docs, words, percent, frequent, whole=False), "sets")
 
     # 1. Classes of equal sets. Copies fold into one row before the shuffle.
