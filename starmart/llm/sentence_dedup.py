@@ -1,11 +1,17 @@
 """Substring dedup over sliding sentence spans.
 
 A text's words fall into sentences: one ends after a word that ends in ``.``,
-``!`` or ``?``, and at a line feed. From every sentence the run of consecutive
-sentences that first has ``SENTENCES`` of them and ``WORDS`` words is hashed (A-Z
-as a-z, white space as one space); a sentence of ``LONG`` words is a run by
-itself. Runs meet by hash over the whole corpus. The first occurrence of a run, in
-the least document, stays; every sentence that a later occurrence covers goes.
+``!`` or ``?``, and at a line feed. A run is any ``SENTENCES`` or more consecutive
+sentences with ``WORDS`` words, or one sentence of ``LONG`` words (A-Z as a-z, white
+space as one space). The first occurrence of a run, in the least document, stays;
+every sentence that a later occurrence covers goes.
+
+Hashed are, for every sentence, the shortest run that starts there and the shortest
+that ends there. They lie within every longer run and cover it to both ends: a
+sentence from which the rest of it is too short ends a run that is not, or is in the
+one from its first sentence. So their later occurrences cover the same sentences as
+those of all runs, at linear size. Runs meet by hash over the whole corpus; a passage
+whose line feeds fall elsewhere meets only in shortest runs with the same words.
 
 Occurrences are counted and the least document found by partial sums before the
 shuffle, so a run that a third of all documents share costs one row per task; the
@@ -64,14 +70,21 @@ def sentences(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarr
 
 
 def runs(hashes: np.ndarray, first: np.ndarray, least: int, words: int, long: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """First sentence, sentence after the last, and hash of every run of a text."""
+    """First sentence, sentence after the last, and hash of the shortest runs of a text
+    that start or end at each sentence, by first sentence."""
     n = len(first)
     cut = np.append(first, len(hashes))  # words before each sentence
     i = np.arange(n)
     to = np.maximum(i + least, np.searchsorted(cut, cut[:-1] + words))
     to = np.where(np.diff(cut) >= long, i + 1, to)
-    i = i[to <= n]
-    to = to[i] if len(i) else to[:0]
+    # The last sentence from which the words up to the end of each suffice.
+    by = np.minimum(i + 1 - least, np.searchsorted(cut, cut[1:] - words, side="right") - 1)
+    ends = np.flatnonzero(by >= 0)
+    ends = ends[to[by[ends]] != ends + 1]
+    starts = np.flatnonzero(to <= n)
+    i, to = np.concatenate([starts, by[ends]]), np.concatenate([to[starts], ends + 1])
+    order = np.lexsort((to, i))
+    i, to = i[order], to[order]
     up, down = multiply_up(len(hashes) + 1)
     total = np.concatenate([[np.uint64(0)], np.cumsum(hashes * up[: len(hashes)], dtype=np.uint64)])
     value = (total[cut[to]] - total[cut[i]]) * down[cut[i]]

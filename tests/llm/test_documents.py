@@ -109,6 +109,52 @@ def test_repeated_spans_edge_cases(docs, no_docs):
     assert sentence_dedup.repeated_spans(no_docs).count() == 0
 
 
+def every_run_removed(rows, least=2, words_=20, long=40):
+    """Removed sentences of each document, and the least document with one of its later runs, by all runs of all lengths."""
+    places, removed, first = defaultdict(set), defaultdict(set), {}
+    for i, text in rows:
+        said = [tuple(words(s)) for s in re.split(r"(?<=[.!?])[\x20\x09-\x0D]+|\n", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")) if words(s)]
+        for b in range(len(said)):
+            for e in range(b + 1, len(said) + 1):
+                run = sum(said[b:e], ())
+                if (e - b >= least and len(run) >= words_) or (e - b == 1 and len(run) >= long):
+                    places[run].add((i, b, e))
+    for found in places.values():
+        for i, b, e in sorted(found)[1:]:
+            removed[i] |= set(range(b, e))
+            first[i] = min(first.get(i, i), min(found)[0])
+    return {i: (sorted(s), first[i]) for i, s in removed.items()}
+
+
+def spans_removed(df):
+    return {r["doc_id"]: ([k for s in r["spans"] for k in range(s["begin"], s["end"])], r["first_doc_id"]) for r in sentence_dedup.repeated_spans(df).collect()}
+
+
+def test_short_last_sentences_of_a_passage_go(spark):
+    r = random.Random(7)
+    line = lambda n: " ".join(f"y{r.randrange(10**6)}" for _ in range(n)) + "."
+    passage = " ".join(line(n) for n in (15, 12, 5))
+    rows = [(i, " ".join([line(8), passage, line(9)])) for i in range(3)]  # amid other text
+    rows.append((3, line(45) + " Short end."))
+    rows += [(4, rows[3][1]), (5, passage), (6, rows[0][1])]  # exact copies, and the passage alone
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = spans_removed(df)
+    assert got == every_run_removed(rows)
+    assert got == {1: ([1, 2, 3], 0), 2: ([1, 2, 3], 0), 4: ([0, 1], 3), 5: ([0, 1, 2], 0), 6: ([0, 1, 2, 3, 4], 0)}
+    cleaned = dict(by_id(sentence_dedup.drop_repeats(df), "text"))
+    assert cleaned[1] == rows[1][1].replace(passage + " ", "") and cleaned[6] == ""
+
+
+def test_repeated_spans_are_those_of_every_run(spark):
+    r = random.Random(11)
+    line = lambda: " ".join(r.choice("abc") for _ in range(r.choice((1, 2, 4, 7, 13, 19, 25, 42)))) + r.choice(".!?")
+    pool = [line() for _ in range(12)]
+    rows = [(i, " ".join(r.choice(pool) if r.random() < 0.8 else line() for _ in range(r.randint(1, 12)))) for i in range(60)]
+    assert spans_removed(spark.createDataFrame(rows, "doc_id long, text string")) == every_run_removed(rows)
+    given = spark.read.parquet(f"{SF_SMALL}/documents.parquet").select("doc_id", "text")
+    assert spans_removed(given) == every_run_removed([tuple(r) for r in given.collect()])
+
+
 # ---- mixing and packing
 
 
