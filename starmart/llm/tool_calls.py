@@ -1,8 +1,11 @@
 """Chat formatting: linking tool calls to their results (DataFrame functions only).
 
-Calls and results meet by identifier in a hash join. Calls may name the call whose
-result they use; a call's depth is the length of that chain, found by pointer
-doubling, so a chain of n calls takes log2(n) joins. Within a conversation calls
+Calls and results meet by identifier in a hash join. Calls may name the calls whose
+results they use; a call's depth is the longest path to it. Chains of calls that
+use one result each are shortened by pointer doubling, so a chain of n calls takes
+log2(n) joins; what is left are the calls that use several, which settle by joins
+and grouped maxima in as many rounds as such calls follow on each other, each round
+on the calls still open. Within a conversation calls
 are numbered by depth, then turn and identifier, which is a topological order; the
 numbers come from ranges of the whole order, not from one task per conversation.
 Arguments are parsed, checked against the tool's schema and written, with the call
@@ -12,9 +15,11 @@ Defined results: a call without a result has a null result and the status ``no
 result``; results without a call are left out; of calls (or results) that share a
 conversation and identifier the least one stays; calls and results with a null
 conversation or identifier take no part; arguments that are not a JSON object, an
-unknown tool, a missing, unexpected or wrongly typed argument, a chain that names
-an unknown call or runs in a circle each give a status of their own, and the
-row stays; other columns are not read; an empty table gives no rows.
+unknown tool, a missing, unexpected or wrongly typed argument, naming an unknown
+call (the known ones still count for the depth) and using results in a circle each
+give a status of their own, and the row stays; a call named twice counts once, a
+null among the names not at all; other columns are not read; an empty table gives no
+rows.
 """
 
 from __future__ import annotations
@@ -57,33 +62,49 @@ def _argument_status(name: Column, parsed: Column, keys: Column, schemas: dict)
 
 
 def _depths(stages: Stages, calls: DataFrame) -> DataFrame:
-    """conv_id, call_id, depth, and what is wrong with the chain (or null)."""
-    ids = calls.select("conv_id", "call_id", "after")
-    known = ids.select("conv_id", F.col("call_id").alias("after"), F.lit(True).alias("known"))
-    chain = ids.join(known, ["conv_id", "after"], "left").select(
+    """conv_id, call_id, depth, and what is wrong with the calls before (or null)."""
+    ids = calls.select("conv_id", "call_id")
+    edges = calls.select("conv_id", "call_id", F.explode(F.array_distinct(F.array_compact("after"))).alias("before"))
+    known = ids.withColumnRenamed("call_id", "before").withColumn("known", F.lit(True))
+    edges = stages.write(edges.join(known, ["conv_id", "before"], "left"), "edges")
+    each = edges.groupBy("conv_id", "call_id").agg(
+        F.count("known").alias("uses"), F.min(F.when(F.col("known"), F.col("before"))).alias("up"), F.max(F.col("known").isNull()).alias("lost")
+    )
+    # Each call goes up to its anchor: the next call that uses several results, or none.
+    one = F.coalesce(F.col("uses") == 1, F.lit(False))
+    chain = ids.join(each, ["conv_id", "call_id"], "left").select(
         "conv_id",
         "call_id",
-        F.when(F.col("known"), F.col("after")).alias("up"),
-        F.when(F.col("known"), F.lit(1)).otherwise(F.lit(0)).cast("long").alias("depth"),
-        F.when(F.col("after").isNotNull() & F.col("known").isNull(), F.lit("unknown call before")).alias("wrong"),
+        F.when(one, F.col("up")).alias("up"),
+        F.when(~one, F.col("call_id")).alias("anchor"),
+        F.when(one, F.lit(1)).otherwise(F.lit(0)).cast("long").alias("depth"),
+        F.coalesce(F.col("uses") > 1, F.lit(False)).alias("several"),
+        F.when(F.col("lost"), F.lit("unknown call before")).alias("wrong"),
     )
     chain = stages.write(chain, "chain")
     rows = chain.count()
     for _ in range(math.ceil(math.log2(rows + 1)) + 1):
         if not chain.where("up IS NOT NULL").limit(1).count():
             break
-        above = chain.select("conv_id", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("depth").alias("more"))
+        above = chain.select(
+            "conv_id", F.col("call_id").alias("up"), F.col("up").alias("next"), F.col("anchor").alias("found"), F.col("depth").alias("more")
+        )
         longer = chain.join(above, ["conv_id", "up"], "left").select(
             "conv_id",
             "call_id",
             F.col("next").alias("up"),
+            F.coalesce("anchor", "found").alias("anchor"),
             (F.col("depth") + F.coalesce("more", F.lit(0))).alias("depth"),
+            "several",
             "wrong",
         )
         done, chain = chain, stages.write(longer, "chain")
         stages.drop(done)
-    # Whoever still has a call above has no first call: a circle.
-    circle = F.col("up").isNotNull()
+    if chain.where("several").limit(1).count():
+        base = _settled(stages, chain, edges)
+        chain = chain.join(base, ["conv_id", "anchor"], "left").withColumn("depth", F.col("depth") + F.col("base"))
+    # Whoever still has a call above, or an anchor that never settles, has no first call: a circle.
+    circle = F.col("up").isNotNull() | F.col("depth").isNull()
     return chain.select(
         "conv_id",
         "call_id",
@@ -92,10 +113,35 @@ def _depths(stages: Stages, calls: DataFrame) -> DataFrame:
     )
 
 
+def _settled(stages: Stages, chain: DataFrame, edges: DataFrame) -> DataFrame:
+    """conv_id, anchor and its depth (``base``), for the anchors that are in no circle."""
+    ends = chain.where("up IS NULL").select("conv_id", F.col("call_id").alias("before"), "anchor", (F.col("depth") + 1).alias("steps"))
+    several = chain.where("several").select("conv_id", "call_id")
+    waits = edges.where("known").join(several, ["conv_id", "call_id"]).join(ends, ["conv_id", "before"], "left")
+    # A null anchor is a circle of calls that use one result each; who waits for it never settles.
+    waits = stages.write(waits.select("conv_id", "call_id", "anchor", "steps", F.lit(None).cast("long").alias("depth")), "waits")
+    ready = chain.where("NOT several AND anchor = call_id").select("conv_id", "anchor", F.lit(0).cast("long").alias("base"))
+    settled = [stages.write(ready, "settled")]
+    while settled[-1].limit(1).count():
+        reached = waits.join(settled[-1], ["conv_id", "anchor"], "left")
+        reached = reached.withColumn("depth", F.coalesce("depth", F.col("base") + F.col("steps"))).drop("base")
+        reached = stages.write(reached, "reached")
+        stages.drop(waits)
+        ready = reached.groupBy("conv_id", "call_id").agg(F.max("depth").alias("base"), F.max(F.col("depth").isNull()).alias("open"))
+        settled.append(stages.write(ready.where("NOT open").select("conv_id", F.col("call_id").alias("anchor"), "base"), "settled"))
+        done = settled[-1].select("conv_id", F.col("anchor").alias("call_id"))
+        waits = stages.write(reached.join(done, ["conv_id", "call_id"], "left_anti"), "waits")
+        stages.drop(reached)
+    files = [f for table in settled for f in table.inputFiles()]
+    return stages.spark.read.schema(settled[0].schema).parquet(*files)
+
+
 def link_calls(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) -> DataFrame:
-    """Calls (conv_id, call_id, after, turn, name, arguments) with their results
-    (conv_id, call_id, turn, content): conv_id, call_id, position, depth, status and
-    the canonical JSON ``line`` of each call."""
+    """Calls (conv_id, call_id, after, turn, name, arguments; ``after`` a string or an
+    array of them) with their results (conv_id, call_id, turn, content): conv_id,
+    call_id, position, depth, status and the canonical JSON ``line`` of each call."""
+    if dict(calls.dtypes)["after"] == "string":
+        calls = calls.withColumn("after", F.array_compact(F.array("after")))
     stages = Stages(calls.sparkSession, "calls")
     named = F.col("conv_id").isNotNull() & F.col("call_id").isNotNull()
     one = calls.where(named).groupBy("conv_id", "call_id").agg(F.min(F.struct("turn", "name", "arguments", "after")).alias("c"))
@@ -125,12 +171,22 @@ def link_calls(calls: DataFrame, results: DataFrame, schemas: dict = SCHEMAS) ->
 
 def calls_in_messages(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Calls and results written as JSON in messages (conv_id, turn, role, text): an
-    assistant's ``{"tool_calls": [{"id", "name", "arguments", "after"}]}``, and a
-    tool's ``{"tool_call_id", "content"}``. Other messages hold none."""
+    assistant's ``{"tool_calls": [{"id", "name", "arguments", "after"}]}``, ``after``
+    one identifier or an array of them, and a tool's ``{"tool_call_id", "content"}``.
+    Other messages hold none."""
     call = "tool_calls array<struct<id:string,name:string,arguments:string,after:string>>"
-    parsed = messages.where(F.col("role") == "assistant").select("conv_id", "turn", F.from_json("text", call).alias("m"))
-    calls = parsed.select("conv_id", "turn", F.explode("m.tool_calls").alias("c")).select(
-        "conv_id", F.col("c.id").alias("call_id"), F.col("c.after").alias("after"), "turn", F.col("c.name").alias("name"), F.col("c.arguments").alias("arguments")
+    parsed = messages.where(F.col("role") == "assistant").select("conv_id", "turn", "text", F.from_json("text", call).alias("m"))
+    # The same calls as variants tell an array in ``after`` from a string that looks like one.
+    listed = F.try_variant_get(F.try_parse_json("text"), "$.tool_calls", "array<variant>").alias("listed")
+    parsed = parsed.where("m.tool_calls IS NOT NULL").select("conv_id", "turn", listed, F.posexplode("m.tool_calls").alias("at", "c"))
+    several = F.try_variant_get(F.get("listed", F.col("at")), "$.after", "array<string>")
+    calls = parsed.select(
+        "conv_id",
+        F.col("c.id").alias("call_id"),
+        F.coalesce(several, F.array_compact(F.array("c.after"))).alias("after"),
+        "turn",
+        F.col("c.name").alias("name"),
+        F.col("c.arguments").alias("arguments"),
     )
     told = messages.where(F.col("role") == "tool").select("conv_id", "turn", F.from_json("text", "tool_call_id string, content string").alias("r"))
     results = told.select("conv_id", F.col("r.tool_call_id").alias("call_id"), "turn", F.col("r.content").alias("content"))
@@ -155,7 +211,7 @@ def calls_in_turns(messages: DataFrame) -> tuple[DataFrame, DataFrame]:
     before = asked.select("conv_id", (F.col("place") + 1).alias("place"), name.alias("after"))
     arguments = F.to_json(F.struct(F.col("text").alias("prompt"), "turn"))
     calls = asked.join(before, ["conv_id", "place"], "left").select(
-        "conv_id", name.alias("call_id"), "after", "turn", F.lit("reply").alias("name"), arguments.alias("arguments")
+        "conv_id", name.alias("call_id"), F.array_compact(F.array("after")).alias("after"), "turn", F.lit("reply").alias("name"), arguments.alias("arguments")
     )
     return calls, results
 

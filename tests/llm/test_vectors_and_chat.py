@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import random
 
 import numpy as np
 import pytest
@@ -112,6 +113,37 @@ def test_written_calls_are_linked_ordered_and_checked(spark):
     assert len(got) == 10
 
 
+def test_calls_that_use_several_results_come_after_all_of_them(spark):
+    r = random.Random(9)
+    call = lambda i, after: {"id": i, "name": "find", "arguments": {"q": i}, "after": after}
+    graphs = {1: {"d": ["c", "a"], "c": ["b"], "b": "a", "a": [], "z": ["d", "d", None], "[\"a\"]": None, "s": "[\"a\"]"}}
+    graphs[2] = {"x": ["y", "a"], "y": "x", "below": ["a", "x"], "a": None, "lost": ["a", "gone"], "self": ["self", "a"], "after self": "self"}
+    for conv in range(3, 9):
+        order = [f"k{k}" for k in r.sample(range(100), 14)]
+        graphs[conv] = {i: r.choice([None, order[k - 1], r.sample(order[:k], min(k, 3)), order[max(0, k - 2) : k]]) if k else None for k, i in enumerate(order)}
+    rows = [(conv, 0, "assistant", message([call(i, after) for i, after in r.sample(list(g.items()), len(g))])) for conv, g in graphs.items()]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    schemas = {"find": {"q": ("string", True)}}
+    got = {(row["conv_id"], row["call_id"]): row for row in tool_calls.link_calls(*tool_calls.calls_in_messages(df), schemas).collect()}
+    assert len(got) == sum(map(len, graphs.values()))
+
+    def depth(g, i, path=()):
+        if i in path:
+            return None
+        named = g[i] if isinstance(g[i], list) else [g[i]]
+        below = [depth(g, x, (*path, i)) for x in named if x in g]
+        return None if None in below else 1 + max(below, default=-1)
+
+    for conv, g in graphs.items():
+        for i, after in g.items():
+            row, named = got[conv, i], [x for x in (after if isinstance(after, list) else [after]) if x]
+            assert row["depth"] == depth(g, i), (conv, i)
+            expected = "calls in a circle" if depth(g, i) is None else "no result" if all(x in g for x in named) else "unknown call before"
+            assert row["status"] == expected
+            assert row["depth"] is None or all(got[conv, x]["position"] < row["position"] for x in named if x in g)
+        assert sorted(row["position"] for (c, _), row in got.items() if c == conv) == list(range(len(g)))
+
+
 def test_turns_edge_cases(spark):
     rows = [(1, 0, "user", "hi", "x"), (1, 1, "assistant", None, "x"), (1, 2, "user", None, "x"), (1, 2, "user", None, "x"), (2, 0, "system", "s", None)]
     df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, rank string")
