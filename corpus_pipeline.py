@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from starmart.llm import jaccard_join, mixing, packing, pii, toxicity
 from starmart.llm.common import shared_folder
 
-#: No SQL can say the learned stages; tests hold each against a brute-force version.
+#: No SQL can say the learned stages; a test replays each on sf0.001 from its own input:
+#: all pairs, plain patterns, mix totals and every word placed, the toxicity filter against its own scores.
 ORACLE_SQL = None
 
 

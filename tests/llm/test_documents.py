@@ -376,3 +376,79 @@ def test_grammar_weighs_context():
     assert total("he said an idiot") < total("an idiot")
     assert total("i will kill you") > 0 == total("kill the process")
     assert total("not now, an idiot") == total("an idiot")  # a clause ends the negation
+
+
+# ---- pipeline
+
+
+def test_pipeline_stages_match_plain_versions(spark, tmp_path):
+    import corpus_pipeline
+    from pyspark.sql import functions as F
+
+    given = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    least = given.agg(F.min("doc_id")).first()[0]
+    copies = given.where(F.col("doc_id") < least + 20).withColumn("doc_id", F.col("doc_id") + 10**6)
+    docs, tables = given.unionByName(copies), {}
+    for name, stage in corpus_pipeline.STAGES:
+        stage(spark, docs, SF_SMALL).write.parquet(f"{tmp_path}/{name}")
+        tables[name] = docs.collect(), spark.read.parquet(f"{tmp_path}/{name}").collect()
+        docs = spark.read.parquet(f"{tmp_path}/{name}")
+
+    before, after = tables["toxicity"]
+    labels = spark.read.parquet(f"{SF_SMALL}/labels.parquet")
+    toxic = {r["doc_id"] for r in toxicity.toxicity(given.unionByName(copies), labels).collect() if r["score"] >= toxicity.THRESHOLD}
+    assert toxic and sorted(after) == sorted(r for r in before if r["doc_id"] not in toxic)
+
+    before, after = tables["near_duplicates"]
+    groups = jaccard_groups([(r["doc_id"], r["text"]) for r in before])
+    assert sorted(after) == sorted(r for r in before if groups[r["doc_id"]][1] == r["doc_id"]) and len(after) < len(before)
+
+    before, after = tables["personal_data"]
+    new = {r["doc_id"]: r for r in after}
+    assert len(after) == len(before) and set(new) == {r["doc_id"] for r in before}
+    for r in before:
+        out, text = new[r["doc_id"]], r["text"]
+        assert {k: v for k, v in out.asDict().items() if k not in ("text", "n_chars")} == {k: v for k, v in r.asDict().items() if k not in ("text", "n_chars")}
+        at = 0
+        for part in re.split(r"\[(?:EMAIL|IP|CARD|PHONE)\]", out["text"]):  # nothing but spans has changed
+            assert text.find(part, at) >= 0
+            at = text.find(part, at) + len(part)
+        assert not plain_base(out["text"]) and out["n_chars"] == len(out["text"])
+        assert re.search("[@0-9]", text) or out["text"] == text
+    assert any(plain_base(r["text"]) for r in before)
+
+    before, after = tables["mixing"]
+    old, size = {r["doc_id"]: r for r in before}, defaultdict(int)
+    copies, taken = defaultdict(int), defaultdict(int)
+    for r in before:
+        size[r["source"]] += len(words(r["text"]))
+    for r in after:
+        assert r == old[r["doc_id"]]
+        copies[r["doc_id"]] += 1
+        taken[r["source"]] += len(words(r["text"]))
+    assert max(copies.values()) <= 2
+    weight = {s: (3, 1, 2)[i % 3] for i, s in enumerate(sorted(size))}
+    low, high = 0.0, 2.0 * sum(size.values())
+    for _ in range(100):  # the level at which sources, at most twice each, give one and a half times the words
+        level = (low + high) / 2
+        low, high = (level, high) if sum(min(2 * size[s], weight[s] * level) for s in size) < 1.5 * sum(size.values()) else (low, level)
+    longest = max(len(words(r["text"])) for r in before)
+    for s in size:
+        assert abs(taken[s] - min(2 * size[s], weight[s] * level)) <= 2 * longest
+
+    before, after = tables["packing"]
+    pieces, bins = defaultdict(list), defaultdict(list)
+    for r in after:
+        pieces[r["doc_id"]].append((r["start_word"], r["n_words"]))
+        bins[r["bin_id"]].append((r["bin_offset"], r["n_words"], r["bin_used"], r["bin_size"]))
+    expected = defaultdict(list)
+    for r in before:
+        n, most = len(words(r["text"])), max(packing.LENGTHS)
+        expected[r["doc_id"]] += [(k, min(most, n - k)) for k in range(0, n, most)]
+    assert {i: sorted(x) for i, x in pieces.items()} == {i: sorted(x) for i, x in expected.items() if x}
+    for parts in bins.values():
+        at = 0
+        for offset, n, used, full in sorted(parts):
+            assert offset == at and full in packing.LENGTHS
+            at += n
+        assert at == used <= full
