@@ -317,7 +317,27 @@ def similar_groups(docs: DataFrame, *, words: int = WORDS, percent: int = PERCEN
 
 
 def drop_near_duplicates(docs: DataFrame, **options) -> DataFrame:
-    """One document of each group, the one with the least id; rows with a null id stay."""
+    """One document of each group, the one with the least id. Of rows that repeat that
+    id, or have a null id, one of each set of shingles stays; rows without words stay."""
+    stages = Stages(docs.sparkSession, "near-duplicates")
     groups = similar_groups(docs, **options)
-    gone = groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    gone = stages.write(groups.where("component_id <> doc_id").select(F.col("doc_id").alias("gone")).distinct(), "gone")
+    kept = docs.select("doc_id").join(gone, F.col("doc_id") == F.col("gone"), "left_anti")
+    many = kept.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("doc_id").alias("gone"))
+    many = stages.write(many, "repeated")
+    if not many.limit(1).count():
+        return docs.join(gone, docs["doc_id"] == gone["gone"], "left_anti")
+    # Only rows that repeat an id, or have none, are numbered and compared.
+    again = docs.where("doc_id IS NULL").unionByName(docs.join(many, docs["doc_id"] == many["gone"], "left_semi"))
+    again = again.select(F.struct(*docs.columns).alias("row"), "doc_id", "text", F.monotonically_increasing_id().alias("number"))
+    again = stages.write(again, "numbered")
+    empty = np.zeros(0, dtype=np.uint64)
+    words, percent = options.get("words", WORDS), options.get("percent", PERCENT)
+    sets = _sets(again.select(F.col("number").alias("doc_id"), "text"), words, percent, empty, whole=False)
+    sets = sets.select(F.col("doc_id").alias("number"), "n_shingles", "print_a", "print_b").join(again.select("number", "doc_id"), "number")
+    # Texts without words have no set to share: each is by itself.
+    alone = F.when(F.col("n_shingles") == 0, F.col("number"))
+    stays = sets.groupBy("doc_id", "n_shingles", "print_a", "print_b", alone.alias("alone")).agg(F.min("number").alias("number"))
+    once = again.join(stays.select("number"), "number", "left_semi").select("row.*")
+    out = gone.unionByName(many)
+    return docs.where("doc_id IS NOT NULL").join(out, docs["doc_id"] == out["gone"], "left_anti").unionByName(once)

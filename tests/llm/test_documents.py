@@ -82,6 +82,19 @@ def test_similar_groups_edge_cases(docs, no_docs):
     assert jaccard_join.similar_groups(no_docs).count() == 0
 
 
+def test_one_of_repeated_rows_stays(spark):
+    text, other = " ".join(f"t{i}" for i in range(30)), " ".join(f"o{i}" for i in range(30))
+    rows = [(1, text, "a"), (1, text.upper(), "b"), (1, other, "c"), (2, text, "d"), (2, text, "e"), (3, "lone", "f")]
+    rows += [(None, text, "g"), (None, text, "h"), (None, other, "i"), (None, None, "j"), (None, "", "k"), (4, None, "l"), (4, None, "m")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, number string").repartition(3)
+    kept = jaccard_join.drop_near_duplicates(df)
+    assert kept.columns == df.columns
+    got = [(r["doc_id"], (r["text"] or "").lower()) for r in kept.collect()]
+    expected = [(1, text), (1, other), (3, "lone"), (None, text), (None, other), (None, ""), (None, ""), (4, ""), (4, "")]
+    assert sorted(got, key=str) == sorted(expected, key=str)
+    assert set(r["number"] for r in kept.collect()) <= set("abcdefghijklm")
+
+
 # ---- repeated spans
 
 
