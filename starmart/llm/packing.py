@@ -1,8 +1,8 @@
 """Best-fit packing into bins of several permitted sequence lengths.
 
 Documents are measured in words and cut into pieces of at most the largest
-length. Pieces are dealt by hash into shards of about ``shard_pieces`` pieces,
-each packed on its own: longest first, a piece goes to the open bin that it
+length. Pieces are numbered by length, id and place and dealt in turn into shards of
+at most ``shard_pieces`` pieces, whether or not ids repeat or are null; each is packed on its own: longest first, a piece goes to the open bin that it
 leaves the least room in; where none has room, a bin of the length with the
 least cost per word among those that hold the piece is opened. At the end each
 bin shrinks to the smallest permitted length that holds its contents.
@@ -21,11 +21,11 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import Stages, word_count
+from starmart.llm.common import Stages, with_rank, word_count
 
 #: Permitted sequence lengths, in words.
 LENGTHS = (512, 1024, 2048, 4096)
-#: Pieces a shard holds on average. Shards are equal but for chance, however many pieces there are.
+#: Most pieces of a shard. Shards are equal but for one piece, however many pieces there are.
 SHARD_PIECES = 4096
 
 
@@ -91,8 +91,10 @@ def pack_documents(
         (F.col("piece") * most).alias("start_word"),
         F.least(F.lit(most), F.col("n") - F.col("piece") * most).cast("long").alias("n_words"),
     )
-    pieces = stages.write(pieces, "pieces")
+    # The last key spreads equal pieces over ranges; which of them gets which number is all the same.
+    pieces = stages.write(pieces.withColumn("copy", F.monotonically_increasing_id()), "pieces")
     shards = max(1, -(-pieces.count() // shard_pieces))
+    pieces = with_rank(stages, pieces, [F.col(c) for c in ("n_words", "doc_id", "piece", "copy")], "rank").drop("copy")
 
     def packed(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
         part = part.sort_values(["n_words", "doc_id", "piece"], ascending=[False, True, True], ignore_index=True)
@@ -106,7 +108,7 @@ def pack_documents(
             bin_size=np.asarray(sizes, dtype=np.int64)[bins],
         )
 
-    shard = F.pmod(F.xxhash64("doc_id", "piece"), F.lit(shards)).alias("shard")
+    shard = F.pmod(F.col("rank"), F.lit(shards).cast("long")).alias("shard")
     kind = dict(docs.dtypes)[doc_id]
     return pieces.groupBy(shard).applyInPandas(
         packed,

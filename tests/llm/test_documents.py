@@ -251,6 +251,15 @@ def test_packing_places_every_word(docs, no_docs):
     assert packing.pack_documents(no_docs).count() == 0
 
 
+def test_equal_and_null_ids_spread_over_shards(spark):
+    rows = [(None, "a b c")] * 40 + [(7, "a b c")] * 40 + [(i, "a b") for i in range(20)]
+    placed = packing.pack_documents(spark.createDataFrame(rows, "doc_id long, text string"), shard_pieces=10).collect()
+    shards = defaultdict(int)
+    for row in placed:
+        shards[row["bin_id"] >> 32] += 1
+    assert len(placed) == 100 and sorted(shards.values()) == [10] * 10
+
+
 # ---- personal data
 
 BASE_PATTERNS = {
