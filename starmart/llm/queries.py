@@ -6,7 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starmart.llm import grid_join, jaccard_join, mixing, packing, pii, quality, sentence_dedup, tool_calls, topk, toxicity
+from starmart.llm import (
+    fill_middle,
+    grid_join,
+    jaccard_join,
+    mixing,
+    packing,
+    pii,
+    quality,
+    quality_rules,
+    resampling,
+    sentence_dedup,
+    tool_calls,
+    topk,
+    toxicity,
+)
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -25,6 +39,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_mixing": lambda s, d: mixing.mix_report(_table(s, d, "documents")),
         "op9_pii": lambda s, d: pii.pii(_table(s, d, "documents")),
         "op10_quality": lambda s, d: quality.quality(_table(s, d, "documents"), _table(s, d, "labels")),
+        "op11_resampling": lambda s, d: resampling.resample(_table(s, d, "documents"), _table(s, d, "benchmark")),
+        "op12_fill_middle": lambda s, d: fill_middle.fill_middle_report(_table(s, d, "documents")),
+        "op13_quality_rules": lambda s, d: quality_rules.quality_report(_table(s, d, "documents")),
     }
 
 
@@ -35,4 +52,7 @@ def oracle_sql() -> dict[str, str]:
         "op5_tool_calls": tool_calls.CALLS_SQL,
         "op6_grid_join": grid_join.NEAR_SQL,
         "op8_mixing": mixing.MIX_SQL,
+        "op11_resampling": resampling.RESAMPLE_SQL,
+        "op12_fill_middle": fill_middle.FIM_SQL,
+        "op13_quality_rules": quality_rules.RULES_SQL,
     }
