@@ -179,4 +179,4 @@ def test_pipeline_stages(spark):
 
 
 def test_every_operator_has_a_query():
-    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 11))
+    assert sorted(int(k[2:].split("_")[0]) for k in queries()) == list(range(1, 14))
