@@ -87,6 +87,16 @@ def csv_edge(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
     return csv_roundtrip(spark, edge_cells(raw), dataset)
 
 
+def csv_one_file(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
+    """Every title with commas, quotes and line breaks, all rows in one CSV file: the
+    reader splits it by block, though its records run over lines. (One file is the case
+    to read here; loads write as many as they have tasks.)"""
+    lines = F.concat(F.lit('say "'), F.col("titulo_livro"), F.lit('",\n\n"two"\r\nthree'))
+    path = _csv_folder(spark, dataset)
+    write_submissions_csv(raw.withColumn("titulo_livro", lines).repartition(1), path)
+    return clean_submissions(read_submissions_csv(spark, path)).select(*CLEAN_COLUMNS)
+
+
 def author_missing_year(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
     """The author dimension where some rows lack the year: they are older than any
     other row of their author."""
