@@ -14,13 +14,15 @@ those of all runs, at linear size. Runs meet by hash over the whole corpus; a pa
 whose line feeds fall elsewhere meets only in shortest runs with the same words.
 
 Occurrences are counted and the least document found by partial sums before the
-shuffle, so a run that a third of all documents share costs one row per task; the
-runs join that table with Spark's handling of skewed keys.
+shuffle, so a run that a third of all documents share costs one row per task there. The
+runs that hold more than ``HOT`` of all occurrences, at most ``1 / HOT`` of them, meet
+their occurrences by a broadcast; only the others are shuffled for it.
 
 Defined results: a null or empty text has no sentences; documents with a null id
-take no part and stay as they are; rows that repeat an id are one document;
-repeats within a document count like those across; other columns are not read; an
-empty table gives no rows.
+take no part and stay as they are; rows that repeat an id are documents of their own, in
+the order they were numbered, which is written before anything hangs on it; repeats
+within a document count like those across; other columns are not read; an empty table
+gives no rows.
 """
 
 from __future__ import annotations
@@ -37,6 +39,8 @@ from starmart.llm.hashing import blocks, multiply_up, words_of_block
 
 #: A run has at least this many sentences and words, or is one sentence of ``LONG`` words.
 SENTENCES, WORDS, LONG = 2, 20, 40
+#: A run with a larger share of all occurrences is not shuffled to meet them.
+HOT = 0.001
 
 _ENDS = np.zeros(256, dtype=bool)
 _ENDS[list(b".!?")] = True
@@ -95,7 +99,7 @@ def runs(hashes: np.ndarray, first: np.ndarray, least: int, words: int, long: in
 def _run_rows(least: int, words: int, long: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column("doc_id"), batch.column("text").cast(pa.binary())
+            ids, rows, texts = batch.column("doc_id"), batch.column("row"), batch.column("text").cast(pa.binary())
             out: list[tuple] = []
             size = 0
 
@@ -103,11 +107,12 @@ def _run_rows(least: int, words: int, long: int):
                 which = np.concatenate([np.full(len(h), r) for r, _, _, _, h, _ in out])
                 return pa.record_batch(
                     [
+                        rows.take(pa.array(which)),  # noqa: B023
                         ids.take(pa.array(which)),  # noqa: B023
                         pa.array(np.concatenate([np.full(len(h), n, dtype=np.int32) for _, n, _, _, h, _ in out])),  # noqa: B023
                         *(pa.array(np.concatenate([x[k] for x in out])) for k in (2, 3, 4, 5)),  # noqa: B023
                     ],
-                    ["doc_id", "n_sentences", "begin", "end", "run", "again"],
+                    ["row", "doc_id", "n_sentences", "begin", "end", "run", "again"],
                 )
 
             for r in range(batch.num_rows):
@@ -131,30 +136,41 @@ def _run_rows(least: int, words: int, long: int):
 
 
 def repeated_spans(
-    docs: DataFrame, *, least: int = SENTENCES, words: int = WORDS, long: int = LONG
+    docs: DataFrame, *, row: str | None = None, least: int = SENTENCES, words: int = WORDS, long: int = LONG
 ) -> DataFrame:
-    """The documents that hold a later occurrence of a run: doc_id, first_doc_id (the
+    """The rows that hold a later occurrence of a run: row, doc_id, first_doc_id (the
     least document that holds one of these runs first), n_sentences, n_removed, and
-    the removed sentences as sorted (begin, end) pairs in ``spans``, ends exclusive."""
+    the removed sentences as sorted (begin, end) pairs in ``spans``, ends exclusive.
+
+    ``row`` names a written column of different longs; without it rows are numbered here."""
     stages = Stages(docs.sparkSession, "spans")
     kind = dict(docs.dtypes)["doc_id"]
-    schema = f"doc_id {kind}, n_sentences int, begin int, end int, run long, again boolean"
-    found = docs.select("doc_id", "text").mapInArrow(_run_rows(least, words, long), schema)
+    number = F.col(row) if row else F.monotonically_increasing_id()
+    schema = f"row long, doc_id {kind}, n_sentences int, begin int, end int, run long, again boolean"
+    found = docs.select(number.alias("row"), "doc_id", "text").mapInArrow(_run_rows(least, words, long), schema)
     found = stages.write(found, "runs")
-    shared = found.groupBy("run").agg(F.min("doc_id").alias("first_doc_id"), F.count(F.lit(1)).alias("n")).where("n > 1")
-    later = found.join(shared.select("run", "first_doc_id"), "run").where("again OR doc_id > first_doc_id")
-    # Overlapping and touching runs of a document merge; a window holds one document's runs only.
-    before = Window.partitionBy("doc_id").orderBy("begin", "end").rowsBetween(Window.unboundedPreceding, -1)
+    shared = found.groupBy("run").agg(F.min(F.struct("doc_id", "row")).alias("first"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    shared = stages.write(shared, "shared")
+    most = found.count() * HOT
+    hot = F.broadcast(shared.where(F.col("n") > most))  # fewer than 1 / HOT rows
+    met = found.join(hot, "run").unionByName(
+        found.join(hot.select("run"), "run", "left_anti").join(shared.where(F.col("n") <= most), "run")
+    )
+    later = met.where(F.col("again") | (F.struct("doc_id", "row") > F.col("first"))).withColumn("first_doc_id", F.col("first.doc_id"))
+    # Overlapping and touching runs of a row merge; a window holds one row's runs only.
+    before = Window.partitionBy("row").orderBy("begin", "end").rowsBetween(Window.unboundedPreceding, -1)
     fresh = F.coalesce(F.max("end").over(before), F.lit(-1)) < F.col("begin")
     upto = before.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     island = later.withColumn("fresh", fresh.cast("int")).withColumn("island", F.sum("fresh").over(upto))
-    merged = island.groupBy("doc_id", "island").agg(
+    merged = island.groupBy("row", "island").agg(
+        F.min("doc_id").alias("doc_id"),
         F.min("first_doc_id").alias("first_doc_id"),
         F.max("n_sentences").alias("n_sentences"),
         F.min("begin").alias("begin"),
         F.max("end").alias("end"),
     )
-    return merged.groupBy("doc_id").agg(
+    return merged.groupBy("row").agg(
+        F.min("doc_id").alias("doc_id"),
         F.min("first_doc_id").alias("first_doc_id"),
         F.max("n_sentences").alias("n_sentences"),
         F.sum(F.col("end") - F.col("begin")).alias("n_removed"),
@@ -189,8 +205,11 @@ def cut_sentences(text: str, spans: list[tuple[int, int]]) -> str:
 
 def drop_repeats(docs: DataFrame, **options) -> DataFrame:
     """``docs`` without the repeated sentences (``n_chars``, if there, counted anew)."""
-    spans = repeated_spans(docs, **options).select(F.col("doc_id").alias("of"), "spans")
-    joined = docs.select(F.struct(*docs.columns).alias("row"), "doc_id", "text").join(spans, F.col("doc_id") == F.col("of"), "left")
+    numbered = docs.select(F.monotonically_increasing_id().alias("number"), F.struct(*docs.columns).alias("row"))
+    numbered = Stages(docs.sparkSession, "cut").write(numbered, "numbered")
+    texts = numbered.select("number", F.col("row.doc_id").alias("doc_id"), F.col("row.text").alias("text"))
+    spans = repeated_spans(texts, row="number", **options).select(F.col("row").alias("of"), "spans")
+    joined = numbered.select("number", "row", F.col("row.text").alias("text")).join(spans, F.col("number") == F.col("of"), "left")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -207,7 +226,8 @@ def drop_repeats(docs: DataFrame, **options) -> DataFrame:
     return done.select(*[fresh[c].alias(c) if fresh.get(c) is not None else F.col("row")[c].alias(c) for c in docs.columns])
 
 
-#: The same rows for DuckDB.
+#: The same rows for DuckDB, from every run of every length. (A run that repeats starts at
+#: sentences with the same next 20 words and ends at ones with the same last 20; others are not listed.)
 SPANS_SQL = r"""
 WITH l AS (
   SELECT doc_id, unnest(string_split(regexp_replace(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
@@ -218,31 +238,32 @@ WITH l AS (
   SELECT doc_id, regexp_extract_all(line, '[^\x20\x09-\x0D]+') AS w,
          (row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1)::INTEGER AS i
   FROM l WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), d AS (
+  SELECT doc_id, flatten(list(w ORDER BY i)) AS words, count(*) AS n_sentences FROM s GROUP BY doc_id
 ), c AS (
-  SELECT doc_id, i, w, len(w) AS n, sum(len(w)) OVER (PARTITION BY doc_id ORDER BY i) AS upto,
-         count(*) OVER (PARTITION BY doc_id) AS n_sentences
+  SELECT s.doc_id, i, sum(len(w)) OVER (PARTITION BY s.doc_id ORDER BY i) - len(w) AS a, sum(len(w)) OVER (PARTITION BY s.doc_id ORDER BY i) AS z
   FROM s
+), e AS (
+  SELECT c.*, count(*) OVER (PARTITION BY array_to_string(words[a + 1:a + 20], ' ')) AS heads,
+         count(*) OVER (PARTITION BY array_to_string(words[greatest(z - 19, 1):z], ' ')) AS tails
+  FROM c JOIN d ON d.doc_id = c.doc_id
 ), r AS (
-  SELECT a.doc_id, a.n_sentences, a.i AS b, min(z.i) + 1 AS e
-  FROM c a JOIN c z ON z.doc_id = a.doc_id AND z.i BETWEEN a.i AND a.i + 21
-   AND ((z.i = a.i AND a.n >= 40) OR (a.n < 40 AND z.i > a.i AND z.upto - a.upto + a.n >= 20))
-  GROUP BY ALL
-), t AS (
-  SELECT r.doc_id, r.n_sentences, r.b, r.e, string_agg(array_to_string(c.w, ' '), ' ' ORDER BY c.i) AS run
-  FROM r JOIN c ON c.doc_id = r.doc_id AND c.i >= r.b AND c.i < r.e GROUP BY ALL
+  SELECT b.doc_id, b.i AS b, e.i + 1 AS e, md5(array_to_string(words[b.a + 1:e.z], ' ')) AS run
+  FROM e b JOIN e ON e.doc_id = b.doc_id AND ((e.i > b.i AND e.z - b.a >= 20) OR (e.i = b.i AND e.z - b.a >= 40)) JOIN d ON d.doc_id = b.doc_id
+  WHERE b.heads > 1 AND e.tails > 1
 ), f AS (
-  SELECT *, min(doc_id) OVER (PARTITION BY run) AS first_doc_id,
-         row_number() OVER (PARTITION BY run ORDER BY doc_id, b) AS k FROM t
+  SELECT *, min(doc_id) OVER (PARTITION BY run) AS first_doc_id, row_number() OVER (PARTITION BY run ORDER BY doc_id, b) AS k FROM r
 ), g AS (
   SELECT DISTINCT f.doc_id, c.i FROM f JOIN c ON c.doc_id = f.doc_id AND c.i >= f.b AND c.i < f.e WHERE k > 1
 ), h AS (
   SELECT doc_id, i, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS island FROM g
 ), o AS (
   SELECT doc_id, min(i) AS b, max(i) + 1 AS e FROM h GROUP BY doc_id, island
+), m AS (
+  SELECT doc_id, min(first_doc_id) AS first_doc_id FROM f WHERE k > 1 GROUP BY doc_id
 )
-SELECT o.doc_id, any_value(m.first_doc_id) AS first_doc_id, any_value(m.n_sentences) AS n_sentences,
+SELECT o.doc_id, any_value(m.first_doc_id) AS first_doc_id, any_value(d.n_sentences)::BIGINT AS n_sentences,
        sum(o.e - o.b)::BIGINT AS n_removed, string_agg(o.b || '-' || o.e, ',' ORDER BY o.b) AS removed
-FROM o JOIN (SELECT doc_id, min(first_doc_id) AS first_doc_id, max(n_sentences) AS n_sentences FROM f WHERE k > 1 GROUP BY doc_id) m
-  ON m.doc_id = o.doc_id
+FROM o JOIN m ON m.doc_id = o.doc_id JOIN d ON d.doc_id = o.doc_id
 GROUP BY o.doc_id
 """

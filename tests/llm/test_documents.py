@@ -113,6 +113,33 @@ def test_repeated_passage_goes_and_the_first_stays(spark):
         assert cleaned[i] == (text if i % 3 or not i else text.replace(passage + " ", ""))
 
 
+def test_rows_that_repeat_an_id_are_cut_each_by_itself(spark):
+    r = random.Random(12)
+    line = lambda: " ".join(f"y{r.randrange(10**6)}" for _ in range(8)) + "."
+    passage, other, more = (" ".join(line() for _ in range(4)) for _ in range(3))
+    kept = lambda rows: sorted(((x["doc_id"], x["text"]) for x in sentence_dedup.drop_repeats(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1)).collect()), key=str)
+    # Another text under the same id stays whole; the passage goes from the later row alone.
+    assert kept([(1, passage), (2, passage), (2, other)]) == sorted([(1, passage), (2, ""), (2, other)], key=str)
+    # Spans of one row never reach into a shorter one.
+    rows = [(2, other + " " + passage + " " + more), (2, "short one."), (1, passage), (3, passage)]
+    assert kept(rows) == sorted([(1, passage), (2, other + " " + more), (2, "short one."), (3, "")], key=str)
+    # Of equal rows one keeps its text; null ids take no part.
+    assert kept([(1, passage), (1, passage), (None, passage), (None, passage)]) == sorted([(1, passage), (1, ""), (None, passage), (None, passage)], key=str)
+
+
+def test_a_hot_run_is_not_shuffled_to_its_occurrences(spark, monkeypatch):
+    r = random.Random(14)
+    line = lambda: " ".join(f"z{r.randrange(10**6)}" for _ in range(11)) + "."
+    hot, warm = (" ".join(line() for _ in range(3)) for _ in range(2))
+    rows = [(i, " ".join([line(), line(), *([hot] if i % 3 == 0 else []), *([warm] if i in (4, 8) else []), line()])) for i in range(300)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = []
+    for share in (0.001, 0.05, 2.0):
+        monkeypatch.setattr(sentence_dedup, "HOT", share)
+        found.append(sorted((x["doc_id"], x["first_doc_id"], x["n_removed"]) for x in sentence_dedup.repeated_spans(df).collect()))
+    assert found[0] == found[1] == found[2] == [(i, 0 if i % 3 == 0 else 4, 3) for i in range(1, 300) if i % 3 == 0 or i == 8]
+
+
 def test_repeated_spans_edge_cases(docs, no_docs):
     found = {r["doc_id"]: r["first_doc_id"] for r in sentence_dedup.repeated_spans(docs).collect()}
     assert found == {2: 1, 9: 9, 10: 9, 15: 1}  # 9 repeats itself, the long sentence of 1 is in 15
