@@ -39,15 +39,21 @@ def stored_rows(spark: SparkSession, path: str) -> int:
     return _memoised(spark, path, "rows", lambda: spark.read.parquet(path).count())
 
 
+def measured_bytes(df: DataFrame) -> int:
+    """Summed width of all rows."""
+    width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns)
+    return df.agg(F.sum(width)).first()[0] or 0
+
+
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Estimated size in memory of a stored Parquet table: its rows times the mean
-    width of a bounded sample."""
+    """Size in memory of a stored Parquet table: summed over all rows where these are few
+    enough to be broadcast, else estimated from the mean width of some rows."""
 
     def estimate() -> int:
-        df = spark.read.parquet(path)
-        width = sum(F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) + 16 for c in df.columns)
-        mean = df.limit(_WIDTH_SAMPLE_ROWS).agg(F.avg(width)).first()[0]
-        return math.ceil((mean or 0) * stored_rows(spark, path))
+        df, rows = spark.read.parquet(path), stored_rows(spark, path)
+        if rows <= DEFAULT_BROADCAST_ROWS:
+            return measured_bytes(df)
+        return math.ceil(measured_bytes(df.limit(_WIDTH_SAMPLE_ROWS)) * rows / _WIDTH_SAMPLE_ROWS)
 
     return _memoised(spark, path, "bytes", estimate)
 
@@ -98,8 +104,8 @@ def null_safe_lookup(
     matches null-safely (a null key finds the dimension's null row), adding the
     ``take`` columns of ``dim``. The dim key must be unique, so no fact row is
     added or dropped. ``dim_rows`` / ``fact_rows`` are known row counts (else
-    they are counted), ``dim_bytes`` the dimension's size where it is known, and
-    ``hot`` the hot keys where they were sampled before (from a stored table, so
+    they are counted), ``dim_bytes`` is the dimension's size (else it is measured
+    where the rows would do for a broadcast), and ``hot`` the hot keys where they were sampled before (from a stored table, so
     that sampling runs no join again).
 
     * A dimension within ``max_broadcast_rows`` and BROADCAST_BYTES is broadcast:
@@ -113,7 +119,7 @@ def null_safe_lookup(
     side = dim.select(*[F.col(d).alias(f"__k{i}") for i, (_, d) in enumerate(on)], *take)
     side_keys = [f"__k{i}" for i in range(len(on))]
     n_dim = side.count() if dim_rows is None else dim_rows
-    if n_dim <= max_broadcast_rows and (dim_bytes or 0) <= BROADCAST_BYTES:
+    if n_dim <= max_broadcast_rows and (measured_bytes(side) if dim_bytes is None else dim_bytes) <= BROADCAST_BYTES:
         side = F.broadcast(side)
         return facts.join(side, _matches(facts, fact_keys, side, side_keys), "left").drop(*side_keys)
 

@@ -49,7 +49,7 @@ def _parsed(records: DataFrame, names: list[str]) -> DataFrame:
     for i, field in enumerate(schema.fields):
         # An empty name is read as _c and its place.
         same = same & (F.lower(F.coalesce(F.col("cells")[field.name], F.lit(f"_c{i}"))) == field.name.lower())
-    wrong = F.raise_error(F.concat(F.col("file_path"), F.lit(": another header than the first file's"))).cast("boolean")
+    wrong = F.raise_error(F.concat(F.lit("another header than the first file's: "), F.col("record"))).cast("boolean")
     return rows.where(F.when(~F.col("header"), True).when(same, False).otherwise(wrong))
 
 
@@ -74,7 +74,8 @@ def read_submissions_csv(spark: SparkSession, path: str, multiline: bool = True)
       column, the year included, before any stripping. Any other year that is no
       integer fails the read, and so does a row with fewer or more cells than the
       header (``FAILFAST``).
-    * ``row_key`` keeps the source order: file, split start, position in split.
+    * ``row_key`` keeps the source order: the number of the row in the whole input, from
+      0, or where files are read without the pass file, split start, position in split.
     """
     names = _header_names(spark, path, multiline)
     first = spark.read.option("lineSep", "\n").text(path).select(F.expr("rtrim('\r', value)").contains("\r")).first() if multiline else None
@@ -92,7 +93,7 @@ def read_submissions_csv(spark: SparkSession, path: str, multiline: bool = True)
         return spread(rows, splits=len(raw.inputFiles())) if multiline else rows
     records, splits = csv_records(spark, path)
     rows = _parsed(spread(records, splits), names)
-    return _submissions(rows, F.struct("file_path", "block_start", "position"), lambda c: F.col("cells")[c])
+    return _submissions(rows, F.col("number"), lambda c: F.col("cells")[c])
 
 
 def write_submissions_csv(df: DataFrame, path: str, columns=RAW_COLUMNS) -> None:

@@ -6,9 +6,11 @@ or outside of one, and so it does starting inside. These functions compose, so t
 need not be read from the start:
 
 1. Every split is read as lines and folded to its two outcomes (starting outside, starting
-   inside), with the places of the first record and of one left open at the end.
-2. The outcomes of a file's splits are chained in order, one step per split. The driver
-   holds one small row per split, as it does for the tasks of the scan itself.
+   inside), with the places of the first record and of one left open at the end, and the
+   number of records that start there.
+2. The outcomes of all splits are chained in the order of files and blocks, one step per
+   split: the state each starts in, and the records before it. The driver holds one small
+   row per split, as it does for the tasks of the scan itself.
 3. The splits are read again, now with the state they start in. Records within a split are
    glued there; the lines of a record that crosses into another split are picked out by
    their places and meet in a shuffle that holds nothing else.
@@ -19,6 +21,8 @@ it stands (in a bare cell, or before text after a closing quote) is found by its
 neighbours, and its line is followed cell by cell. The other outcome of a split is followed
 like that only until both agree, mostly a line or two.
 
+So a record's number in the whole input is known where it is read, without a sort.
+
 Only this fold, which needs the lines' order, runs in Arrow batches. Lines are read with
 the line feed as the only separator, so carriage returns inside cells survive.
 """
@@ -142,14 +146,14 @@ def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, i
         seen += len(split)
 
 
-_OUTCOME = "file_path string, block_start long, split long, first long, " + ", ".join(
-    f"end{s} boolean, start{s} long, tail{s} long" for s in (0, 1)
+_OUTCOME = "file_path string, block_start long, split long, " + ", ".join(
+    f"end{s} boolean, start{s} long, tail{s} long, n{s} long" for s in (0, 1)
 )
 
 
 def _outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per split: the place of the first line with text, and for both states at its start
-    the state at its end, the place of the first record, and of one that is still open."""
+    """Per split, for both states at its start: the state at its end, the place of the first
+    record, and of one that is still open, and how many records with text start."""
     names = [c.split()[0] for c in _OUTCOME.split(", ")]
     now: dict = {}
 
@@ -160,15 +164,14 @@ def _outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if now.get("split") != split:
             if now:
                 yield done()
-            now = {"file_path": run.column("file_path")[0].as_py(), "block_start": run.column("block_start")[0].as_py(), "split": split, "first": None}
-            now |= {"end0": False, "end1": True} | {f"{k}{s}": None for k in ("start", "tail") for s in (0, 1)}
+            now = {"file_path": run.column("file_path")[0].as_py(), "block_start": run.column("block_start")[0].as_py(), "split": split}
+            now |= {"end0": False, "end1": True} | {f"{k}{s}": None for k in ("start", "tail") for s in (0, 1)} | {"n0": 0, "n1": 0}
         lines = Lines(run.column("line"))
-        if now["first"] is None and not lines.blank.all():
-            now["first"] = seen + int(np.argmin(lines.blank))
         outside = lines.states(now["end0"])
         inside = outside if now["end1"] == now["end0"] else lines.states_until(now["end1"], outside)
         for s, states in enumerate((outside, inside)):
             starts = np.flatnonzero(~states[:-1])
+            now[f"n{s}"] += int((~states[:-1] & ~lines.blank).sum())
             if len(starts):
                 if now[f"start{s}"] is None:
                     now[f"start{s}"] = seen + int(starts[0])
@@ -180,16 +183,18 @@ def _outcomes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield done()
 
 
-_ARROW = {"file_path": pa.string(), "block_start": pa.int64(), "split": pa.int64(), "first": pa.int64(), "end": pa.bool_(), "start": pa.int64(), "tail": pa.int64()}
+_ARROW = {"file_path": pa.string(), "block_start": pa.int64(), "split": pa.int64(), "end": pa.bool_(), "start": pa.int64(), "tail": pa.int64(), "n": pa.int64()}
 
 
 @dataclass(frozen=True)
 class Splits:
-    """The splits of the files by their key: the state each starts in, and the place of
-    its file's first record where it is the file's first split (else -1)."""
+    """The splits of the files by their key: the state each starts in, the number of the
+    first record that starts there, and whether that is its file's header. A header has
+    the number before the next record's, so the other records count from 0 without gaps."""
 
     keys: np.ndarray
     inside: np.ndarray
+    number: np.ndarray
     header: np.ndarray
 
     def find(self, split: int) -> int:
@@ -202,23 +207,26 @@ class Splits:
 def chain(outcomes: list) -> tuple[Splits, list[tuple]]:
     """Follow every file from its first split to its last: the splits, and the places of
     the records that cross from one to another."""
-    state, home, file = False, None, None
+    state, home, file, records, headed = False, None, None, 0, False
     found, crossing = [], []
     for r in sorted(outcomes, key=lambda r: (r["file_path"], r["block_start"])):
         if r["file_path"] != file:
-            state, home, file = False, None, r["file_path"]
+            state, home, file, headed = False, None, r["file_path"], False
         s = int(state)
-        tail, header = r[f"tail{s}"], -1 if r["block_start"] or r["first"] is None else r["first"]
-        found.append((r["split"], state, header))
+        tail, n = r[f"tail{s}"], r[f"n{s}"]
+        header = n > 0 and not headed
+        headed = headed or header
+        found.append((r["split"], state, records - header, header))
+        records += n - header
         if state or tail is not None:
             # Lines before ``start`` (all, where no record starts here) belong to the record open since split ``home``.
-            crossing.append((r["split"], r["block_start"], state, r[f"start{s}"], home, tail, tail == header))
+            crossing.append((r["split"], r["block_start"], state, r[f"start{s}"], home, tail, records - 1, header and n == 1))
         state, home = r[f"end{s}"], r["split"] if tail is not None else home
     found.sort()
-    return Splits(*(np.array([f[i] for f in found], dtype=t) for i, t in enumerate((np.int64, bool, np.int64)))), crossing
+    return Splits(*(np.array([f[i] for f in found], dtype=t) for i, t in enumerate((np.int64, bool, np.int64, bool)))), crossing
 
 
-_RECORD = "split long, position long, header boolean, record string"
+_RECORD = "number long, header boolean, record string"
 
 
 def _joined(text: pa.Array, starts: np.ndarray, ends: np.ndarray) -> pa.Array:
@@ -233,39 +241,43 @@ def _records_within(splits: Splits):
     """Glue the records that start and end in one split."""
 
     def glue(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, state, header, open_, place = None, False, -1, None, 0
-        for run, split, seen in _runs(batches):
+        now, state, number, header, open_, place = None, False, 0, -1, None, 0
+        for run, split, _ in _runs(batches):
             if split != now:
                 # What is still open at the end of a split crosses into the next.
                 at = splits.find(split)
-                now, state, header, open_ = split, bool(splits.inside[at]), int(splits.header[at]), None
+                now, state, number, open_ = split, bool(splits.inside[at]), int(splits.number[at]), None
+                header = number if splits.header[at] else None
             text = run.column("line").cast(pa.string())
-            states = Lines(text).states(state)
+            lines = Lines(text)
+            states = lines.states(state)
             state = bool(states[-1])
             starts = np.flatnonzero(~states[:-1])
             ends = np.append(starts[1:], len(text))
+            numbers = number + np.cumsum(~lines.blank[starts]) - 1
+            number += int((~lines.blank[starts]).sum())
             first = int(starts[0]) if len(starts) else len(text)
             if open_ is not None:
                 open_ += text.slice(0, first).to_pylist()
-            last = int(starts[-1]) if state and len(starts) else None
+            last = (int(starts[-1]), int(numbers[-1])) if state and len(starts) else None
             if last is not None:
-                starts, ends = starts[:-1], ends[:-1]
-            places, joined = seen + starts, _joined(text, starts, ends)
+                starts, ends, numbers = starts[:-1], ends[:-1], numbers[:-1]
+            joined = _joined(text, starts, ends)
             if open_ is not None and (first < len(text) or not state):
-                places, joined = np.append(places, place), pa.concat_arrays([joined, pa.array(["\n".join(open_)], pa.string())])
+                numbers, joined = np.append(numbers, place), pa.concat_arrays([joined, pa.array(["\n".join(open_)], pa.string())])
                 open_ = None
             if last is not None:
-                open_, place = text.slice(last).to_pylist(), seen + last
+                open_, place = text.slice(last[0]).to_pylist(), last[1]
             filled = pc.invert(pc.is_in(joined, pa.array(["", "\r"], pa.string())))
-            columns = [pa.repeat(pa.scalar(split, pa.int64()), len(joined)), pa.array(places, pa.int64()), pa.array(places == header), joined]
-            yield pa.record_batch(columns, ["split", "position", "header", "record"]).filter(filled)
+            headers = np.zeros(len(numbers), dtype=bool) if header is None else numbers == header
+            yield pa.record_batch([pa.array(numbers, pa.int64()), pa.array(headers), joined], ["number", "header", "record"]).filter(filled)
 
     return glue
 
 
 def _records_across(spark: SparkSession, lines: DataFrame, crossing: list[tuple]) -> DataFrame:
     """Glue the records whose lines lie in several splits."""
-    columns = "of long, block_start long, is_inside boolean, upto long, home long, tail long, tail_is_header boolean"
+    columns = "of long, block_start long, is_inside boolean, upto long, home long, tail long, number long, is_header boolean"
     places = _if_few(spark.createDataFrame(crossing, columns), len(crossing))
     # The place of a line, its number in its task: the low bits of this documented layout.
     placed = lines.select("split", F.monotonically_increasing_id().bitwiseAND(F.lit((1 << 33) - 1)).alias("position"), "line")
@@ -273,11 +285,12 @@ def _records_across(spark: SparkSession, lines: DataFrame, crossing: list[tuple]
     tail = F.col("tail").isNotNull() & (F.col("position") >= F.col("tail"))
     met = placed.join(places, F.col("split") == F.col("of")).where(head | tail)
     line = F.struct("block_start", "position", "line")
-    glued = met.groupBy(F.when(tail, F.col("split")).otherwise(F.col("home")).alias("split")).agg(
-        F.array_sort(F.collect_list(line)).alias("lines"), F.max(F.when(tail, F.col("tail_is_header"))).alias("header")
+    glued = met.groupBy(F.when(tail, F.col("split")).otherwise(F.col("home")).alias("opened")).agg(
+        F.array_sort(F.collect_list(line)).alias("lines"),
+        *[F.max(F.when(tail, F.col(c))).alias(c) for c in ("number", "is_header")],
     )
     text = F.array_join(F.transform("lines", lambda x: x["line"]), "\n")
-    return glued.select("split", F.col("lines")[0]["position"].alias("position"), "header", text.alias("record"))
+    return glued.select("number", F.col("is_header").alias("header"), text.alias("record"))
 
 
 def _if_few(table: DataFrame, rows: int) -> DataFrame:
@@ -286,18 +299,16 @@ def _if_few(table: DataFrame, rows: int) -> DataFrame:
 
 
 def csv_records(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
-    """The records of the files (file_path, block_start, position: the place of a record's
-    first line; header: whether it is its file's first; record: its text without the line
-    end), blank ones left out, and the number of splits."""
+    """The records of the files, blank ones left out, and the number of splits. ``number``
+    counts them from 0 in the order of files and lines, headers aside; ``header`` is set
+    for each file's first; ``record`` is the text without the line end."""
     lines = _lines(spark, path)
     outcomes = lines.mapInArrow(_outcomes, _OUTCOME).collect()  # a row per split
     splits, crossing = chain(outcomes)
     short = lines.select("split", "line")
-    records = short.mapInArrow(_records_within(splits), _RECORD)  # sent along: 17 bytes a split
+    records = short.mapInArrow(_records_within(splits), _RECORD)  # sent along: 18 bytes a split
     if crossing:
         records = records.unionByName(_records_across(spark, short, crossing))
-    places = spark.createDataFrame([(r["split"], r["file_path"], r["block_start"]) for r in outcomes], "split long, file_path string, block_start long")
     ends: Column = F.col("record").endswith("\r")
     text = F.when(ends, F.expr("left(record, length(record) - 1)")).otherwise(F.col("record"))
-    placed = records.join(_if_few(places, len(outcomes)), "split").select("file_path", "block_start", "position", "header", text.alias("record"))
-    return placed, len(outcomes)
+    return records.withColumn("record", text), len(outcomes)

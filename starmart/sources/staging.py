@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starmart.operators.dense_ids import with_dense_id
 from starmart.operators.lookup import DEFAULT_BROADCAST_ROWS, broadcast_if_within, stored_bytes, stored_rows
 from starmart.operators.spread import scan_splits, spread
 from starmart.sources.schemas import RAW_COLUMNS, ROW_KEY
@@ -70,13 +71,21 @@ def _geo(spark: SparkSession, sf_dir: str, prefix: str) -> DataFrame:
     return _sized(spark, sf_dir, "nation", geo, _GEO_MAX_ROWS)
 
 
-def staging_submissions(spark: SparkSession, sf_dir: str, broadcast_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Raw-shaped submissions (16 text columns + year) with a ``row_key`` struct.
+def staging_submissions(
+    spark: SparkSession, sf_dir: str, broadcast_rows: int = DEFAULT_BROADCAST_ROWS, workdir: str | None = None
+) -> DataFrame:
+    """Raw-shaped submissions (16 text columns + year) with a ``row_key``: a struct of
+    the fields that order the lines, or with ``workdir`` (a shared folder for the numbered
+    lines) their number from 0. Lines are numbered while they are narrow.
 
     Joins whose side has a checked row count within ``broadcast_rows`` run
     map-side on the line stream; larger sides stay shuffle joins.
     """
     lineitem = _table(spark, sf_dir, "lineitem").select(*ROW_KEY_FIELDS, "l_discount", "l_returnflag", "l_linestatus")
+    row_key = F.struct(*[F.col(c) for c in ROW_KEY_FIELDS])
+    if workdir:
+        lineitem = with_dense_id(lineitem, list(ROW_KEY_FIELDS), "line_number", workdir=workdir)
+        row_key = F.col("line_number") - 1
     lineitem = spread(lineitem, scan_splits(lineitem))
 
     def sized(name: str, side: DataFrame) -> DataFrame:
@@ -122,7 +131,7 @@ def staging_submissions(spark: SparkSession, sf_dir: str, broadcast_rows: int =
     no_country = F.col("c_nationkey") == 0
 
     out = rows.select(
-        F.struct(*[F.col(c) for c in ROW_KEY_FIELDS]).alias(ROW_KEY),
+        row_key.alias(ROW_KEY),
         F.year("o_orderdate").cast("int").alias("ano"),
         F.col("p_name").alias("titulo_livro"),
         F.col("p_type").alias("genero_livro"),

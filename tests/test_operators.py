@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import random
 import tempfile
 
 from pyspark.sql import functions as F
@@ -45,3 +46,21 @@ def test_keep_first_and_latest_pick_by_order(spark):
     assert first == {"a": "z", None: "n2"}
     latest = {r.k: r.v for r in keep_latest(df, ["k"], "year", "rk", ["v"]).collect()}
     assert latest == {"a": "y", None: "n2"}
+
+
+def test_chosen_rows_are_the_first_or_the_latest(spark):
+    from starmart.operators.dedupe import chosen_rows, take_rows
+
+    r = random.Random(3)
+    rows = [(i, r.choice(["a", "b", None, ""]), r.choice([None, 0, -5, 2015, 2024, 2**31 - 1, -(2**31)]), f"v{i}") for i in range(300)]
+    rows += [(10**18 + i, "far", 2000 + i % 2, f"f{i}") for i in range(4)]
+    df = spark.createDataFrame(rows, "n long, k string, year int, v string").repartition(4)
+    first, latest = {}, {}
+    for n, k, year, v in sorted(rows, key=lambda x: x[0]):
+        first.setdefault(k, v)
+        known = -(2**40) if year is None else year
+        if k not in latest or known > latest[k][0]:
+            latest[k] = (known, v)
+    assert {x["k"]: x["v"] for x in take_rows(df, "n", chosen_rows(df, ["k"], "n"), ["k", "v"]).collect()} == first
+    got = take_rows(df, "n", chosen_rows(df, ["k"], "n", "year"), ["k", "v"]).collect()
+    assert {x["k"]: x["v"] for x in got} == {k: v for k, (_, v) in latest.items()} and len(got) == 5

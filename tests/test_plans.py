@@ -6,7 +6,7 @@ from __future__ import annotations
 import pytest
 
 from starmart.plans import reports, views
-from starmart.plans.star import dim_author_rows, dim_publisher_rows
+from starmart.plans.star import dim_author_rows, dim_book_rows, dim_publisher_rows
 
 
 def plan(df) -> str:
@@ -84,25 +84,33 @@ def test_wide_dimension_stays_a_shuffle_join(spark, small_star, tmp_path):
     assert "strategy=broadcast" not in optimized(lookup)
 
 
-def test_ranked_fact_carries_no_text_and_sampling_runs_no_join(spark, small_star, monkeypatch):
+def test_numbered_rows_are_not_sorted_for_the_fact_and_sampling_runs_no_join(spark, small_star, monkeypatch):
+    from starmart.datasets import load_testdata
     from starmart.operators import lookup
     from starmart.plans import star as star_plan
-    from starmart.plans.star import build_star
-    from starmart.params import TESTDATA_YEARS
-    from starmart.sources.staging import staging_submissions
 
     from conftest import SF_SMALL
 
-    sampled, ranked = [], []
+    sampled, ranked, written = [], [], {}
     monkeypatch.setattr(star_plan, "hot_keys", lambda df, cols, rows: sampled.append(optimized(df)) or lookup.hot_keys(df, cols, rows))
-    plain = star_plan.with_dense_id
-    monkeypatch.setattr(star_plan, "with_dense_id", lambda df, *a, **k: ranked.append((a[1], df.schema)) or plain(df, *a, **k))
-    raw = staging_submissions(spark, SF_SMALL)
-    build_star(spark, raw, TESTDATA_YEARS, dataset="test-narrow", broadcast_rows=0, rows_per_range=900)
-    assert len(sampled) == 4 and not any("Join" in p for p in sampled)
-    fact = dict(ranked)["submission_id"]
-    texts = [f.name for f in fact.fields if f.dataType.simpleString() == "string"]
-    assert texts == ["selection_level"]
+    plain, write = star_plan.with_dense_id, star_plan.write_table
+    monkeypatch.setattr(star_plan, "with_dense_id", lambda df, *a, **k: ranked.append(a[1]) or plain(df, *a, **k))
+    monkeypatch.setattr(star_plan, "write_table", lambda df, path, *a: written.__setitem__(path.rpartition("/")[2], plan(df)) or write(df, path, *a))
+    load_testdata(spark, SF_SMALL, "test-narrow", broadcast_rows=0, rows_per_range=900)
+    assert len(sampled) == 5 and not any("Join" in p for p in sampled)
+    assert sorted(ranked) == ["author_id", "book_id", "publisher_id", "time_id"]
+    assert "rangepartitioning" not in written["fact_submission"] and "titulo_livro" not in written["fact_submission"]
+    # The rows are exchanged by (title, author) once, where books are chosen; the fact follows the row number.
+    by_key = [n for n, p in written.items() if "hashpartitioning(titulo_livro" in p]
+    assert by_key == ["by_book"] and written["by_book"].count("hashpartitioning(titulo_livro") == 1
+    assert "Window" in written["by_book"] and "hashpartitioning(book_row" not in written["by_book"]
+
+
+def test_dimensions_are_chosen_by_hash_aggregates(spark, small_star):
+    clean = spark.read.parquet(f"{small_star.path}/clean")
+    for rows in (dim_author_rows, dim_book_rows, dim_publisher_rows):
+        text = plan(rows(clean))
+        assert "SortAggregate" not in text and text.count("HashAggregate") == 2 and "partial_min" in text
 
 
 def test_small_dimension_broadcast_into_fact_stream(small_star):

@@ -70,8 +70,10 @@ def test_records_are_those_of_the_unsplit_reader(spark, tmp_path, split_size, se
         split_size(size)
         records, splits = csv_records(spark, str(tmp_path))
         assert (splits > 20) == (size < 100)
-        parsed = records.where("NOT header").select("file_path", "block_start", "position", F.from_csv("record", kind, {**OPTIONS, "lineSep": "\n"}).alias("c"))
-        got = [tuple(x) for x in parsed.orderBy("file_path", "block_start", "position").select("c.*").collect()]
+        parsed = records.where("NOT header").select("number", F.from_csv("record", kind, {**OPTIONS, "lineSep": "\n"}).alias("c"))
+        parsed = parsed.orderBy("number").collect()
+        assert [x["number"] for x in parsed] == list(range(len(parsed)))
+        got = [tuple(x["c"]) for x in parsed]
         if end != "\n":
             # The unsplit reader turns line breaks within cells of such files into line feeds; here they stay.
             assert any("\r\n" in (v or "") for x in got for v in x)
@@ -87,6 +89,7 @@ def test_row_keys_follow_the_file_whatever_the_splits(spark, tmp_path, split_siz
         split_size(size)
         back = read_submissions_csv(spark, str(tmp_path / "csv"))
         found.append([(r["titulo_livro"], r["nome_autor"], r["ano"]) for r in back.orderBy("row_key").collect()])
+        assert sorted(r["row_key"] for r in back.collect()) == list(range(200))
     assert found[0] == [(r["titulo_livro"], r["nome_autor"], 2015) for r in rows]
     assert all(f == found[0] for f in found)
 
@@ -179,11 +182,17 @@ def test_end_state_follows_cells():
 
 
 def test_chain_names_the_split_a_record_opened_in():
-    row = lambda start, **k: {"file_path": "f", "block_start": start, "split": start + 1, "first": 0} | {f"{x}{s}": None for x in ("start", "tail") for s in (0, 1)} | {"end0": False, "end1": True} | k
-    splits, crossing = chain([row(200, start1=25), row(0, end0=True, tail0=7), row(100), row(300, end1=False, start1=31)])
-    # The record opened at place 7 runs through the next two splits into the last.
-    assert splits.inside.tolist() == [False, True, True, True] and splits.header.tolist() == [0, -1, -1, -1]
-    assert crossing == [(1, 0, False, None, None, 7, False), (101, 100, True, None, 1, None, False), (201, 200, True, 25, 1, None, False), (301, 300, True, 31, 1, None, False)]
-    assert splits.find(101) == 1
+    row = lambda start, **k: {"file_path": "f", "block_start": start, "split": start + 1, "n0": 0, "n1": 0} | {f"{x}{s}": None for x in ("start", "tail") for s in (0, 1)} | {"end0": False, "end1": True} | k
+    splits, crossing = chain([row(200, start1=25, n1=4), row(0, end0=True, tail0=7, n0=3), row(100), row(300, end1=False, start1=31, n1=2), row(7, file_path="e", n0=5)])
+    # The record opened at place 7, the second after the header, runs through the next two splits into the last.
+    assert splits.keys.tolist() == [1, 8, 101, 201, 301] and splits.inside.tolist() == [False, False, True, True, True]
+    assert splits.number.tolist() == [3, -1, 6, 6, 10] and splits.header.tolist() == [True, True, False, False, False]
+    assert crossing == [
+        (1, 0, False, None, None, 7, 5, False),
+        (101, 100, True, None, 1, None, 5, False),
+        (201, 200, True, 25, 1, None, 9, False),
+        (301, 300, True, 31, 1, None, 11, False),
+    ]
+    assert splits.find(101) == 2
     with pytest.raises(RuntimeError, match="split anew"):
         splits.find(2)

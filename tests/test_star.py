@@ -175,14 +175,11 @@ def test_large_scale_path_gives_identical_star(spark, small_star):
     fact write. Every table, ids included, must equal the default build."""
     import glob
 
-    from starmart.params import TESTDATA_YEARS
-    from starmart.sources.staging import staging_submissions
+    from starmart.datasets import load_testdata
 
     from conftest import SF_SMALL
 
-    big = build_star(
-        spark, staging_submissions(spark, SF_SMALL), TESTDATA_YEARS, dataset=f"test-big-{uuid.uuid4().hex[:6]}", rows_per_range=700
-    )
+    big = load_testdata(spark, SF_SMALL, f"test-big-{uuid.uuid4().hex[:6]}", rows_per_range=700)
     for name, df in small_star.tables().items():
         other = big.tables()[name]
         assert df.count() == other.count()
@@ -194,6 +191,52 @@ def test_large_scale_path_gives_identical_star(spark, small_star):
     assert per_year and max(per_year.values()) <= 2, per_year
 
 
+def test_sources_without_row_numbers_give_the_same_star(spark, small_star):
+    from starmart.params import TESTDATA_YEARS
+    from starmart.sources.staging import staging_submissions
+
+    from conftest import SF_SMALL
+
+    raw = staging_submissions(spark, SF_SMALL)
+    for rows_per_range in (700, 10**6):
+        other = build_star(spark, raw, TESTDATA_YEARS, dataset=f"test-key-{uuid.uuid4().hex[:6]}", rows_per_range=rows_per_range)
+        for name, df in small_star.tables().items():
+            assert df.exceptAll(other.tables()[name].select(*df.columns)).count() == 0, name
+
+
+def test_row_numbers_must_be_dense(spark):
+    raw = raw_frame(spark, [{}, {}, {}]).withColumn("row_key", F.col("row_key.row_pos") * 2)
+    with pytest.raises(ValueError, match="row numbers"):
+        build_star(spark, raw, PRIZE_YEARS, dataset=f"test-gaps-{uuid.uuid4().hex[:6]}")
+
+
+def test_hot_and_missing_books_find_their_row_without_a_hot_window(spark):
+    """A third of all rows on one book, many on the book without title and author."""
+    from starmart.operators.clean import clean_submissions
+    from starmart.operators.lookup import hot_keys
+    from starmart.plans.star import rows_with_book
+
+    rows = []
+    for i in range(900):
+        hot = {"titulo_livro": "H", "nome_autor": "A"} if i % 3 == 0 else {"titulo_livro": None, "nome_autor": None} if i % 5 == 0 else {}
+        rows.append({"titulo_livro": f"T{i % 400}", "nome_autor": f"A{i % 7}" if i % 11 else None, "genero_livro": f"g{i}"} | hot)
+    raw = raw_frame(spark, rows).withColumn("row_key", F.col("row_key.row_pos"))
+    clean = clean_submissions(raw).repartition(5)
+    hot = hot_keys(clean, ["titulo_livro", "nome_autor"], 900, share=0.05)
+    assert sorted(hot, key=str) == [("H", "A"), (None, None)]
+    first = {}
+    for i, r in enumerate(rows):
+        first.setdefault((r["titulo_livro"], r["nome_autor"]), i)
+    for keys in (hot, [], [*hot, ("absent", None)]):
+        got = {r["row_key"]: r for r in rows_with_book(clean, keys).collect()}
+        assert len(got) == 900
+        for i, r in enumerate(rows):
+            key = (r["titulo_livro"], r["nome_autor"])
+            assert got[i]["book_row"] == first[key]
+            expected = (*key, f"g{i}", "Brasil") if first[key] == i else None
+            assert (got[i]["book"] and tuple(got[i]["book"])) == expected
+
+
 def test_fact_check_rejects_missing_keys_and_rows(spark):
     from starmart.plans.star import check_fact
 
