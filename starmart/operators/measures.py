@@ -44,9 +44,11 @@ def measures_by(
     group: list[Column | str],
     measures=ALL_MEASURES,
     *,
+    fact_keys: tuple[str, ...] = (),
     broadcast_rows: int = DEFAULT_BROADCAST_ROWS,
 ) -> DataFrame:
-    """Funnel measures grouped by dimension attributes.
+    """Funnel measures grouped by dimension attributes (and ``fact_keys``, columns of
+    the fact that ``group`` names as well).
 
     ``dims`` lists (dimension frame, id column, row count of the dimension table
     or None if unknown or too wide to broadcast); each frame carries the id and the attributes used in
@@ -66,7 +68,7 @@ def measures_by(
     if not large:
         return fact_measures(stream, group, measures)
     carried = [c for dim, id_col in small for c in dim.columns if c != id_col]
-    partial = fact_measures(stream, [i for _, i in large] + carried, measures)
+    partial = fact_measures(stream, [i for _, i in large] + carried + list(fact_keys), measures)
     for dim, id_col in large:
         partial = partial.join(dim, id_col, "inner")
     return partial.groupBy(*group).agg(*[F.sum(m).cast("long").alias(m) for m in measures])

@@ -3,19 +3,24 @@
 Layout under the root the caller names, or the session's ``spark.checkpoint.dir``::
 
     <root>/starmart/<dataset>/runs/<run-id>/{input,clean,dim_time,...,fact_submission,marts/...}
-    <root>/starmart/<dataset>/PUBLISHED        append-only records: (stamp, run folder)
+    <root>/starmart/<dataset>/PUBLISHED/<number>.json    append-only records: (number, run folder)
 
-A refresh writes a complete new run folder and appends its publish record last,
-so a failure midway never leaves readers on a half-written mix of tables.
+A refresh writes a complete new run folder and adds its publish record last,
+so a failure midway never leaves readers on a half-written mix of tables. Records are
+numbered; each number is created once, by whoever comes first, so their order is that of
+publishing and hangs on no clock.
 """
 
 from __future__ import annotations
 
+import json
+import re
 import tempfile
 import time
 import uuid
 from dataclasses import dataclass, fields
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -133,26 +138,59 @@ def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None)
     writer.parquet(path)
 
 
-def publish(spark: SparkSession, dataset: str, run_path: str, root: str | None = None) -> None:
-    """Record a completely written run folder as the current one.
+def _create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file that must not exist; False if it does. The file system decides,
+    so of several writers one succeeds."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.getUri().getScheme() == "file":
+        # Hadoop looks and then creates on a local disk; the system call does both at once.
+        try:
+            with open(where.toUri().getPath(), "x", encoding="utf-8") as out:
+                out.write(text)
+        except FileExistsError:
+            return False
+        return True
+    try:
+        out = fs.create(where, False)
+    except Py4JJavaError as error:
+        if error.java_exception.getClass().getSimpleName() == "FileAlreadyExistsException":
+            return False
+        raise
+    out.write(bytearray(text, "utf-8"))
+    out.close()
+    return True
+
+
+def publish(spark: SparkSession, dataset: str, run_path: str, root: str | None = None) -> int:
+    """Record a completely written run folder as the current one; returns the record's number.
 
-    Publishing appends one small record (a nanosecond stamp and the run path);
-    a file appears only when its write commits, so readers never see a missing
-    or half-written pointer, and older records keep the history of refreshes.
+    A record is one line in a file of its own. Who finds the next number taken takes the
+    one after it. A line is read only once it is whole, and older records keep the history
+    of refreshes.
     """
-    record = spark.createDataFrame([(time.time_ns(), run_path)], "published_ns long, run string")
-    record.coalesce(1).write.mode("append").json(f"{dataset_base(spark, dataset, root)}/PUBLISHED")
+    folder = f"{dataset_base(spark, dataset, root)}/PUBLISHED"
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    fs = where.getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(where)
+    names = [status.getPath().getName() for status in fs.listStatus(where)]
+    number = max((int(n[:12]) for n in names if re.fullmatch(r"\d{12}\.json", n)), default=0) + 1
+    while not _create_once(spark, f"{folder}/{number:012d}.json", json.dumps({"number": number, "run": run_path}) + "\n"):
+        number += 1
+    return number
 
 
 def _published(spark: SparkSession, dataset: str, root: str | None = None) -> list:
-    """The publish records, the latest first; none before the first refresh."""
+    """The publish records, the latest first; none before the first refresh. (Records of
+    earlier versions have a stamp and no number, and are older.)"""
     try:
-        records = spark.read.schema("published_ns long, run string").json(f"{dataset_base(spark, dataset, root)}/PUBLISHED")
+        records = spark.read.schema("number long, published_ns long, run string").json(f"{dataset_base(spark, dataset, root)}/PUBLISHED")
     except AnalysisException as error:
         if error.getCondition() == "PATH_NOT_FOUND":
             return []
         raise
-    return records.orderBy(F.col("published_ns").desc(), F.col("run").desc()).collect()
+    latest = [F.col("number").desc_nulls_last(), F.col("published_ns").desc(), F.col("run").desc()]
+    return records.where("run IS NOT NULL").orderBy(*latest).collect()
 
 
 def current_run(spark: SparkSession, dataset: str, root: str | None = None) -> str | None:
@@ -171,6 +209,8 @@ class Star:
     dim_publisher: DataFrame
     fact_submission: DataFrame
     path: str | None = None
+    #: Folders of tables that are not stored under ``path``.
+    paths: dict[str, str] | None = None
 
     def broadcast_rows(self, name: str) -> int | None:
         """Row count of a stored table whose estimated size may be broadcast; None
@@ -179,11 +219,11 @@ class Star:
             return None
         from starmart.operators.lookup import BROADCAST_BYTES, stored_bytes, stored_rows
 
-        spark, path = getattr(self, name).sparkSession, f"{self.path}/{name}"
+        spark, path = getattr(self, name).sparkSession, (self.paths or {}).get(name, f"{self.path}/{name}")
         return stored_rows(spark, path) if stored_bytes(spark, path) <= BROADCAST_BYTES else None
 
     def tables(self) -> dict[str, DataFrame]:
-        return {f.name: getattr(self, f.name) for f in fields(self) if f.name != "path"}
+        return {f.name: getattr(self, f.name) for f in fields(self) if f.name not in ("path", "paths")}
 
     def register_views(self, source_names: bool = False) -> None:
         """Expose the tables to ``spark.sql`` (ad-hoc SQL): under their own names,

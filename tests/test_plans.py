@@ -128,6 +128,34 @@ def test_dedupe_combines_before_shuffle(spark, small_star):
         assert "Window" not in text
 
 
+def test_marts_scan_the_fact_twice_and_equal_the_reports(spark, small_star, monkeypatch):
+    import dataclasses
+    import shutil
+
+    from starmart.plans import marts
+    from starmart.sources.warehouse import Star
+
+    plain = marts.write_table
+    for rows in (None, 0):  # books broadcast, and too many for it
+        scans = []
+
+        def write(df, path, *a):
+            scans.extend(line for line in plan(df).splitlines() if "FileScan" in line and "is_winner" in line)
+            plain(df, path, *a)
+
+        monkeypatch.setattr(marts, "write_table", write)
+        if rows == 0:
+            sized = Star.broadcast_rows
+            monkeypatch.setattr(Star, "broadcast_rows", lambda self, name: None if name == "dim_book" else sized(self, name))
+        path = f"{small_star.path}-marts-{rows}"
+        shutil.copytree(small_star.path.removeprefix("file:"), path.removeprefix("file:"), ignore=shutil.ignore_patterns("marts"))
+        built = marts.build_marts(spark, dataclasses.replace(small_star, path=path))
+        assert len(scans) == 2, scans
+        for name, report in reports.DASHBOARD.items():
+            expected = report(small_star)
+            assert built[name].count() == expected.count() and built[name].exceptAll(expected).count() == 0, name
+
+
 def test_year_filter_prunes_mart_partitions(spark, small_star):
     from starmart.datasets import testdata_marts
 

@@ -136,6 +136,45 @@ def test_refresh_publishes_last_complete_run(spark):
     assert first.fact_submission.count() == 1  # the earlier run stays readable
 
 
+def test_publishers_at_once_give_ordered_records_whatever_the_clock(spark, monkeypatch):
+    import threading
+
+    from starmart.sources import warehouse
+
+    dataset = f"test-publish-{uuid.uuid4().hex[:6]}"
+    runs = [f"run-{i}" for i in range(8)]
+    gate, numbers = threading.Barrier(len(runs)), {}
+
+    def go(run):
+        gate.wait()
+        numbers[run] = warehouse.publish(spark, dataset, run)
+
+    threads = [threading.Thread(target=go, args=(run,)) for run in runs]
+    [t.start() for t in threads]
+    [t.join() for t in threads]
+    assert sorted(numbers.values()) == list(range(1, 9))
+    assert [r["run"] for r in warehouse._published(spark, dataset)] == sorted(runs, key=lambda r: -numbers[r])
+    # A clock that is set back changes nothing; a record that is not whole yet is not read.
+    monkeypatch.setattr(warehouse.time, "time_ns", lambda: 0)
+    assert warehouse.publish(spark, dataset, "later") == 9 and warehouse.current_run(spark, dataset) == "later"
+    folder = f"{warehouse.dataset_base(spark, dataset)}/PUBLISHED"
+    assert warehouse._create_once(spark, f"{folder}/{10:012d}.json", "") and not warehouse._create_once(spark, f"{folder}/{10:012d}.json", "x")
+    assert warehouse.current_run(spark, dataset) == "later"
+    assert warehouse.publish(spark, dataset, "last") == 11 and warehouse.current_run(spark, dataset) == "last"
+
+
+def test_records_of_earlier_versions_are_older(spark):
+    from starmart.sources import warehouse
+
+    dataset = f"test-records-{uuid.uuid4().hex[:6]}"
+    folder = f"{warehouse.dataset_base(spark, dataset)}/PUBLISHED"
+    for stamp, run in ((5, "b"), (9, "c"), (2, "a")):
+        spark.createDataFrame([(stamp, run)], "published_ns long, run string").coalesce(1).write.mode("append").json(folder)
+    assert warehouse.current_run(spark, dataset) == "c"
+    warehouse.publish(spark, dataset, "d")
+    assert [r["run"] for r in warehouse._published(spark, dataset)] == ["d", "c", "b", "a"]
+
+
 def test_old_runs_are_dropped_on_request_only(spark):
     from starmart.sources.warehouse import current_run, drop_old_runs
 
