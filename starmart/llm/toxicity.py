@@ -5,7 +5,13 @@ weights, a threat verb needs a target soon after it, a target just before an
 insult makes it heavier, a negation before it or reported speech around it makes
 it lighter. Their composition is one table; a clause scores the sum of what the
 table puts out. A text's total, density and heaviest clause go through a
-logistic curve.
+logistic curve whose coefficients are not negative: more of what the grammar puts out
+never lowers a score.
+
+Reported speech is what follows a verb of saying in its clause, and what stands in
+quotation marks, up to the closing mark or the end of the line; the comma or colon
+between the verb and its quotation does not end the clause. Words both said and quoted
+are lighter than words only said.
 
 Insult weights (whole words, and beginnings of words for languages that compound
 or inflect) and the curve are learned from labels of documents that are not held
@@ -54,7 +60,9 @@ REPORTS = "said says wrote writes claimed claims told quoted quotes reported rep
 #: Weight of a seed insult that the labels say nothing about, and of a complete threat.
 SEED_WEIGHT, THREAT_WEIGHT = 2.5, 4.0
 #: Factors on an insult or threat: aimed at a target, negated, reported.
-TARGETED, NEGATED, REPORTED = 1.5, 0.3, 0.5
+TARGETED, NEGATED, REPORTED = 1.5, 0.1, 0.5
+#: Factor on what is quoted after a verb of saying.
+SAID_IN_QUOTES = 0.35
 #: How many words a negation, a target and a threat verb reach.
 NEGATION_REACH, TARGET_REACH, THREAT_REACH = 3, 4, 3
 
@@ -63,7 +71,8 @@ PREFIXES = (4, 5, 6, 7)
 
 _WORD = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*")
 _TOKEN = re.compile(r"[^\W\d_]+(?:['’][^\W\d_]+)*|[\"“”«»]")
-_CLAUSE = re.compile(r"[.!?;:,|…\n]+")
+_CLAUSE = re.compile(r"[.!?;:,|…]+")
+_SAYING = re.compile(rf"\b({'|'.join(REPORTS)})\s*[,:]+")
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE = range(7)
 _SYMBOL = {w: s for s, words in ((THREAT, THREATS), (TARGET, TARGETS), (NEGATION, NEGATIONS), (REPORT, REPORTS)) for w in words}
@@ -88,9 +97,18 @@ def _reach(symbol: int, n: int, factor: float, on: tuple[int, ...]) -> Transduce
     return Transducer(n + 1, step)
 
 
+#: States of reported speech.
+PLAIN, SAID, QUOTING, SAID_QUOTING = range(4)
+_LIGHTER = {SAID: REPORTED, QUOTING: REPORTED, SAID_QUOTING: SAID_IN_QUOTES}
+
+
 def _reported(state: int, s: int):
-    nxt = 1 if s == REPORT else 1 - state if s == QUOTE else state
-    return nxt, REPORTED if state and s in (INSULT, TARGET) else 1.0, 0.0
+    nxt = state
+    if s == REPORT and state == PLAIN:
+        nxt = SAID
+    elif s == QUOTE:
+        nxt = {PLAIN: QUOTING, SAID: SAID_QUOTING}.get(state, PLAIN)
+    return nxt, _LIGHTER.get(state, 1.0) if s in (INSULT, TARGET) else 1.0, 0.0
 
 
 def _threat(state: int, s: int):
@@ -101,13 +119,17 @@ def _threat(state: int, s: int):
 
 NEGATE = _reach(NEGATION, NEGATION_REACH, NEGATED, (INSULT, TARGET))
 AIM = _reach(TARGET, TARGET_REACH, TARGETED, (INSULT,))
-QUOTED = Transducer(2, _reported)
+QUOTED = Transducer(4, _reported)
 MENACE = Transducer(THREAT_REACH + 1, _threat)
 
 
-def compose(*parts: Transducer) -> dict[tuple[int, int], tuple[int, float, float]]:
+PARTS = (NEGATE, AIM, QUOTED, MENACE)
+
+
+def compose(*parts: Transducer) -> tuple[dict[tuple[int, int], tuple[int, float, float]], list[tuple[int, ...]]]:
     """One table for all transducers read side by side: (state, symbol) to the next
-    state, the factor on an insult's weight, and a threat's amount after the factors."""
+    state, the factor on an insult's weight, and a threat's amount after the factors;
+    and the states of the parts that each of its states stands for."""
     states = list(product(*(range(p.states) for p in parts)))
     number = {s: i for i, s in enumerate(states)}
     table = {}
@@ -115,10 +137,12 @@ def compose(*parts: Transducer) -> dict[tuple[int, int], tuple[int, float, float
         steps = [p.step(s, symbol) for p, s in zip(parts, state, strict=True)]
         factor = math.prod(f for _, f, _ in steps)
         table[number[state], symbol] = number[tuple(n for n, _, _ in steps)], factor, factor * sum(a for _, _, a in steps)
-    return table
+    return table, states
 
 
-GRAMMAR = compose(NEGATE, AIM, QUOTED, MENACE)
+GRAMMAR, STATES = compose(*PARTS)
+#: The state that the next clause of a line starts in: open quotation marks stay open.
+NEXT_CLAUSE = [STATES.index(tuple(s if p is QUOTED and s >= QUOTING else 0 for p, s in zip(PARTS, state, strict=True))) for state in STATES]
 
 
 class Scorer:
@@ -146,34 +170,41 @@ class Scorer:
                         return True
         return False
 
-    def clause(self, clause: str) -> tuple[float, int]:
-        """What the grammar puts out for a clause, and the insults in it."""
-        state, total, insults = 0, 0.0, 0
+    def clause(self, clause: str, state: int = 0) -> tuple[float, int]:
+        """What the grammar puts out for a clause, and the state the next one starts in."""
+        total = 0.0
         for token in _TOKEN.findall(clause):
             weight = self.weight(token)
-            symbol = INSULT if weight else _SYMBOL.get(token, OTHER)
-            state, factor, amount = GRAMMAR[state, symbol]
+            state, factor, amount = GRAMMAR[state, INSULT if weight else _SYMBOL.get(token, OTHER)]
             total += weight * factor + amount
-            insults += symbol == INSULT
-        return total, insults
+        return total, NEXT_CLAUSE[state]
+
+    def clauses(self, text: str) -> list[float]:
+        """What the grammar puts out for each clause of a text in lower case."""
+        found = []
+        for line in text.split("\n"):
+            state = 0
+            for clause in _CLAUSE.split(_SAYING.sub(r"\1 ", line)):
+                total, state = self.clause(clause, state)
+                found.append(total)
+        return found
 
     def features(self, text: str) -> tuple[float, ...]:
-        """Logarithms of the total, of the total per 100 words, of the heaviest clause
-        and of the number of insults."""
+        """Logarithms of the total, of the total per 100 words, and of the heaviest clause."""
         text = text.lower()
         runs = text.split()
         # Without an insult or a threat verb no clause puts anything out.
         if not self.look_up(runs):
-            return 0.0, 0.0, 0.0, 0.0
-        scores = [self.clause(c) for c in _CLAUSE.split(text)]
-        total, most, n = sum(x for x, _ in scores), max(x for x, _ in scores), sum(n for _, n in scores)
-        return math.log1p(total), math.log1p(100 * total / (len(runs) + 20)), math.log1p(most), math.log1p(n)
+            return 0.0, 0.0, 0.0
+        scores = self.clauses(text)
+        total = sum(scores)
+        return math.log1p(total), math.log1p(100 * total / (len(runs) + 20)), math.log1p(max(scores))
 
 
 @dataclass(frozen=True)
 class Model:
     lexicon: dict[str, float]
-    curve: tuple[float, ...] = (-4.0, 0.8, 0.8, 0.8, 0.0)
+    curve: tuple[float, ...] = (-4.0, 0.8, 0.8, 0.8)
 
     def probability(self, features: tuple[float, ...]) -> float:
         z = self.curve[0] + sum(c * f for c, f in zip(self.curve[1:], features, strict=True))
@@ -201,17 +232,23 @@ def weights(counts: list[tuple[str, float, float]], toxic: float, clean: float)
 
 
 def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
-    """Logistic regression with a light ridge, by Newton steps."""
-    x = np.column_stack([np.ones(len(x)), x])
-    beta = np.zeros(x.shape[1])
-    ridge = np.diag([1e-3] + [0.3] * (x.shape[1] - 1))
-    for _ in range(60):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -35, 35)))
-        step = np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + ridge, x.T @ (p - y) + ridge @ beta)
-        beta -= np.clip(step, -3, 3)
-        if np.abs(step).max() < 1e-8:
-            break
-    return tuple(float(b) for b in beta)
+    """Logistic regression with a light ridge and no negative coefficient, by Newton
+    steps: columns that would get one leave, the lowest first, and the rest is fit anew."""
+    used = list(range(x.shape[1]))
+    while True:
+        z = np.column_stack([np.ones(len(x)), x[:, used]])
+        beta = np.zeros(z.shape[1])
+        ridge = np.diag([1e-3] + [0.3] * len(used))
+        for _ in range(60):
+            p = 1 / (1 + np.exp(-np.clip(z @ beta, -35, 35)))
+            step = np.linalg.solve(z.T @ (z * (p * (1 - p))[:, None]) + ridge, z.T @ (p - y) + ridge @ beta)
+            beta -= np.clip(step, -3, 3)
+            if np.abs(step).max() < 1e-8:
+                break
+        if not used or beta[1:].min() >= 0:
+            found = dict(zip(used, beta[1:], strict=True))
+            return (float(beta[0]), *(float(found.get(i, 0.0)) for i in range(x.shape[1])))
+        used.pop(int(np.argmin(beta[1:])))
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_DOCS) -> Model:
@@ -256,9 +293,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most:
         for batch in batches:
             rows = batch.to_pylist()
             found = [scorers[r["fold"]].features(r["text"]) for r in rows]
-            yield pa.record_batch([batch.column("toxic"), *(pa.array([f[i] for f in found], pa.float64()) for i in range(4))], ["toxic", *"abcd"])
+            yield pa.record_batch([batch.column("toxic"), *(pa.array([f[i] for f in found], pa.float64()) for i in range(3))], ["toxic", *"abc"])
 
-    rows = sorted(tuple(r) for r in sample.mapInArrow(features, "toxic boolean, a double, b double, c double, d double").collect())
+    rows = sorted(tuple(r) for r in sample.mapInArrow(features, "toxic boolean, a double, b double, c double").collect())
     stages.drop(sample)
     return Model(lexicon(list(range(FOLDS))), logistic(np.array([r[1:] for r in rows]), np.array([r[0] for r in rows], dtype=float)))
 

@@ -420,13 +420,76 @@ def test_labels_of_held_out_documents_are_not_read(spark, docs, labels):
 
 def test_grammar_weighs_context():
     scorer = toxicity.Scorer({})
-    total = lambda text: sum(scorer.clause(c)[0] for c in toxicity._CLAUSE.split(text.lower()))
+    total = lambda text: sum(scorer.clauses(text.lower()))
     assert total("you are an idiot") > total("an idiot") > total("not an idiot") > 0
     assert total("he said an idiot") < total("an idiot")
     assert total("i will kill you") > 0 == total("kill the process")
     assert total("not now, an idiot") == total("an idiot")  # a clause ends the negation
 
 
+def test_reported_speech_is_lighter_inside_quotation_marks():
+    total = lambda text: sum(toxicity.Scorer({}).clauses(text.lower()))
+    plain, said, quoted = total("you are an idiot"), total("he said you are an idiot"), total('he said "you are an idiot"')
+    assert plain > said > quoted > 0
+    for text in ('he said: "you are an idiot"', 'he said, "you are an idiot"', "he wrote « you are an idiot »", 'he said "well. you are an idiot"'):
+        assert total(text) == quoted, text
+    # What follows the closing mark, another clause or another line is not reported.
+    for text in ('he said "hello" you are an idiot', "he said hello. you are an idiot", 'he said "hello\nyou are an idiot'):
+        assert total(text) == plain, text
+
+
+def test_composed_table_equals_its_transducers_one_by_one():
+    r = random.Random(17)
+    for _ in range(200):
+        symbols, state, states = [r.randrange(7) for _ in range(30)], 0, [0] * len(toxicity.PARTS)
+        for s in symbols:
+            factor, amount = 1.0, 0.0
+            for i, part in enumerate(toxicity.PARTS):
+                states[i], f, a = part.step(states[i], s)
+                factor, amount = factor * f, amount + a
+            state, got, put = toxicity.GRAMMAR[state, s]
+            assert toxicity.STATES[state] == tuple(states) and got == pytest.approx(factor) and put == pytest.approx(factor * amount)
+            if r.random() < 0.2:  # a clause ends: only open quotation marks stay
+                state = toxicity.NEXT_CLAUSE[state]
+                at = toxicity.PARTS.index(toxicity.QUOTED)
+                states = [s if i == at and s >= toxicity.QUOTING else 0 for i, s in enumerate(states)]
+                assert toxicity.STATES[state] == tuple(states)
+
+
+def test_curve_never_falls():
+    import numpy as np
+
+    r = np.random.RandomState(5)
+    x = np.abs(r.randn(400, 3))
+    y = (x[:, 0] - 2 * x[:, 1] + 0.3 * r.randn(400) > 0).astype(float)
+    curve = toxicity.logistic(x, y)
+    assert curve[1] > 0 and curve[2] == 0 and min(curve[1:]) >= 0
+
+
+def test_learned_model_orders_sentences(spark):
+    d = "/root/testdata/sf0.01"
+    model = toxicity.fit_toxicity(spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet"))
+    assert min(model.curve[1:]) >= 0
+    scorer = toxicity.Scorer(model.lexicon)
+    texts = ["you are an idiot.", "he said you are an idiot.", 'he said "you are an idiot."', "you are not an idiot.", "you are a friend."]
+    scores = [model.probability(scorer.features(t)) for t in texts]
+    assert scores == sorted(scores, reverse=True) and scores[0] >= toxicity.THRESHOLD > scores[3] > scores[4]
+
+
+def test_filter_drops_planted_toxic_texts_and_keeps_the_others(spark):
+    r = random.Random(21)
+    d = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
+    clean = lambda n: " ".join(r.choice(["the", "house", "river", "and", "slowly", "green", "walks", "over"]) for _ in range(n))
+    insults = ["you are a worthless idiot", "they are pathetic vermin", "shut up you disgusting moron", "you stupid loser, i will kill you"]
+    planted = [(10**7 + i, ". ".join([clean(12), *r.sample(insults, 3), clean(12)]) + ".") for i in range(20)]
+    others = [(10**7 + 100 + i, clean(60) + ".") for i in range(20)] + [(10**7 + 200, None), (None, ""), (None, clean(9))]
+    given = docs.limit(0).unionByName(spark.createDataFrame(planted + others, "doc_id long, text string"), allowMissingColumns=True)
+    kept = toxicity.drop_toxic(docs.unionByName(given), labels).where("doc_id IS NULL OR doc_id >= 10000000")
+    assert kept.columns == docs.columns
+    assert sorted(((x["doc_id"], x["text"]) for x in kept.collect()), key=str) == sorted(others, key=str)
+
+
 # ---- pipeline
 
 
