@@ -57,6 +57,7 @@ def main() -> None:
         for report in {**REPORTS, **DASHBOARD}.values():
             report(warm).collect()
         build_marts(spark, warm)
+        csv_roundtrip(spark, staging_submissions(spark, warm_dir), dataset_name(warm_dir) + "-warmup").write.format("noop").mode("overwrite").save()
     else:
         spark.read.parquet(f"{sf_dir}/region.parquet").collect()
         cold = None
