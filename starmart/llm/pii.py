@@ -2,13 +2,18 @@
 transitions that adds spans the patterns miss.
 
 The patterns (email, ip, card, phone) mark every whole text; their spans always
-stay. They also label the windows that the network learns from, a bounded sample.
+stay. They also label the windows that the network learns from, a bounded sample. What
+no pattern marks is planted there with its label: phone numbers without their prefix,
+and secrets (tokens, keys, passwords) written in many ways among the sample's words, beside
+harmless values written alike. So the network finds a fifth kind, ``secret``.
 The network is written and trained in numpy. It reads every stretch of text that
-holds a digit or an at sign - no span of these four kinds is without one - in
+holds a digit or an at sign - no span of these kinds is without one - in
 overlapping windows; each character takes its tag from the window it lies most
 central in, and spans are read off the tags of the whole text. A span of the
 network is added where it meets no base span and no match that a pattern's own
-check (octets, Luhn, digit counts) has thrown out.
+check (octets, Luhn, digit counts) has thrown out. A secret takes the whole run of its
+characters, of which the network must have marked half or more; digits in it that look like
+a failed card number do not matter.
 
 Positions are code points, ends exclusive. Defined results: a null or empty text
 has no spans; without any labelled window only the patterns work; repeated rows
@@ -19,6 +24,7 @@ table gives no rows.
 from __future__ import annotations
 
 import hashlib
+import random
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -28,15 +34,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone")
-EMAIL, IP, CARD, PHONE = range(4)
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
+EMAIL, IP, CARD, PHONE, SECRET = range(5)
 Span = tuple[int, int, int]  # start, kind, end: sorted as spans are listed
 
 #: Characters a window has, and from one window's start to the next's.
 WINDOW, STRIDE = 80, 40
 #: Most documents and windows that the network learns from.
 TRAIN_DOCS, TRAIN_WINDOWS = 3000, 3000
-HIDDEN, BATCH, STEPS, RATE = 16, 64, 150, 0.03
+HIDDEN, BATCH, STEPS, RATE = 16, 64, 350, 0.03
 
 _SEEN = re.compile(r"[0-9@]")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
@@ -45,6 +52,7 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _IP = re.compile(r"(?<![0-9])[0-9]+\.[0-9]+\.[0-9]+\.[0-9]+")
 _CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 _PREFIX = re.compile(r"\+[0-9]{1,3}[\x20-]+(?=[0-9(])")
+_RUN = re.compile(r"[A-Za-z0-9_+/=-]+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 
@@ -304,16 +312,38 @@ def _plausible(kind: int, text: str) -> bool:
     n = sum("0" <= c <= "9" for c in text)
     if kind == EMAIL:
         return "@" in text[1:-1]
+    if kind == SECRET:
+        return len(text) >= LEAST_SECRET and n >= 2 and sum(c.isalpha() for c in text) >= 2
     return n >= 4 and text.count(".") >= 3 if kind == IP else n >= (12 if kind == CARD else 7)
 
 
+def _whole_run(text: str, span: Span) -> Span | None:
+    """The run of characters of a secret that a span lies in, if it marks half of it."""
+    s, k, e = span
+    runs = [m.span() for m in _RUN.finditer(text, _run_start(text, s), e + 200)]
+    most = max(runs, key=lambda r: min(e, r[1]) - max(s, r[0]), default=None)
+    if most is None or 2 * (min(e, most[1]) - max(s, most[0])) < most[1] - most[0]:
+        return None
+    return most[0], k, most[1]
+
+
+def _run_start(text: str, at: int) -> int:
+    while at and _RUN.match(text[at - 1]):
+        at -= 1
+    return at
+
+
 def added_spans(text: str, starts: list[int], tags: np.ndarray, base: list[Span], dropped: list[Span]) -> list[Span]:
     """The network's spans that meet no base span and no match thrown out."""
-    taken = sorted((s, e) for s, _, e in base + dropped)
-    out, j = [], 0
-    for s, k, e in sorted(_reconcile(starts, tags, len(text))):
-        if _plausible(k, text[s:e]) and not any(a < e and s < b for a, b in taken):
-            out.append((s, k, e))
+    out: list[Span] = []
+    for span in sorted(_reconcile(starts, tags, len(text))):
+        whole = _whole_run(text, span) if span[1] == SECRET else span
+        if whole is None or (out and whole[0] < out[-1][2]):
+            continue
+        s, k, e = whole
+        taken = base if k == SECRET else base + dropped
+        if _plausible(k, text[s:e]) and not any(a < e and s < b for a, _, b in taken):
+            out.append(whole)
     return out
 
 
@@ -330,6 +360,45 @@ def _without_prefix(window: str, tags: np.ndarray) -> tuple[str, np.ndarray] | N
     return window[:a] + window[b:], tags
 
 
+#: A secret has this many characters at least.
+LEAST_SECRET = 16
+_NAMES = "token key secret password passwd api_key apikey access_token auth private_key client_secret".split()
+_ASSIGN = (" = ", "=", ": ", ":", " : ", " => ")
+_SIGNS = {
+    "hex": "0123456789abcdef",
+    "HEX": "0123456789ABCDEF",
+    "mixed": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789",
+    "base64": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/",
+}
+
+
+def planted(text: str, seed: int) -> tuple[str, np.ndarray]:
+    """A window of the text with a secret written into it (one time in four a harmless
+    value in its place), cut anywhere around it, and its tags."""
+    r = random.Random(seed)
+    at = r.randrange(len(text) + 1)
+    name, quote = r.choice(_NAMES), r.choice(["'", '"', '"', ""])
+    name = r.choice([name, name.upper(), name.capitalize()])
+    signs = _SIGNS[r.choice(list(_SIGNS))]
+    value = "".join(r.choice(signs) for _ in range(r.choice([20, 24, 32, 40, 40, 48, 64])))
+    kind = SECRET
+    if r.random() < 0.25:
+        words = re.findall(r"[^\W\d_]+", text) or ["none"]
+        value, kind = r.choice([r.choice(words), " ".join(r.choices(words, k=3)), str(r.randrange(10**6)), f"{r.randrange(9)}.{r.randrange(20)}"]), None
+    lead = text[max(0, at - 40) : at].rstrip() + " " + name + r.choice(_ASSIGN) + quote
+    whole = lead + value + quote + r.choice([" ", ", ", "\n", "; ", "!! ", "*** "]) + text[at : at + WINDOW]
+    low = max(0, len(lead) - WINDOW + 20)
+    start = r.randint(low, max(low, len(lead) + len(value) - 10))
+    spans = [] if kind is None else [(len(lead), kind, len(lead) + len(value))]
+    return whole[start : start + WINDOW], _tags(start, spans)
+
+
+def unlabelled(window: str, tags: np.ndarray) -> bool:
+    """Whether a window holds a run that may be a secret and has no label: it would teach
+    that secrets are none, so it is left out of the sample."""
+    return any(_plausible(SECRET, m.group()) and not tags[m.start() : m.end()].any() for m in _RUN.finditer(window))
+
+
 def _tags(start: int, spans: list[Span]) -> np.ndarray:
     out = np.zeros(WINDOW, dtype=np.int8)
     for s, k, e in spans:
@@ -338,7 +407,10 @@ def _tags(start: int, spans: list[Span]) -> np.ndarray:
             out[a:b] = 2 + 2 * k
             if s >= start:
                 out[a] = 1 + 2 * k
-            # A span cut by the window's start is left out, as its beginning is not seen.
+            # A span cut by the window's start is left out, as its beginning is not seen;
+            # a secret can be longer than windows overlap, and goes on.
+            elif k == SECRET:
+                out[a] = 1 + 2 * k
             else:
                 out[a:b] = 0
     return out
@@ -411,9 +483,15 @@ def fit_pii(docs: DataFrame, most: int = TRAIN_DOCS, windows: int = TRAIN_WINDOW
             rows = []
             for text in {t for _, some in _texts(batch) for t in some}:
                 spans, _ = base_spans(text)
+                digest = hashlib.md5(text.encode("utf-8", "replace")).hexdigest()
+                for seed in (digest[:15], digest[15:30]):
+                    w, t = planted(text, int(seed, 16))
+                    rows.append((hashlib.md5(w.encode("utf-8", "replace")).hexdigest(), _classes(w).tobytes(), t.tobytes()))
                 for s in window_starts(text):
                     window = text[s : s + WINDOW]
                     tags = _tags(s, spans)
+                    if unlabelled(window, tags):
+                        continue
                     for w, t in filter(None, ((window, tags), _without_prefix(window, tags))):
                         rows.append((hashlib.md5(w.encode("utf-8", "replace")).hexdigest(), _classes(w).tobytes(), t.tobytes()))
             yield pa.record_batch([pa.array([r[i] for r in rows], t) for i, t in enumerate((pa.string(), pa.binary(), pa.binary()))], ["h", "x", "y"])
@@ -431,7 +509,7 @@ def _listed(spans: list[Span]) -> str:
 
 def pii_spans(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     """doc_id, the number of base spans of each kind, the digest of the base spans,
-    all spans as text, and how many of them the network added."""
+    all spans as text, how many of them the network added, and how many there are."""
     kind = dict(docs.dtypes)["doc_id"]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -441,14 +519,14 @@ def pii_spans(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
                 columns = [pa.array([sum(k == n for _, k, _ in base) for base, _ in found], pa.int64()) for n in range(4)]
                 digests = [hashlib.sha256(_listed(base).encode()).hexdigest() for base, _ in found]
                 every = [_listed(sorted(base + added)) for base, added in found]
-                n_added = [len(added) for _, added in found]
+                n_added, n_spans = [len(added) for _, added in found], [len(base) + len(added) for base, added in found]
                 yield pa.record_batch(
-                    [part.column("doc_id"), *columns, pa.array(digests, pa.string()), pa.array(every, pa.string()), pa.array(n_added, pa.int64())],
-                    ["doc_id", *(f"n_{k}" for k in KINDS), "base_sha256", "spans", "n_added"],
+                    [part.column("doc_id"), *columns, pa.array(digests, pa.string()), pa.array(every, pa.string()), pa.array(n_added, pa.int64()), pa.array(n_spans, pa.int64())],
+                    ["doc_id", *(f"n_{k}" for k in BASE_KINDS), "base_sha256", "spans", "n_added", "n_spans"],
                 )
 
-    counts = ", ".join(f"n_{k} long" for k in KINDS)
-    return docs.select("doc_id", "text").mapInArrow(mark, f"doc_id {kind}, {counts}, base_sha256 string, spans string, n_added long")
+    counts = ", ".join(f"n_{k} long" for k in BASE_KINDS)
+    return docs.select("doc_id", "text").mapInArrow(mark, f"doc_id {kind}, {counts}, base_sha256 string, spans string, n_added long, n_spans long")
 
 
 def pii(docs: DataFrame) -> DataFrame:
