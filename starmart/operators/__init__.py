@@ -1,7 +1,7 @@
 """Relational building blocks composed from DataFrame operators."""
 
 from starmart.operators.clean import clean_submissions, string_columns
-from starmart.operators.dedupe import keep_first, keep_latest
+from starmart.operators.dedupe import chosen_rows, keep_first, keep_latest, take_rows
 from starmart.operators.dense_ids import with_dense_id
 from starmart.operators.lookup import (
     broadcast_if_within,
@@ -18,6 +18,7 @@ from starmart.operators.spread import scan_splits, spread
 __all__ = [
     "asc",
     "broadcast_if_within",
+    "chosen_rows",
     "clean_submissions",
     "desc",
     "fact_measures",
@@ -35,6 +36,7 @@ __all__ = [
     "stored_bytes",
     "stored_rows",
     "string_columns",
+    "take_rows",
     "top_k",
     "with_dense_id",
 ]
