@@ -12,12 +12,13 @@ from pyspark.sql import functions as F
 
 from starmart.operators.clean import clean_submissions
 from starmart.operators.dense_ids import with_dense_id
+from starmart.operators.lookup import stored_rows
 from starmart.operators.ordering import desc, ordered
 from starmart.plans.reports import q07
 from starmart.plans.star import dim_author_rows
 from starmart.sources.csv import read_submissions_csv, write_submissions_csv
 from starmart.sources.schemas import DIM_AUTHOR_COLUMNS, RAW_COLUMNS, ROW_KEY
-from starmart.sources.warehouse import STAR_TABLES, Star, dataset_base, read_star, write_star
+from starmart.sources.warehouse import STAR_TABLES, Star, dataset_base, read_star, write_star, write_table
 
 CLEAN_COLUMNS = (*RAW_COLUMNS, "selection_level", "publication_type")
 
@@ -87,14 +88,24 @@ def csv_edge(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
     return csv_roundtrip(spark, edge_cells(raw), dataset)
 
 
-def csv_one_file(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
-    """Every title with commas, quotes and line breaks, all rows in one CSV file: the
-    reader splits it by block, though its records run over lines. (One file is the case
-    to read here; loads write as many as they have tasks.)"""
+#: Rows of one CSV file; one task writes it. About 0.6 GB of records over several lines.
+ROWS_PER_FILE = 4_000_000
+
+
+def csv_one_file(spark: SparkSession, raw: DataFrame, dataset: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+    """Every title with commas, quotes and line breaks, all rows in one CSV file, or beyond
+    ``rows_per_file`` in some files of at most so many rows: the reader splits them by block,
+    though their records run over lines. (Large files are the case to read here; loads write
+    as many as they have tasks. One file has one writer, so its rows are bounded.)"""
     lines = F.concat(F.lit('say "'), F.col("titulo_livro"), F.lit('",\n\n"two"\r\nthree'))
     path = _csv_folder(spark, dataset)
-    write_submissions_csv(raw.withColumn("titulo_livro", lines).repartition(1), path)
-    return clean_submissions(read_submissions_csv(spark, path)).select(*CLEAN_COLUMNS)
+    rows = raw.withColumn("titulo_livro", lines).select(*RAW_COLUMNS)
+    # Stored first: their number is known, the joins run once, and a writer reads packed
+    # columns of some splits instead of a shuffle of whole rows.
+    write_table(rows, f"{path}/rows")
+    files = max(1, -(-stored_rows(spark, f"{path}/rows") // rows_per_file))
+    write_submissions_csv(spark.read.parquet(f"{path}/rows").coalesce(files), f"{path}/csv", file_rows=rows_per_file)
+    return clean_submissions(read_submissions_csv(spark, f"{path}/csv")).select(*CLEAN_COLUMNS)
 
 
 def author_missing_year(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:

@@ -96,8 +96,9 @@ def read_submissions_csv(spark: SparkSession, path: str, multiline: bool = True)
     return _submissions(rows, F.col("number"), lambda c: F.col("cells")[c])
 
 
-def write_submissions_csv(df: DataFrame, path: str, columns=RAW_COLUMNS) -> None:
-    """Write the raw columns (or ``columns``) as CSV with header; padding is kept verbatim."""
+def write_submissions_csv(df: DataFrame, path: str, columns=RAW_COLUMNS, file_rows: int = 0) -> None:
+    """Write the raw columns (or ``columns``) as CSV with header; padding is kept verbatim.
+    ``file_rows`` bounds the rows of a file (0: one file per task)."""
     (
         df.select(*columns)
         .write.mode("overwrite")
@@ -107,5 +108,6 @@ def write_submissions_csv(df: DataFrame, path: str, columns=RAW_COLUMNS) -> None
         .option("escape", '"')
         .option("ignoreLeadingWhiteSpace", False)
         .option("ignoreTrailingWhiteSpace", False)
+        .option("maxRecordsPerFile", file_rows)
         .csv(path)
     )

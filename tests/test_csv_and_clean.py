@@ -177,3 +177,22 @@ def test_first_raw_row_follows_file_order(spark):
     star = build_star(spark, read_submissions_csv(spark, folder), PRIZE_YEARS, dataset=f"test-order-{uuid.uuid4().hex[:6]}")
     seats = {r.publisher_name: r.publisher_seat for r in star.dim_publisher.collect()}
     assert seats == {"Editora P": "primeira"}
+
+
+def test_one_writer_never_gets_more_than_a_bounded_file(spark):
+    """Few rows go in one CSV file; more go in files of bounded size, all rows once."""
+    import glob
+    import uuid
+
+    from starmart.plans.etl import csv_one_file
+    from starmart.sources.warehouse import dataset_base
+
+    raw = raw_frame(spark, [{"nome_autor": f"A{i}"} for i in range(50)])
+    for rows_per_file, files in ((50, 1), (20, 3)):
+        dataset = f"test-one-file-{uuid.uuid4().hex[:6]}"
+        got = csv_one_file(spark, raw, dataset, rows_per_file=rows_per_file).collect()
+        assert sorted(r["nome_autor"] for r in got) == sorted(f"A{i}" for i in range(50))
+        assert {r["titulo_livro"] for r in got} == {'say "Livro",\n\n"two"\r\nthree'}
+        written = glob.glob(f"{dataset_base(spark, dataset).removeprefix('file:')}/csv/*/csv/part-*")
+        assert len(written) == files
+        assert all(open(f, newline="").read().count("three") <= rows_per_file for f in written)
