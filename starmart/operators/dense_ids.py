@@ -51,16 +51,20 @@ def with_dense_id(
     rows_per_range: int = DEFAULT_ROWS_PER_RANGE,
     rows: int | None = None,
     at_most: int | None = None,
+    keep: list[str] | None = None,
 ) -> DataFrame:
     """Add ``id_col`` = 1..n (long) following ``order`` ascending.
 
     ``workdir`` is a folder in shared storage for the ranked copy; ``rows`` is
     the row count when the caller knows it (saves a count job); ``at_most`` is
     a known upper bound of it - where one range would do, no count is needed.
+    ``keep`` names the columns to return (default: all); others are used for the
+    order and not stored.
     """
     sort_cols = _sort_columns(order, nulls_last)
+    keep = df.columns if keep is None else keep
     if at_most is not None and at_most <= min(rows_per_range, MIN_ROWS_PER_RANGE):
-        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
+        return df.select(*keep, F.row_number().over(Window.orderBy(*sort_cols)).cast("long").alias(id_col))
     n = df.count() if rows is None else rows
     spark: SparkSession = df.sparkSession
     # Enough ranges to bound each task, and to keep every core busy when large.
@@ -68,14 +72,15 @@ def with_dense_id(
     ranges = max(1, min(math.ceil(n / rows_per_range), MAX_RANGES), parallel)
     if ranges == 1:
         # One range: few rows, or a single core.
-        return df.withColumn(id_col, F.row_number().over(Window.orderBy(*sort_cols)).cast("long"))
+        return df.select(*keep, F.row_number().over(Window.orderBy(*sort_cols)).cast("long").alias(id_col))
 
     path = f"{workdir}/ranked-{uuid.uuid4().hex[:12]}"
     (
         df.repartitionByRange(ranges, *sort_cols)
         .sortWithinPartitions(*sort_cols)
-        .withColumn("__stamp", F.monotonically_increasing_id())
+        .select(*keep, F.monotonically_increasing_id().alias("__stamp"))
         .write.mode("overwrite")
+        .option("compression", "zstd")
         .parquet(path)
     )
     ranked = spark.read.parquet(path).withColumn("__range", F.shiftright("__stamp", _POSITION_BITS))

@@ -245,16 +245,14 @@ def build_star(
                 # numbering task, dedupe and ids in a single job.
                 numbered = with_dense_id(rows, order, id_col, workdir=work, at_most=clean_rows, rows_per_range=rows_per_range)
             else:
-                # Materialise the dedupe once; counting and numbering read it.
-                keys = _materialize(spark, rows, f"{work}/{name}")
-                numbered = with_dense_id(
-                    keys,
-                    order,
-                    id_col,
-                    workdir=work,
-                    rows_per_range=rows_per_range,
-                    rows=stored_rows(spark, f"{work}/{name}"),
-                )
+                # Materialise the dedupe once; counting and numbering read it. (Books that
+                # were chosen where rows find them are a projection of a stored table.)
+                if name == "dim_book" and by_book:
+                    keys, n = rows, rows.count()
+                else:
+                    keys = _materialize(spark, rows, f"{work}/{name}")
+                    n = stored_rows(spark, f"{work}/{name}")
+                numbered = with_dense_id(keys, order, id_col, workdir=work, rows_per_range=rows_per_range, rows=n)
             # The book's row number stays in the stored table; readers select the dimension's columns.
             more = [c for c in numbered.columns if c == "book_row"]
             return name, _materialize(spark, numbered.select(*cols, *more), f"{run}/{name}")

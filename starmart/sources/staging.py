@@ -8,6 +8,9 @@ engine can derive the very same rows (see ``starmart.oracle``).
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import add
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -81,10 +84,14 @@ def staging_submissions(
     Joins whose side has a checked row count within ``broadcast_rows`` run
     map-side on the line stream; larger sides stay shuffle joins.
     """
-    lineitem = _table(spark, sf_dir, "lineitem").select(*ROW_KEY_FIELDS, "l_discount", "l_returnflag", "l_linestatus")
+    # Of the discount and the two flags just the number of flags hit goes on: one byte a line.
+    hit = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
+    hits = [F.when(hit & (F.col("l_discount") >= least), 1).otherwise(0) for _, least in _FLAG_MIN_DISCOUNT]
+    lineitem = _table(spark, sf_dir, "lineitem").select(*ROW_KEY_FIELDS, reduce(add, hits).cast("byte").alias("hits"))
     row_key = F.struct(*[F.col(c) for c in ROW_KEY_FIELDS])
     if workdir:
-        lineitem = with_dense_id(lineitem, list(ROW_KEY_FIELDS), "line_number", workdir=workdir)
+        keep = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "hits"]
+        lineitem = with_dense_id(lineitem, list(ROW_KEY_FIELDS), "line_number", workdir=workdir, keep=keep)
         row_key = F.col("line_number") - 1
     lineitem = spread(lineitem, scan_splits(lineitem))
 
@@ -118,12 +125,10 @@ def staging_submissions(
 
     line = F.col("l_linenumber")
     suppkey = F.col("l_suppkey")
-    hit_base = (F.col("l_returnflag") == "R") & (F.col("l_linestatus") == "F")
     flags = []
-    for name, min_discount in _FLAG_MIN_DISCOUNT:
-        hit = hit_base & (F.col("l_discount") >= min_discount)
+    for least_hits, (name, _) in enumerate(_FLAG_MIN_DISCOUNT, 1):  # by ascending discount
         flags.append(
-            F.when(hit, F.when(line == 1, F.lit("SIM ")).otherwise(F.lit("Sim")))
+            F.when(F.col("hits") >= least_hits, F.when(line == 1, F.lit("SIM ")).otherwise(F.lit("Sim")))
             .when(line == 7, F.lit(None).cast("string"))
             .otherwise(F.lit("Não"))
             .alias(name)

@@ -132,7 +132,7 @@ def drop_old_runs(spark: SparkSession, dataset: str, keep: int = 2, root: str |
 
 
 def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    writer = df.write.mode("overwrite")
+    writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)

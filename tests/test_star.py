@@ -285,3 +285,29 @@ def test_fact_check_rejects_missing_keys_and_rows(spark):
         check_fact(spark.createDataFrame([(1, 1, None, 1)], good.schema), 1)
     with pytest.raises(RuntimeError, match="2 fact rows for 3"):
         check_fact(good, 3)
+
+
+def test_numbering_stores_what_is_kept_and_books_are_not_copied(spark, monkeypatch):
+    """The lines' copy under their numbers holds no column that only orders them, and books
+    that were chosen in the stored exchange are numbered from it."""
+    from starmart.datasets import load_testdata
+    from starmart.operators.dense_ids import with_dense_id
+    from starmart.plans import star as star_plan
+    from starmart.sources import staging
+    from starmart.sources.warehouse import shared_root
+
+    from conftest import SF_SMALL
+
+    rows = spark.createDataFrame([(i, 1000 - i, i % 3) for i in range(1000)], "a int, b int, c int")
+    for rows_per_range in (100, 10**6):
+        got = with_dense_id(rows, ["b"], "id", workdir=f"{shared_root(spark)}/test-keep", rows_per_range=rows_per_range, keep=["a", "c"])
+        assert got.columns == ["a", "c", "id"]
+        assert all(r["id"] == 1000 - r["a"] for r in got.collect())
+
+    wide, written = [], []
+    number, write = staging.with_dense_id, star_plan.write_table
+    monkeypatch.setattr(staging, "with_dense_id", lambda *a, **k: wide.append((out := number(*a, **k)).columns) or out)
+    monkeypatch.setattr(star_plan, "write_table", lambda df, path, *a: written.append(path.rpartition("/")[2]) or write(df, path, *a))
+    load_testdata(spark, SF_SMALL, f"test-keep-{uuid.uuid4().hex[:6]}", broadcast_rows=0, rows_per_range=900)
+    assert wide == [["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "hits", "line_number"]]
+    assert written.count("dim_book") == 1 and written.count("by_book") == 1
