@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starmart.params import CSV_NULL_TOKENS, FLAG_YES
@@ -22,6 +22,24 @@ def unicode_strip(c: Column | str) -> Column:
     return F.btrim(F.col(c) if isinstance(c, str) else c, F.lit(STRIP_CHARS))
 
 
+def unicode_strip_all(df: DataFrame, names: list[str]) -> DataFrame:
+    """``unicode_strip`` of many columns. Text that starts and ends with a printable ASCII
+    character is kept without the trim's walk over all characters. One expression over an
+    array, as the same test written out for every column makes generated code that is too
+    long to be compiled."""
+    if not names:
+        return df
+
+    def stripped(text: Column) -> Column:
+        last = F.substring(text.cast("binary"), -1, 1)
+        plain = (text >= "!") & (text < "\x7f") & (last >= F.lit(bytearray(b"!"))) & (last < F.lit(bytearray(b"\x7f")))
+        return F.when(plain, text).otherwise(unicode_strip(text))
+
+    done = df.withColumn("__stripped", F.transform(F.array(*names), stripped))
+    at = {name: i for i, name in enumerate(names)}
+    return done.select(*[F.col("__stripped")[at[c]].alias(c) if c in at else F.col(c) for c in df.columns])
+
+
 def null_tokens_to_null(c: Column | str, tokens=CSV_NULL_TOKENS) -> Column:
     """Missing-value tokens of a CSV cell become null; other text is kept as is.
 

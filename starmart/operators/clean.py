@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starmart.functions.derive import publication_type, selection_level
-from starmart.functions.text import flag_to_int, unicode_strip
+from starmart.functions.text import flag_to_int, unicode_strip_all
 from starmart.sources.schemas import FLAG_COLUMNS, fill_values
 
 
@@ -22,21 +22,19 @@ def clean_submissions(raw: DataFrame) -> DataFrame:
 
     Order matters and follows the source ETL: strip first (so a whitespace-only
     cell becomes '' and is *not* filled), then fill, then parse the flags.
-    Everything happens in one projection, inside whole-stage codegen.
+    Everything is narrow; the strip is one expression over all text columns.
     """
-    text = set(string_columns(raw))
+    texts = unicode_strip_all(raw, string_columns(raw))
     fills = fill_values()
     cols = []
     for name in raw.columns:
         c = F.col(name)
-        if name in text:
-            c = unicode_strip(c)
         if name in fills:
             c = F.coalesce(c, F.lit(fills[name]))
         if name in FLAG_COLUMNS:
             c = flag_to_int(c)
         cols.append(c.alias(name))
-    stripped = raw.select(*cols)
+    stripped = texts.select(*cols)
     return stripped.withColumns(
         {
             "selection_level": selection_level(

@@ -137,3 +137,18 @@ def test_strip_property_against_python(spark):
         assert got == [v.strip() for v in values]
 
     check()
+
+
+def test_strip_of_many_columns_equals_the_strip_of_one(spark):
+    from starmart.functions.text import STRIP_CHARS, unicode_strip_all
+
+    texts = [None, "", " ", "a", " a", "a ", "é", "aé ", "\x7f", "a\x7f", "~", "!", "a b", "\xa0 ", "Não", "x\x00", '"q"']
+    texts += [f"{c}x" for c in STRIP_CHARS] + [f"x{c}" for c in STRIP_CHARS] + [f"{c}é{c}x" for c in STRIP_CHARS]
+    df = spark.createDataFrame([(i, t, t) for i, t in enumerate(texts)], "i int, a string, b string")
+    rows = unicode_strip_all(df, ["a", "b"]).collect()
+    assert rows[0].asDict().keys() == {"i", "a", "b"}
+    for r in rows:
+        want = None if texts[r["i"]] is None else texts[r["i"]].strip()
+        assert r["a"] == want and r["b"] == want, repr(texts[r["i"]])
+    # Only text with a white or non-ASCII end is trimmed character by character.
+    assert unicode_strip_all(df, []).columns == df.columns
