@@ -88,7 +88,7 @@ def csv_edge(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
     return csv_roundtrip(spark, edge_cells(raw), dataset)
 
 
-#: Rows of one CSV file; one task writes it. About 0.6 GB of records over several lines.
+#: Rows of one CSV file; one task writes it. About 0.7 GB of records of the test tables.
 ROWS_PER_FILE = 4_000_000
 
 
