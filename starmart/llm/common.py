@@ -11,6 +11,9 @@ from pyspark.sql import functions as F
 
 #: A word: a run of characters other than space and the ASCII controls 9 to 13.
 WORD_PATTERN = r"[^\x20\x09-\x0D]+"
+#: Most bytes of the rows that a task hands to Python at a time (one row at least).
+BATCH_BYTES = 2 << 20
+_BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -28,6 +31,17 @@ def shared_folder(spark: SparkSession) -> str:
     return root.rstrip("/")
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand rows to Python in batches of at most ``BATCH_BYTES``.
+
+    Spark's own bound is 64 MB or 10,000 rows. The JVM holds a batch outside its heap on
+    the way there and back, and Python the batch and what is made of it, so every
+    task that reads whole texts would take many times that. A session's lower bound stays."""
+    now = spark.conf.get(_BATCH_BYTES, None)
+    if now is None or not 0 < spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(now) <= BATCH_BYTES:
+        spark.conf.set(_BATCH_BYTES, f"{BATCH_BYTES}b")
+
+
 class Stages:
     """Tables an operator writes to the shared folder on its way.
 

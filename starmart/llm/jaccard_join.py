@@ -35,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from starmart.llm.common import Stages, components
+from starmart.llm.common import Stages, components, small_batches
 from starmart.llm.hashing import distinct, shingles, word_hashes
 from starmart.llm.trie import Trie, linking_pairs
 
@@ -96,7 +96,9 @@ def frequent_tokens(stages: Stages, docs: DataFrame, words: int = WORDS, most: i
         size = 0
 
         def several() -> pa.RecordBatch:
-            tokens = np.sort(np.concatenate(held))
+            tokens = np.concatenate(held)
+            held.clear()
+            tokens.sort()
             first = np.flatnonzero(np.concatenate(([True], tokens[1:] != tokens[:-1])))
             uses = np.diff(np.append(first, len(tokens)))
             many = uses >= SEVERAL
@@ -229,6 +231,7 @@ def _whole_sets(docs: DataFrame, nodes: DataFrame, words: int, percent: int, fre
 
 def similar_groups(docs: DataFrame, *, words: int = WORDS, percent: int = PERCENT, block: int = BLOCK) -> DataFrame:
     """doc_id, n_shingles and component_id (the least doc_id reachable by links)."""
+    small_batches(docs.sparkSession)
     stages = Stages(docs.sparkSession, "jaccard")
     frequent = frequent_tokens(stages, docs, words)
     sets = stages.write(_sets(docs, words, percent, frequent, whole=False), "sets")

@@ -34,6 +34,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starmart.llm.common import small_batches
+
 BASE_KINDS = ("email", "ip", "card", "phone")
 KINDS = (*BASE_KINDS, "secret")
 EMAIL, IP, CARD, PHONE, SECRET = range(5)
@@ -473,6 +475,7 @@ def _texts(batch: pa.RecordBatch, field: str = "text") -> Iterator[tuple[pa.Reco
 def fit_pii(docs: DataFrame, most: int = TRAIN_DOCS, windows: int = TRAIN_WINDOWS) -> Tagger | None:
     """Train the network on windows that the base patterns label, from the documents
     with the least hash among those with a digit or an at sign."""
+    small_batches(docs.sparkSession)
     seen = docs.where(F.col("text").rlike("[0-9@]")).select(F.xxhash64("text").alias("h"), "text")
     # The hashes alone are ordered; texts are only read up to the last of them, each text once.
     upto = seen.select("h").distinct().orderBy("h").limit(most).agg(F.max("h")).first()[0]
@@ -510,6 +513,7 @@ def _listed(spans: list[Span]) -> str:
 def pii_spans(docs: DataFrame, tagger: Tagger | None) -> DataFrame:
     """doc_id, the number of base spans of each kind, the digest of the base spans,
     all spans as text, how many of them the network added, and how many there are."""
+    small_batches(docs.sparkSession)
     kind = dict(docs.dtypes)["doc_id"]
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -547,6 +551,7 @@ def redact(text: str, spans: list[Span]) -> str:
 
 def redact_documents(docs: DataFrame, tagger: Tagger | None = None) -> DataFrame:
     """``docs`` with all spans redacted, and ``n_chars`` (if there) counted anew."""
+    small_batches(docs.sparkSession)
     tagger = tagger or fit_pii(docs)
     names = docs.columns
 

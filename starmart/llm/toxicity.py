@@ -39,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starmart.llm.common import Stages, held_out
+from starmart.llm.common import Stages, held_out, small_batches
 from starmart.llm.quality import training_rows
 
 #: Most labelled documents that weights and curve are learned from.
@@ -254,6 +254,7 @@ def logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, ...]:
 def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most: int = TRAIN_DOCS) -> Model:
     """Learn the lexicon and the curve. The curve is fit on features that each fold
     of the sample gets from the lexicon of the other folds."""
+    small_batches(docs.sparkSession)
     stages = Stages(docs.sparkSession, "toxicity")
     sample = training_rows(docs, labels, label, most).select(
         F.pmod(F.xxhash64(F.lit("fold"), "doc_id"), F.lit(FOLDS)).cast("int").alias("fold"),
@@ -303,6 +304,7 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, label: str = "toxic", most:
 def score_toxicity(docs: DataFrame, model: Model, threshold: float = THRESHOLD, keep: list[str] | None = None) -> DataFrame:
     """``keep`` columns (default doc_id) with held_out, score and predicted for every document."""
     keep = ["doc_id"] if keep is None else keep
+    small_batches(docs.sparkSession)
 
     def scores(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         scorer = Scorer(model.lexicon)

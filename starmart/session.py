@@ -1,5 +1,6 @@
 """Local session for tests and the benchmark. On a cluster, use the cluster's
-session as it is: the library never overrides session settings."""
+session as it is: the library never overrides session settings, save that operators on
+texts lower the bytes of a batch for Python (``starmart.llm.common.small_batches``)."""
 
 from __future__ import annotations
 

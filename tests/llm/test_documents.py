@@ -11,7 +11,7 @@ import pytest
 from conftest import SF_SMALL
 from llm_data import docs, labels, no_docs, no_labels  # noqa: F401
 
-from starmart.llm import jaccard_join, mixing, packing, pii, quality, sentence_dedup, toxicity
+from starmart.llm import common, jaccard_join, mixing, packing, pii, quality, sentence_dedup, toxicity
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -586,6 +586,39 @@ def test_filter_drops_planted_toxic_texts_and_keeps_the_others(spark):
 # ---- pipeline
 
 
+@pytest.mark.parametrize(
+    "operate",
+    [
+        lambda docs, labels: toxicity.drop_toxic(docs, labels),
+        lambda docs, labels: toxicity.score_toxicity(docs, toxicity.Model({})),
+        lambda docs, labels: jaccard_join.drop_near_duplicates(docs),
+        lambda docs, labels: pii.fit_pii(docs),
+        lambda docs, labels: pii.pii_spans(docs, None),
+        lambda docs, labels: pii.redact_documents(docs),
+    ],
+)
+def test_texts_reach_python_in_small_batches(spark, operate):
+    import pyarrow as pa
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.num_rows]), pa.array([b.nbytes])], ["n", "bytes"])
+
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    given = spark.range(0, 6000, 1, 1).selectExpr("id AS doc_id", "concat(id, ' ', repeat('river ', 300)) AS text")
+    labels = spark.createDataFrame([(0, 1, 1)], "doc_id long, toxic int, quality int")
+    try:
+        for bound, most in (("64m", common.BATCH_BYTES), ("100k", 100 << 10)):
+            spark.conf.set(key, bound)
+            operate(spark.createDataFrame([(1, "mail a@b.org now"), (2, None)], "doc_id long, text string"), labels)
+            found = given.mapInArrow(sizes, "n long, bytes long").collect()
+            assert sum(r["n"] for r in found) == 6000
+            assert max(r["bytes"] for r in found) <= 1.1 * most  # a lower bound of the session stays
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_pipeline_stages_match_plain_versions(spark, tmp_path):
     import corpus_pipeline
     from pyspark.sql import functions as F
