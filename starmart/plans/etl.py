@@ -12,13 +12,21 @@ from pyspark.sql import functions as F
 
 from starmart.operators.clean import clean_submissions
 from starmart.operators.dense_ids import with_dense_id
-from starmart.operators.lookup import stored_rows
 from starmart.operators.ordering import desc, ordered
 from starmart.plans.reports import q07
 from starmart.plans.star import dim_author_rows
 from starmart.sources.csv import read_submissions_csv, write_submissions_csv
 from starmart.sources.schemas import DIM_AUTHOR_COLUMNS, RAW_COLUMNS, ROW_KEY
-from starmart.sources.warehouse import STAR_TABLES, Star, dataset_base, read_star, write_star, write_table
+from starmart.sources.warehouse import (
+    STAR_TABLES,
+    Star,
+    dataset_base,
+    drop_folder,
+    free_shuffles,
+    read_star,
+    write_star,
+    write_table,
+)
 
 CLEAN_COLUMNS = (*RAW_COLUMNS, "selection_level", "publication_type")
 
@@ -90,22 +98,62 @@ def csv_edge(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
 
 #: Rows of one CSV file; one task writes it. About 0.7 GB of records of the test tables.
 ROWS_PER_FILE = 4_000_000
+#: Files that are on disk at a time: text takes many times the disk of packed columns.
+FILES_PER_ROUND = 8
 
 
-def csv_one_file(spark: SparkSession, raw: DataFrame, dataset: str, rows_per_file: int = ROWS_PER_FILE) -> DataFrame:
+def csv_one_file(
+    spark: SparkSession,
+    raw: DataFrame,
+    dataset: str,
+    rows_per_file: int = ROWS_PER_FILE,
+    files_per_round: int = FILES_PER_ROUND,
+) -> DataFrame:
     """Every title with commas, quotes and line breaks, all rows in one CSV file, or beyond
-    ``rows_per_file`` in some files of at most so many rows: the reader splits them by block,
+    ``rows_per_file`` in some files of at most so many: the reader splits them by block,
     though their records run over lines. (Large files are the case to read here; loads write
-    as many as they have tasks. One file has one writer, so its rows are bounded.)"""
+    as many as they have tasks. One file has one writer, so its rows are bounded.)
+
+    More rows than ``files_per_round`` files hold go through CSV in rounds: the files of a
+    round are written, read and cleaned, its cleaned rows are stored, and its files go before
+    the next, so the text on disk is bounded however many rows there are."""
     lines = F.concat(F.lit('say "'), F.col("titulo_livro"), F.lit('",\n\n"two"\r\nthree'))
     path = _csv_folder(spark, dataset)
     rows = raw.withColumn("titulo_livro", lines).select(*RAW_COLUMNS)
     # Stored first: their number is known, the joins run once, and a writer reads packed
     # columns of some splits instead of a shuffle of whole rows.
-    write_table(rows, f"{path}/rows")
-    files = max(1, -(-stored_rows(spark, f"{path}/rows") // rows_per_file))
-    write_submissions_csv(spark.read.parquet(f"{path}/rows").coalesce(files), f"{path}/csv", file_rows=rows_per_file)
-    return clean_submissions(read_submissions_csv(spark, f"{path}/csv")).select(*CLEAN_COLUMNS)
+    write_table(rows, f"{path}/rows", file_rows=rows_per_file)
+    free_shuffles(spark)
+    name = F.col("_metadata.file_name").alias("name")
+    stored = spark.read.parquet(f"{path}/rows").groupBy(name).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per file
+    rounds = _rounds([(r["name"], r["n"]) for r in stored], rows_per_file * files_per_round)
+    if len(rounds) <= 1:
+        clean = _through_files(spark, [f"{path}/rows"], sum(r["n"] for r in stored), f"{path}/csv", rows_per_file)
+        drop_folder(spark, f"{path}/rows")
+        return clean
+    for k, (names, n) in enumerate(rounds):
+        part = [f"{path}/rows/{name}" for name in names]
+        write_table(_through_files(spark, part, n, f"{path}/csv/{k}", rows_per_file), f"{path}/clean/{k}")
+        drop_folder(spark, f"{path}/csv/{k}")
+        free_shuffles(spark)
+    drop_folder(spark, f"{path}/rows")
+    return spark.read.parquet(*[f"{path}/clean/{k}" for k in range(len(rounds))])
+
+
+def _rounds(stored: list[tuple[str, int]], most: int) -> list[tuple[list[str], int]]:
+    """Files with their rows in groups of at most ``most`` rows, and the rows of each."""
+    out: list[tuple[list[str], int]] = []
+    for name, n in sorted(stored):
+        names, rows = out.pop() if out and out[-1][1] + n <= most else ([], 0)
+        out.append(([*names, name], rows + n))
+    return out
+
+
+def _through_files(spark: SparkSession, stored: list[str], rows: int, path: str, rows_per_file: int) -> DataFrame:
+    """Stored rows written to as few CSV files as may hold them, read back and cleaned."""
+    files = max(1, -(-rows // rows_per_file))
+    write_submissions_csv(spark.read.parquet(*stored).coalesce(files), path, file_rows=rows_per_file)
+    return clean_submissions(read_submissions_csv(spark, path)).select(*CLEAN_COLUMNS)
 
 
 def author_missing_year(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:

@@ -131,10 +131,19 @@ def drop_old_runs(spark: SparkSession, dataset: str, keep: int = 2, root: str |
     return old
 
 
-def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the files of shuffles go that nothing refers to any more. Spark deletes them when
+    the driver's garbage collection finds the shuffle gone, on an idle driver much later."""
+    spark._jvm.System.gc()
+
+
+def write_table(df: DataFrame, path: str, partition_by: list[str] | None = None, file_rows: int = 0) -> None:
+    """``file_rows`` bounds the rows of a file (0: as the session has it)."""
     writer = df.write.mode("overwrite").option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if file_rows:
+        writer = writer.option("maxRecordsPerFile", file_rows)
     writer.parquet(path)
 
 

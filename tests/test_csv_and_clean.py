@@ -196,3 +196,36 @@ def test_one_writer_never_gets_more_than_a_bounded_file(spark):
         written = glob.glob(f"{dataset_base(spark, dataset).removeprefix('file:')}/csv/*/csv/part-*")
         assert len(written) == files
         assert all(open(f, newline="").read().count("three") <= rows_per_file for f in written)
+
+
+def test_text_on_disk_is_bounded_however_many_rows(spark, monkeypatch):
+    """Rows of more files than a round holds go through CSV in rounds, all of them once."""
+    import glob
+    import uuid
+    from collections import Counter
+
+    from starmart.plans import etl
+    from starmart.sources.warehouse import dataset_base
+
+    dataset, write, held = f"test-rounds-{uuid.uuid4().hex[:6]}", etl.write_submissions_csv, []
+    base = dataset_base(spark, dataset).removeprefix("file:")
+
+    def text_rows():
+        return sum(open(f, newline="").read().count("three") for f in glob.glob(f"{base}/**/*.csv", recursive=True))
+
+    monkeypatch.setattr(etl, "write_submissions_csv", lambda *a, **k: (write(*a, **k), held.append(text_rows())))
+    names = [None if i % 7 == 0 else f"A{i % 20}" for i in range(50)]  # nulls and repeated rows
+    got = etl.csv_one_file(spark, raw_frame(spark, [{"nome_autor": a} for a in names]), dataset, rows_per_file=2)
+    rows = got.collect()
+    assert got.columns == list(etl.CLEAN_COLUMNS)
+    assert Counter(r["nome_autor"] for r in rows) == Counter(names)
+    assert {r["titulo_livro"] for r in rows} == {'say "Livro",\n\n"two"\r\nthree'}
+    assert sum(held) == 50 and max(held) <= 2 * etl.FILES_PER_ROUND
+
+
+def test_rounds_hold_every_file_once():
+    from starmart.plans.etl import _rounds
+
+    stored = [("c", 3), ("a", 4), ("b", 2), ("e", 9), ("d", 1)]
+    assert _rounds(stored, 6) == [(["a", "b"], 6), (["c", "d"], 4), (["e"], 9)]
+    assert _rounds([], 6) == []
