@@ -34,6 +34,14 @@ def stored_version(spark: SparkSession, path: str) -> tuple:
     return summary.getLength(), summary.getFileCount(), fs.getFileStatus(where).getModificationTime()
 
 
+def input_bytes(df: DataFrame) -> int:
+    """Length of the files that ``df`` is read from."""
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    files = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in df.inputFiles()]  # names come encoded
+    return sum(f.getFileSystem(conf).getFileStatus(f).getLen() for f in files)
+
+
 def stored_rows(spark: SparkSession, path: str) -> int:
     """Row count of a stored Parquet table (footer metadata), memoised."""
     return _memoised(spark, path, "rows", lambda: spark.read.parquet(path).count())

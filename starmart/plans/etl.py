@@ -9,9 +9,11 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from starmart.operators.clean import clean_submissions
 from starmart.operators.dense_ids import with_dense_id
+from starmart.operators.lookup import input_bytes
 from starmart.operators.ordering import desc, ordered
 from starmart.plans.reports import q07
 from starmart.plans.star import dim_author_rows
@@ -100,6 +102,9 @@ def csv_edge(spark: SparkSession, raw: DataFrame, dataset: str) -> DataFrame:
 ROWS_PER_FILE = 4_000_000
 #: Files that are on disk at a time: text takes many times the disk of packed columns.
 FILES_PER_ROUND = 8
+#: Input per part of the rows that are joined at a time, and the most parts: each reads all
+#: of the input anew, so beyond them the parts grow.
+PART_BYTES, MOST_PARTS = 1 << 30, 8
 
 
 def csv_one_file(
@@ -119,27 +124,38 @@ def csv_one_file(
     the next, so the text on disk is bounded however many rows there are."""
     lines = F.concat(F.lit('say "'), F.col("titulo_livro"), F.lit('",\n\n"two"\r\nthree'))
     path = _csv_folder(spark, dataset)
-    rows = raw.withColumn("titulo_livro", lines).select(*RAW_COLUMNS)
-    # Stored first: their number is known, the joins run once, and a writer reads packed
-    # columns of some splits instead of a shuffle of whole rows.
-    write_table(rows, f"{path}/rows", file_rows=rows_per_file)
-    free_shuffles(spark)
-    name = F.col("_metadata.file_name").alias("name")
-    stored = spark.read.parquet(f"{path}/rows").groupBy(name).agg(F.count(F.lit(1)).alias("n")).collect()  # a row per file
-    rounds = _rounds([(r["name"], r["n"]) for r in stored], rows_per_file * files_per_round)
+    # Stored first: their number is known, the joins run once for a row, and a writer reads
+    # packed columns of some splits instead of a shuffle of whole rows.
+    parts, stored = [], []
+    for part in _parts(raw.withColumn("titulo_livro", lines)):
+        parts.append(f"{path}/rows/{len(parts)}")
+        write_table(part.select(*RAW_COLUMNS), parts[-1], file_rows=rows_per_file)
+        free_shuffles(spark)
+        counts = spark.read.parquet(parts[-1]).groupBy(F.col("_metadata.file_name").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+        stored += [(f"{parts[-1]}/{r['name']}", r["n"]) for r in counts.collect()]  # a row per file
+    rounds = _rounds(stored, rows_per_file * files_per_round)
     if len(rounds) <= 1:
-        clean = _through_files(spark, [f"{path}/rows"], sum(r["n"] for r in stored), f"{path}/csv", rows_per_file)
+        clean = _through_files(spark, parts, sum(n for _, n in stored), f"{path}/csv", rows_per_file)
         drop_folder(spark, f"{path}/rows")
         return clean
     for k, (names, n) in enumerate(rounds):
-        part = [f"{path}/rows/{name}" for name in names]
-        write_table(_through_files(spark, part, n, f"{path}/csv/{k}", rows_per_file), f"{path}/clean/{k}")
-        drop_folder(spark, f"{path}/csv/{k}")
+        write_table(_through_files(spark, names, n, f"{path}/csv/{k}", rows_per_file), f"{path}/clean/{k}")
+        for done in (f"{path}/csv/{k}", *names):
+            drop_folder(spark, done)
         free_shuffles(spark)
-    drop_folder(spark, f"{path}/rows")
     return spark.read.parquet(*[f"{path}/clean/{k}" for k in range(len(rounds))])
 
 
+def _parts(raw: DataFrame) -> list[DataFrame]:
+    """The rows in parts for each PART_BYTES of input, so that a part of the joins' shuffles is
+    on disk at a time. Parts go by the first field of the row key: Spark takes the condition to
+    the scans of all tables that are joined by it (lines and orders)."""
+    n = min(MOST_PARTS, -(-input_bytes(raw) // PART_BYTES))
+    kind = raw.schema[ROW_KEY].dataType
+    key = F.col(ROW_KEY)[kind.names[0]] if isinstance(kind, T.StructType) else F.col(ROW_KEY)
+    return [raw.where(F.pmod(F.xxhash64(key), F.lit(n)) == k) for k in range(n)] if n > 1 else [raw]
+
+
 def _rounds(stored: list[tuple[str, int]], most: int) -> list[tuple[list[str], int]]:
     """Files with their rows in groups of at most ``most`` rows, and the rows of each."""
     out: list[tuple[list[str], int]] = []

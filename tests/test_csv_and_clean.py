@@ -223,6 +223,41 @@ def test_text_on_disk_is_bounded_however_many_rows(spark, monkeypatch):
     assert sum(held) == 50 and max(held) <= 2 * etl.FILES_PER_ROUND
 
 
+def test_large_input_is_joined_in_parts(spark, monkeypatch, tmp_path):
+    """Rows of much input are stored part by part, every row once, null and repeated keys too."""
+    import uuid
+    from collections import Counter
+
+    from pyspark.sql import functions as F
+
+    from starmart.plans import etl
+
+    raw_frame(spark, [{"nome_autor": f"A{i % 30}"} for i in range(40)]).write.parquet(str(tmp_path / "raw rows"))
+    key = F.struct(F.when(F.col("row_key.row_pos") > 4, F.col("row_key.row_pos") % 15).alias("row_pos"))
+    raw = spark.read.parquet(str(tmp_path / "raw rows")).withColumn("row_key", key)
+    write, held = etl.write_table, []
+    monkeypatch.setattr(etl, "write_table", lambda df, path, **k: (held.append(df.count()), write(df, path, **k)))
+    monkeypatch.setattr(etl, "PART_BYTES", 100)
+    rows = etl.csv_one_file(spark, raw, f"test-parts-{uuid.uuid4().hex[:6]}").collect()
+    assert Counter(r["nome_autor"] for r in rows) == Counter(f"A{i % 30}" for i in range(40))
+    assert len(held) == etl.MOST_PARTS and sum(held) == 40 and max(held) < 30
+
+
+def test_parts_reach_the_scans_of_lines_and_orders(spark, monkeypatch):
+    from conftest import SF_SMALL
+    from starmart.plans import etl
+    from starmart.sources.staging import staging_submissions
+
+    raw = staging_submissions(spark, SF_SMALL, broadcast_rows=0)
+    whole = etl._parts(raw)
+    monkeypatch.setattr(etl, "PART_BYTES", 100)
+    parts = etl._parts(raw)
+    assert len(whole) == 1 and len(parts) == etl.MOST_PARTS
+    assert sum(p.count() for p in parts) == raw.count()
+    plan = parts[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "xxhash64(l_orderkey" in plan and "xxhash64(o_orderkey" in plan
+
+
 def test_rounds_hold_every_file_once():
     from starmart.plans.etl import _rounds
 
